@@ -3,7 +3,7 @@
 from .decode import decode_records, parse_event_time, rejects, valid_events
 from .encode import encode_records, iso_utc, wire_json
 from .hashing import hash32, uniform_int
-from .text import fmt_int, fmt_money, pad_left, pad_right, ts19
+from .text import fmt_int, fmt_money, pad_left, pad_right, ts19, zero_pad
 
 __all__ = [
     "decode_records",
@@ -20,4 +20,5 @@ __all__ = [
     "pad_left",
     "pad_right",
     "ts19",
+    "zero_pad",
 ]

@@ -27,6 +27,7 @@ from ..constants import (
 )
 from ..functions.encode import iso_utc
 from ..functions.hashing import hash32, uniform_int
+from ..functions.text import zero_pad
 
 # Per-column salts of the row hash.
 SALTS = {
@@ -81,9 +82,9 @@ def synthetic_events(
     event_time = F.timestamp_micros(F.lit(start_us) + rid * F.lit(spacing_us))
     return ids.select(
         rid.alias("event_id"),
-        F.format_string("user_%04d", uniform_int(rid, SALTS["h_user"], USER_COUNT) + F.lit(1)).alias("user_id"),
-        F.format_string("sess_%04d", uniform_int(rid, SALTS["h_session"], SESSION_COUNT) + F.lit(1)).alias("session_id"),
-        F.format_string("%s_%s_%03d", category, product, number).alias("product_id"),
+        F.concat(F.lit("user_"), zero_pad(uniform_int(rid, SALTS["h_user"], USER_COUNT) + F.lit(1), 4)).alias("user_id"),
+        F.concat(F.lit("sess_"), zero_pad(uniform_int(rid, SALTS["h_session"], SESSION_COUNT) + F.lit(1), 4)).alias("session_id"),
+        F.concat_ws("_", category, product, zero_pad(number, 3)).alias("product_id"),
         category.alias("category"),
         event_type.alias("event_type"),
         amount.alias("amount"),

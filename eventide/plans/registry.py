@@ -30,7 +30,7 @@ from ..operators import (
     with_total,
 )
 from ..session import shared_dir, use_utc
-from ..sources.files import events_record_stream
+from ..sources.files import events_record_stream, events_stream
 from ..sources.kafka import sample_records
 from ..sources.testdata import events_as_records, events_to_wire, read_table
 from ..streaming.job import start, summary_stream
@@ -64,7 +64,7 @@ def rounded(summary: DataFrame) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return read_table(spark, sf_dir, "events")
+    return read_table(spark, sf_dir, "events", spread_scan=True)
 
 
 def _wire(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,10 @@ def _dirty_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_records(dirty_records(_wire(spark, sf_dir)))
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/eventide/{name}/{uuid.uuid4().hex}"
 
@@ -176,7 +180,7 @@ def streaming_tumble_1m(spark, sf_dir):
     use_utc(spark)
     run = _run_dir(spark, "streaming_tumble_1m")
     q = start(
-        summary_stream(events_record_stream(spark, sf_dir)),
+        summary_stream(events_record_stream(spark, sf_dir, partitions=_cores(spark))),
         f"{run}/checkpoint",
         sink="parquet",
         path=f"{run}/summary",
@@ -194,7 +198,7 @@ def upsert_replay(spark, sf_dir):
     run = _run_dir(spark, "upsert_replay")
     table = KeyedSummaryTable(f"{run}/table")
     for attempt in range(2):
-        _stream_to_table(spark, events_record_stream(spark, sf_dir), table, f"{run}/attempt{attempt}")
+        _stream_to_table(spark, events_record_stream(spark, sf_dir, partitions=_cores(spark)), table, f"{run}/attempt{attempt}")
     return ntz(rounded(table.read(spark)))
 
 
@@ -203,16 +207,11 @@ def summary_rejects(spark, sf_dir):
     use_utc(spark)
     run = _run_dir(spark, "summary_rejects")
     table = KeyedSummaryTable(f"{run}/table")
-    records = dirty_records(events_to_wire(events_record_stream_raw(spark, sf_dir)))
+    records = dirty_records(events_to_wire(events_stream(spark, sf_dir, partitions=_cores(spark))))
     _stream_to_table(spark, records, table, run)
     return ntz(rounded(table.read_rejects(spark).drop("batch_id")))
 
 
-def events_record_stream_raw(spark, sf_dir):
-    schema = read_table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-
-
 # --- sources, sinks, generator -------------------------------------------------
 
 def sample_events(spark, sf_dir):

@@ -31,8 +31,20 @@ def parquet_stream(
     return reader.parquet(directory)
 
 
-def events_record_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The driver's events table as a stream of wire records."""
+def events_stream(
+    spark: SparkSession,
+    sf_dir: str,
+    max_files_per_trigger: int | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The driver's events table as a file stream. ``partitions`` round-robins
+    each micro-batch first: a stream of a few small files would otherwise
+    decode on a few cores (Kafka sources use ``minPartitions`` instead)."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     stream = parquet_stream(spark, sf_dir, schema, glob="events.parquet", max_files_per_trigger=max_files_per_trigger)
-    return events_as_records(stream)
+    return stream.repartition(partitions) if partitions else stream
+
+
+def events_record_stream(spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:
+    """The driver's events table as a stream of wire records."""
+    return events_as_records(events_stream(spark, sf_dir, **kwargs))

@@ -16,6 +16,7 @@ def source_options(
     starting_offsets: str | None = None,
     max_offsets_per_trigger: int | None = None,
     exact_group_id: bool = False,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     opts = {
         "kafka.bootstrap.servers": cfg.kafka_bootstrap,
@@ -28,6 +29,10 @@ def source_options(
         opts["kafka.group.id" if exact_group_id else "groupIdPrefix"] = cfg.kafka_group_id
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        # Split each topic partition's offset range over several tasks so the
+        # JSON decode is not limited to one core per topic partition.
+        opts["minPartitions"] = str(min_partitions)
     return opts
 
 

@@ -16,12 +16,25 @@ from pyspark.sql import functions as F
 
 from ..constants import CATEGORIES, PRODUCTS, PURCHASE, SESSION_COUNT
 from ..functions.encode import encode_records, iso_utc
+from ..functions.text import zero_pad
 
 TOPIC_PARTITIONS = 3
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A small file in one row group scans as a single task, which would leave
+    the per-row JSON work on one core. Large inputs already have at least as
+    many splits as cores and are left alone (no shuffle of the full input).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_scan else df
 
 
 def events_to_wire(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
@@ -39,9 +52,9 @@ def events_to_wire(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> Dat
         F.pmod(event_id, F.lit(partitions)).cast("int").alias("partition"),
         F.expr(f"event_id div {int(partitions)}").alias("offset"),
         event_id,
-        F.format_string("user_%04d", F.col("user_id")).alias("user_id"),
-        F.format_string("sess_%04d", F.pmod(F.col("user_id"), F.lit(SESSION_COUNT)) + 1).alias("session_id"),
-        F.format_string("%s_%s_%03d", category, product, F.pmod(k, F.lit(50)) + 1).alias("product_id"),
+        F.concat(F.lit("user_"), zero_pad(F.col("user_id"), 4)).alias("user_id"),
+        F.concat(F.lit("sess_"), zero_pad(F.pmod(F.col("user_id"), F.lit(SESSION_COUNT)) + 1, 4)).alias("session_id"),
+        F.concat_ws("_", category, product, zero_pad(F.pmod(k, F.lit(50)) + 1, 3)).alias("product_id"),
         category.alias("category"),
         F.col("event_type"),
         F.when(F.col("event_type") == F.lit(PURCHASE), F.col("value")).otherwise(F.lit(0.0)).alias("amount"),
