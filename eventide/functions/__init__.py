@@ -2,7 +2,7 @@
 
 from .decode import decode_records, parse_event_time, rejects, valid_events
 from .encode import encode_records, iso_utc, wire_json
-from .hashing import hash32, uniform_int
+from .hashing import hash32, hash_select_items, uniform_int
 from .text import fmt_int, fmt_money, pad_left, pad_right, ts19, zero_pad
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "iso_utc",
     "wire_json",
     "hash32",
+    "hash_select_items",
     "uniform_int",
     "fmt_int",
     "fmt_money",

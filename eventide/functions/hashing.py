@@ -4,7 +4,12 @@ A row's values depend only on its id and a per-column salt, never on the
 partitioning, so the same id range gives the same rows on 8 threads or 1000
 executors. The mixer is the public 32-bit xor-shift-multiply integer hash
 (multiplier 0x45d9f3b); only shifts, xor, masks and products below 2^59 are
-used, so the SQL oracle can reproduce every value exactly.
+used, so Spark and the SQL oracle compute identical values.
+
+The hash is emitted as SQL select items that reference earlier items by
+alias (lateral column aliases, supported by Spark and DuckDB), which keeps
+every step a single small expression instead of a tree that repeats its
+input at each xor-shift.
 """
 
 from __future__ import annotations
@@ -16,46 +21,54 @@ MASK32 = 0xFFFFFFFF
 MIX_MULTIPLIER = 0x45D9F3B
 
 
-def _mix32(x: Column) -> Column:
-    for _ in range(2):
-        x = (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
-    return F.shiftright(x, 16).bitwiseXOR(x)
+def _xor(a: str, b: str, dialect: str) -> str:
+    return f"({a} ^ {b})" if dialect == "spark" else f"xor({a}, {b})"
 
 
-def hash32(row_id: Column, salt: int) -> Column:
-    """Well-mixed value in [0, 2^32) for a BIGINT id and a column salt."""
-    row_id = row_id.cast("bigint")
-    lo = row_id.bitwiseAND(F.lit(MASK32))
-    hi = F.shiftright(row_id, 32).bitwiseAND(F.lit(MASK32))
-    return _mix32(_mix32(lo.bitwiseXOR(F.lit(salt & MASK32))).bitwiseXOR(hi))
-
-
-def uniform_int(row_id: Column, salt: int, n: int) -> Column:
-    """Integer in [0, n)."""
-    return F.pmod(hash32(row_id, salt), F.lit(n))
+def _shr16(a: str, dialect: str) -> str:
+    return f"shiftright({a}, 16)" if dialect == "spark" else f"({a} >> 16)"
 
 
-def sql_hash32_columns(id_expr: str, salts: dict[str, int]) -> str:
-    """The same function as DuckDB select-list items, one output column per
-    ``name -> salt`` (intermediate steps use lateral column aliases)."""
+def hash_select_items(id_expr: str, salts: dict[str, int], dialect: str = "spark") -> list[str]:
+    """Select items computing ``name = hash32(id, salt)`` for every salt;
+    helper columns are prefixed ``_h_``."""
     items = [
         f"(CAST({id_expr} AS BIGINT) & {MASK32}) AS _h_lo",
-        f"((CAST({id_expr} AS BIGINT) >> 32) & {MASK32}) AS _h_hi",
+        f"({_shr16(_shr16(f'CAST({id_expr} AS BIGINT)', dialect), dialect)} & {MASK32}) AS _h_hi",
     ]
 
     def mix(src: str, tag: str) -> str:
         for step in range(2):
-            dst = f"_h_{tag}_{step}"
-            items.append(f"((xor({src} >> 16, {src}) * {MIX_MULTIPLIER}) & {MASK32}) AS {dst}")
+            dst = f"_h_{tag}{step}"
+            items.append(f"(({_xor(_shr16(src, dialect), src, dialect)} * {MIX_MULTIPLIER}) & {MASK32}) AS {dst}")
             src = dst
-        dst = f"_h_{tag}_x"
-        items.append(f"xor({src} >> 16, {src}) AS {dst}")
+        dst = f"_h_{tag}x"
+        items.append(f"{_xor(_shr16(src, dialect), src, dialect)} AS {dst}")
         return dst
 
     for name, salt in salts.items():
-        items.append(f"xor(_h_lo, {salt & MASK32}) AS _h_{name}_in")
+        items.append(f"{_xor('_h_lo', str(salt & MASK32), dialect)} AS _h_{name}_in")
         inner = mix(f"_h_{name}_in", f"{name}_a")
-        items.append(f"xor({inner}, _h_hi) AS _h_{name}_mid")
+        items.append(f"{_xor(inner, '_h_hi', dialect)} AS _h_{name}_mid")
         outer = mix(f"_h_{name}_mid", f"{name}_b")
         items.append(f"{outer} AS {name}")
-    return ",\n       ".join(items)
+    return items
+
+
+def _mix32(x: Column) -> Column:
+    for _ in range(2):
+        x = (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
+    return F.shiftright(x, 16).bitwiseXOR(x)
+
+
+def hash32(row_id: Column, salt: int) -> Column:
+    """The same hash as a single Column expression, for ad-hoc use."""
+    row_id = row_id.cast("bigint")
+    lo = row_id.bitwiseAND(F.lit(MASK32))
+    hi = F.shiftright(row_id, 32).bitwiseAND(F.lit(MASK32))
+    return _mix32(_mix32(lo.bitwiseXOR(F.lit(salt & MASK32))).bitwiseXOR(hi))
+
+
+def uniform_int(row_id: Column, salt: int, n: int) -> Column:
+    """Integer in [0, n)."""
+    return F.pmod(hash32(row_id, salt), F.lit(n))

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import (
     CATEGORIES,
@@ -25,9 +24,7 @@ from ..constants import (
     SESSION_COUNT,
     USER_COUNT,
 )
-from ..functions.encode import iso_utc
-from ..functions.hashing import hash32, uniform_int
-from ..functions.text import zero_pad
+from ..functions.hashing import hash_select_items
 
 # Per-column salts of the row hash.
 SALTS = {
@@ -43,18 +40,51 @@ SALTS = {
 DEFAULT_START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 DEFAULT_SPACING_US = 100_000  # 10 events per second
 
+OUTPUT_COLUMNS = (
+    "event_id", "user_id", "session_id", "product_id", "category",
+    "event_type", "amount", "timestamp", "event_time",
+)
+
+
+def sql_list(values) -> str:
+    """SQL array/list literal body, e.g. ``'a', 'b'`` or ``1, 2``."""
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + F.lit(1)).cast("int"))
+def zero_pad_sql(expr: str, width: int) -> str:
+    """Zero-padded integer text (wider values kept whole, like ``%0Nd``)."""
+    text = f"CAST({expr} AS STRING)"
+    return f"IF(length({text}) >= {width}, {text}, lpad({text}, {width}, '0'))"
 
 
-def _event_type(bucket: Column) -> Column:
-    expr = None
-    upper = 0
+def event_type_sql(bucket: str) -> str:
+    parts, upper = [], 0
     for name, pct in zip(EVENT_TYPES[:-1], EVENT_WEIGHTS_PCT[:-1]):
         upper += pct
-        expr = (F.when(bucket < upper, F.lit(name)) if expr is None else expr.when(bucket < upper, F.lit(name)))
-    return expr.otherwise(F.lit(EVENT_TYPES[-1]))
+        parts.append(f"WHEN {bucket} < {upper} THEN '{name}'")
+    return f"CASE {' '.join(parts)} ELSE '{EVENT_TYPES[-1]}' END"
+
+
+def generator_select_items(start: dt.datetime, spacing_us: int) -> list[str]:
+    """Spark SQL select items over the hash columns (lateral aliases)."""
+    cats = f"array({sql_list(CATEGORIES)})"
+    prods = "array(" + ", ".join(f"array({sql_list(PRODUCTS[c])})" for c in CATEGORIES) + ")"
+    lows = f"array({sql_list([PRICE_RANGES[c][0] * 100 for c in CATEGORIES])})"
+    spans = f"array({sql_list([(PRICE_RANGES[c][1] - PRICE_RANGES[c][0]) * 100 + 1 for c in CATEGORIES])})"
+    start_us = int(start.timestamp() * 1_000_000)
+    return [
+        "event_id",
+        f"concat('user_', {zero_pad_sql(f'h_user % {USER_COUNT} + 1', 4)}) AS user_id",
+        f"concat('sess_', {zero_pad_sql(f'h_session % {SESSION_COUNT} + 1', 4)}) AS session_id",
+        f"CAST(h_category % {len(CATEGORIES)} + 1 AS INT) AS _ci",
+        f"element_at({cats}, _ci) AS category",
+        f"concat_ws('_', category, element_at(element_at({prods}, _ci), CAST(h_product % 5 + 1 AS INT)), "
+        f"{zero_pad_sql(f'h_number % {PRODUCT_NUMBERS} + 1', 3)}) AS product_id",
+        f"{event_type_sql('h_type % 100')} AS event_type",
+        f"IF(event_type = 'purchase', CAST(element_at({lows}, _ci) + h_price % element_at({spans}, _ci) AS DOUBLE) / 100, 0.0D) AS amount",
+        f"timestamp_micros({start_us} + event_id * {spacing_us}) AS event_time",
+        "date_format(event_time, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx\") AS timestamp",
+    ]
 
 
 def synthetic_events(
@@ -64,33 +94,8 @@ def synthetic_events(
     spacing_us: int = DEFAULT_SPACING_US,
 ) -> DataFrame:
     """Typed wire events (+ ``event_id`` and ``event_time``) for every id."""
-    rid = F.col(id_col).cast("bigint")
-    cat_idx = uniform_int(rid, SALTS["h_category"], len(CATEGORIES))
-    category = _pick(list(CATEGORIES), cat_idx)
-    event_type = _event_type(uniform_int(rid, SALTS["h_type"], 100))
-    products = F.array(*[F.array(*[F.lit(p) for p in PRODUCTS[c]]) for c in CATEGORIES])
-    product = F.element_at(
-        F.element_at(products, (cat_idx + F.lit(1)).cast("int")),
-        (uniform_int(rid, SALTS["h_product"], 5) + F.lit(1)).cast("int"),
-    )
-    number = uniform_int(rid, SALTS["h_number"], PRODUCT_NUMBERS) + F.lit(1)
-    low_cents = _pick([PRICE_RANGES[c][0] * 100 for c in CATEGORIES], cat_idx)
-    span_cents = _pick([(PRICE_RANGES[c][1] - PRICE_RANGES[c][0]) * 100 + 1 for c in CATEGORIES], cat_idx)
-    cents = low_cents + F.pmod(hash32(rid, SALTS["h_price"]), span_cents)
-    amount = F.when(event_type == F.lit("purchase"), cents.cast("double") / F.lit(100)).otherwise(F.lit(0.0))
-    start_us = int(start.timestamp() * 1_000_000)
-    event_time = F.timestamp_micros(F.lit(start_us) + rid * F.lit(spacing_us))
-    return ids.select(
-        rid.alias("event_id"),
-        F.concat(F.lit("user_"), zero_pad(uniform_int(rid, SALTS["h_user"], USER_COUNT) + F.lit(1), 4)).alias("user_id"),
-        F.concat(F.lit("sess_"), zero_pad(uniform_int(rid, SALTS["h_session"], SESSION_COUNT) + F.lit(1), 4)).alias("session_id"),
-        F.concat_ws("_", category, product, zero_pad(number, 3)).alias("product_id"),
-        category.alias("category"),
-        event_type.alias("event_type"),
-        amount.alias("amount"),
-        iso_utc(event_time).alias("timestamp"),
-        event_time.alias("event_time"),
-    )
+    hashed = ids.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS event_id", *hash_select_items("event_id", SALTS))
+    return hashed.selectExpr(*generator_select_items(start, spacing_us)).select(*OUTPUT_COLUMNS)
 
 
 def generate_events(spark: SparkSession, n: int, partitions: int | None = None, **kwargs) -> DataFrame:

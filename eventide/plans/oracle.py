@@ -9,7 +9,7 @@ buckets windows by epoch-microsecond arithmetic.
 from __future__ import annotations
 
 from ..constants import CATEGORIES, PRICE_RANGES, PRODUCTS
-from ..functions.hashing import sql_hash32_columns
+from ..functions.hashing import hash_select_items
 from ..operators.generate import DEFAULT_SPACING_US, DEFAULT_START, SALTS
 from .registry import EMPTY_AS_OF, FRESHNESS_AS_OF, REPORT_AS_OF
 
@@ -98,13 +98,13 @@ def _closed(src: str) -> str:
 
 
 def _generated(id_source: str) -> str:
-    salts = {name: salt for name, salt in SALTS.items()}
+    hash_items = ",\n       ".join(hash_select_items("event_id", SALTS, dialect="duckdb"))
     lows = _list([PRICE_RANGES[c][0] * 100 for c in CATEGORIES])
     spans = _list([(PRICE_RANGES[c][1] - PRICE_RANGES[c][0]) * 100 + 1 for c in CATEGORIES])
     start_us = int(DEFAULT_START.timestamp() * 1_000_000)
     return f"""hashed AS (
   SELECT event_id,
-       {sql_hash32_columns('event_id', salts)}
+       {hash_items}
   FROM ({id_source}) ids
 ),
 gen AS (

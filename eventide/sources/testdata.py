@@ -14,9 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import CATEGORIES, PRODUCTS, PURCHASE, SESSION_COUNT
-from ..functions.encode import encode_records, iso_utc
-from ..functions.text import zero_pad
+from ..constants import CATEGORIES, PRODUCTS, PURCHASE, SESSION_COUNT, WIRE_TIME_FORMAT
+from ..functions.encode import encode_records
+from ..operators.generate import sql_list, zero_pad_sql
 
 TOPIC_PARTITIONS = 3
 
@@ -37,29 +37,36 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool =
     return spread(df) if spread_scan else df
 
 
+def wire_select_items(partitions: int = TOPIC_PARTITIONS) -> list[str]:
+    """Spark SQL select items mapping an ``events`` row to a wire record
+    (intermediate ``_k``/``_ci`` use lateral column aliases)."""
+    cats = f"array({sql_list(CATEGORIES)})"
+    prods = "array(" + ", ".join(f"array({sql_list(PRODUCTS[c])})" for c in CATEGORIES) + ")"
+    n = len(CATEGORIES)
+    return [
+        "try_cast(get_json_object(props, '$.k') AS INT) AS _k",
+        f"CAST(pmod(_k, {n}) + 1 AS INT) AS _ci",
+        f"CAST(pmod(event_id, {int(partitions)}) AS INT) AS `partition`",
+        f"event_id div {int(partitions)} AS `offset`",
+        "event_id",
+        f"concat('sess_', {zero_pad_sql(f'pmod(user_id, {SESSION_COUNT}) + 1', 4)}) AS session_id",
+        f"concat('user_', {zero_pad_sql('user_id', 4)}) AS user_id",
+        f"element_at({cats}, _ci) AS category",
+        f"concat_ws('_', category, element_at(element_at({prods}, _ci), CAST(pmod(_k div {n}, 5) + 1 AS INT)), "
+        f"{zero_pad_sql('pmod(_k, 50) + 1', 3)}) AS product_id",
+        "event_type",
+        f"IF(event_type = '{PURCHASE}', value, 0.0D) AS amount",
+        f"date_format(CAST(ts AS TIMESTAMP), \"{WIRE_TIME_FORMAT}\") AS `timestamp`",
+    ]
+
+
+WIRE_COLUMNS = ("partition", "offset", "event_id", "user_id", "session_id", "product_id",
+                "category", "event_type", "amount", "timestamp")
+
+
 def events_to_wire(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
     """partition, offset, event_id + the seven typed wire fields."""
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
-    cat_idx = F.pmod(k, F.lit(len(CATEGORIES)))
-    category = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), (cat_idx + 1).cast("int"))
-    products = F.array(*[F.array(*[F.lit(p) for p in PRODUCTS[c]]) for c in CATEGORIES])
-    product = F.element_at(
-        F.element_at(products, (cat_idx + 1).cast("int")),
-        (F.pmod(F.floor(k / F.lit(len(CATEGORIES))), F.lit(5)) + 1).cast("int"),
-    )
-    event_id = F.col("event_id")
-    return events.select(
-        F.pmod(event_id, F.lit(partitions)).cast("int").alias("partition"),
-        F.expr(f"event_id div {int(partitions)}").alias("offset"),
-        event_id,
-        F.concat(F.lit("user_"), zero_pad(F.col("user_id"), 4)).alias("user_id"),
-        F.concat(F.lit("sess_"), zero_pad(F.pmod(F.col("user_id"), F.lit(SESSION_COUNT)) + 1, 4)).alias("session_id"),
-        F.concat_ws("_", category, product, zero_pad(F.pmod(k, F.lit(50)) + 1, 3)).alias("product_id"),
-        category.alias("category"),
-        F.col("event_type"),
-        F.when(F.col("event_type") == F.lit(PURCHASE), F.col("value")).otherwise(F.lit(0.0)).alias("amount"),
-        iso_utc(F.col("ts").cast("timestamp")).alias("timestamp"),
-    )
+    return events.selectExpr(*wire_select_items(partitions)).select(*WIRE_COLUMNS)
 
 
 def events_as_records(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
