@@ -159,9 +159,9 @@ def formatted(report: DataFrame) -> DataFrame:
             " ",
             pad_right(ts19(F.col("window_start")), 22),
             pad_right(F.coalesce(F.col("category"), F.lit("(null)")), 14),
-            pad_left(fmt_int(F.col("event_count")), 8),
-            pad_left(fmt_int(F.col("purchase_count")), 10),
-            pad_left(fmt_money(F.col("total_revenue")), 12),
+            pad_left(F.coalesce(fmt_int(F.col("event_count")), F.lit("")), 8),
+            pad_left(F.coalesce(fmt_int(F.col("purchase_count")), F.lit("")), 10),
+            pad_left(F.coalesce(fmt_money(F.col("total_revenue")), F.lit("")), 12),
         ).alias("line"),
     )
     tot = totals(report)

@@ -134,7 +134,7 @@ def _fmt_rows() -> str:
        format('{:<14}', COALESCE(category, '(null)')) || ' ' ||
        format('{:>8}', format('{:,}', event_count)) || ' ' ||
        format('{:>10}', format('{:,}', purchase_count)) || ' ' ||
-       format('{:>12}', format('{:,.2f}', total_revenue)) AS line
+       format('{:>12}', COALESCE(format('{:,.2f}', total_revenue), '')) AS line
 FROM period"""
 
 

@@ -39,7 +39,7 @@ from .fixtures import dirty_records, null_amounts
 
 # Fixed report parameters of the registered queries (as_of replaces NOW()).
 REPORT_AS_OF = "2024-01-30 12:00:00"
-EMPTY_AS_OF = "2023-06-01 00:00:00"
+EMPTY_AS_OF = "2024-03-01 00:00:00"  # after the last event: empty period
 FRESHNESS_AS_OF = "2024-01-31 00:00:00"
 
 EVENT_COLUMNS = (
