@@ -55,22 +55,41 @@ def assert_unique_keys(batch: DataFrame, key: Sequence[str] = SUMMARY_KEY) -> No
 
 
 class KeyedSummaryTable:
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
-        self.data_path = f"{self.path}/data"
-        self.rejects_path = f"{self.path}/rejects"
+    """Layout under ``path``::
+
+        batches/batch_id=N/     rows written by micro-batch N
+        snapshots/upto=B/       resolved table over batches <= B (compaction)
+        rejects/batch_id=N/     NULL-key rows of micro-batch N
+
+    Reads resolve the newest complete snapshot plus the batches after it.
+    ``compact_every`` folds the batches into a new snapshot every k batches
+    so listing stays bounded on a long-running stream; folders are removed
+    one compaction late, so a reader that picked the previous snapshot
+    still finds every batch it needs, and a retried batch (rewritten after
+    it was folded into a snapshot) still wins over the snapshot.
+    """
 
     _stored = T.StructType(list(SUMMARY_SCHEMA.fields) + [T.StructField("batch_id", T.LongType(), True)])
 
+    def __init__(self, path: str, compact_every: int | None = None):
+        self.path = path.rstrip("/")
+        self.batches_path = f"{self.path}/batches"
+        self.snapshots_path = f"{self.path}/snapshots"
+        self.rejects_path = f"{self.path}/rejects"
+        self.compact_every = compact_every
+
+    # -- write ----------------------------------------------------------------
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             valid = with_defaults(batch.where(key_is_valid()))
             assert_unique_keys(valid)
-            self._write(valid, self.data_path, batch_id)
+            self._write(valid, self.batches_path, batch_id)
             self._write(batch.where(~key_is_valid()).select(*ALL_COLUMNS), self.rejects_path, batch_id)
         finally:
             batch.unpersist()
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact(batch.sparkSession, batch_id)
 
     __call__ = write_batch  # usable directly as a foreachBatch function
 
@@ -84,23 +103,91 @@ class KeyedSummaryTable:
             .parquet(path)
         )
 
+    # -- folders (Hadoop FileSystem: works on any cluster file system) ---------
+    @staticmethod
+    def _fs(spark: SparkSession, path: str):
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _children(self, spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
+        fs, p = self._fs(spark, path)
+        if not fs.exists(p):
+            return {}
+        out = {}
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(prefix):
+                try:
+                    out[int(name[len(prefix):])] = st.getPath().toString()
+                except ValueError:
+                    pass
+        return out
+
+    def _snapshot(self, spark: SparkSession) -> int | None:
+        """Newest snapshot whose write committed (has _SUCCESS)."""
+        for upto in sorted(self._children(spark, self.snapshots_path, "upto="), reverse=True):
+            fs, p = self._fs(spark, f"{self.snapshots_path}/upto={upto}/_SUCCESS")
+            if fs.exists(p):
+                return upto
+        return None
+
+    def _delete(self, spark: SparkSession, path: str) -> None:
+        fs, p = self._fs(spark, path)
+        fs.delete(p, True)
+
+    # -- read -----------------------------------------------------------------
     def _read_raw(self, spark: SparkSession, path: str) -> DataFrame:
-        try:
-            return spark.read.schema(self._stored).parquet(path)
-        except Exception:  # nothing written yet
+        fs, p = self._fs(spark, path)
+        if not fs.exists(p):
             return spark.createDataFrame([], self._stored)
+        return spark.read.schema(self._stored).parquet(path)
+
+    def _rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        """Snapshot rows (rank 0) and batch rows (rank 1) from the snapshot's
+        batch on; a rewritten (retried) batch therefore wins over the
+        snapshot that already folded it in."""
+        snap = self._snapshot(spark)
+        rows = self._read_raw(spark, self.batches_path).withColumn("_rank", F.lit(1))
+        if snap is not None:
+            base = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{self.snapshots_path}/upto={snap}")
+            base = base.withColumn("batch_id", F.lit(snap).cast("bigint")).withColumn("_rank", F.lit(0))
+            rows = rows.where(F.col("batch_id") >= snap).unionByName(base)
+        if upto is not None:
+            rows = rows.where(F.col("batch_id") <= upto)
+        return rows
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Current table: the newest row of every key."""
-        raw = self._read_raw(spark, self.data_path)
-        newest = F.max_by(F.struct(*[F.col(c) for c in VALUE_COLUMNS]), F.col("batch_id"))
-        return raw.groupBy(*SUMMARY_KEY).agg(newest.alias("_row")).select(
+    @staticmethod
+    def _resolve(rows: DataFrame) -> DataFrame:
+        newest = F.max_by(F.struct(*[F.col(c) for c in VALUE_COLUMNS]), F.struct("batch_id", "_rank"))
+        return rows.groupBy(*SUMMARY_KEY).agg(newest.alias("_row")).select(
             "window_start", "_row.window_end", "category", "_row.event_count", "_row.purchase_count", "_row.total_revenue"
         )
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Current table: the newest row of every key."""
+        return self._resolve(self._rows(spark))
+
     def read_rejects(self, spark: SparkSession) -> DataFrame:
         return self._read_raw(spark, self.rejects_path)
 
+    # -- compaction -----------------------------------------------------------
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Write the resolved table over batches <= upto as a new snapshot,
+        then drop the folders that readers of the *previous* snapshot no
+        longer need (batches before it, older snapshots)."""
+        previous = self._snapshot(spark)
+        if previous is not None and previous >= upto:
+            return
+        self._resolve(self._rows(spark, upto)).write.mode("overwrite").parquet(f"{self.snapshots_path}/upto={upto}")
+        if previous is not None:
+            for bid, folder in self._children(spark, self.batches_path, "batch_id=").items():
+                if bid < previous:
+                    self._delete(spark, folder)
+            for old, folder in self._children(spark, self.snapshots_path, "upto=").items():
+                if old < previous:
+                    self._delete(spark, folder)
+
 
 # ---------------------------------------------------------------------------
 # JDBC upsert

@@ -121,3 +121,24 @@ def test_duplicate_keys_in_a_batch_are_refused(spark, workdir):
     dup = spark.createDataFrame([(T0, T0, "a", 1, 0, 0.0), (T0, T0, "a", 2, 0, 0.0)], schema)
     with pytest.raises(ValueError):
         table.write_batch(dup, 0)
+
+
+def test_compaction_keeps_the_table_and_bounds_folders(spark, workdir):
+    import os
+
+    table = KeyedSummaryTable(f"{workdir}/c", compact_every=3)
+    schema = "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double"
+    m = dt.timedelta(minutes=1)
+    for b in range(10):
+        rows = [(T0 + b * m, T0 + (b + 1) * m, "a", b, 0, 0.0), (T0, T0 + m, "z", 100 + b, 0, 0.0)]  # "z" rewritten every batch
+        table.write_batch(spark.createDataFrame(rows, schema), b)
+    got = {(r["window_start"], r["category"]): r["event_count"] for r in table.read(spark).collect()}
+    assert got[(T0, "z")] == 109
+    assert len(got) == 11 and all(got[(T0 + b * m, "a")] == b for b in range(1, 10))
+    assert got[(T0, "a")] == 0
+    snaps = sorted(os.listdir(f"{workdir}/c/snapshots"))
+    assert snaps == ["upto=6", "upto=9"]
+    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{workdir}/c/batches") if d.startswith("batch_id="))
+    assert left == [6, 7, 8, 9]
+    table.write_batch(spark.createDataFrame([(T0, T0 + m, "z", 1, 0, 0.0)], schema), 9)  # retried last batch
+    assert {r["category"]: r["event_count"] for r in table.read(spark).where("window_start = '2024-01-01 00:00:00'").collect()}["z"] == 1
