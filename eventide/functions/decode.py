@@ -32,6 +32,15 @@ REJECT_CORRUPT = "corrupt"
 STRICT_TIME_SHAPE = r"\.\d{6}(Z|[+-]\d{2}:\d{2})$"
 
 
+def event_time_sql(text_col: str, strict: bool = True) -> str:
+    """``parse_event_time`` as Spark SQL text (backslashes doubled for the
+    SQL string literal)."""
+    if not strict:
+        return f"try_cast({text_col} AS TIMESTAMP)"
+    shape = STRICT_TIME_SHAPE.replace("\\", "\\\\")
+    return f"CASE WHEN {text_col} RLIKE '{shape}' THEN try_to_timestamp({text_col}, \"{EVENT_TIME_PATTERN}\") END"
+
+
 def parse_event_time(text: Column, strict: bool = True) -> Column:
     """ISO-8601 text -> TIMESTAMP (instant), NULL when it does not parse."""
     if not strict:
@@ -40,33 +49,35 @@ def parse_event_time(text: Column, strict: bool = True) -> Column:
     return F.when(text.rlike(STRICT_TIME_SHAPE), parsed)
 
 
+_DECODE_OPTIONS = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT_COLUMN}')"
+
+
 def decode_records(records: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
     """All input rows, decoded: ``keep`` columns, raw text, the seven string
     fields, ``_corrupt`` and ``_reject`` (NULL for accepted rows)."""
-    raw = F.col(value_col).cast("string")
-    parsed = F.from_json(
-        raw,
-        WIRE_DECODE_SCHEMA,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
-    )
-    passthrough = [F.col(c) for c in keep if c in records.columns]
-    exploded = records.select(*passthrough, raw.alias(RAW_COLUMN), F.inline(F.array(parsed)))
+    passthrough = [f"`{c}`" for c in keep if c in records.columns]
+    raw = f"CAST(`{value_col}` AS STRING)"
+    parsed = f"from_json({raw}, '{WIRE_DECODE_SCHEMA.simpleString()}', {_DECODE_OPTIONS})"
+    exploded = records.selectExpr(*passthrough, f"{raw} AS {RAW_COLUMN}", f"inline(array({parsed}))")
     reject = (
-        F.when(F.col(RAW_COLUMN).isNull() | (F.length(F.trim(F.col(RAW_COLUMN))) == 0), F.lit(REJECT_EMPTY))
-        .when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(REJECT_CORRUPT))
+        f"CASE WHEN {RAW_COLUMN} IS NULL OR length(trim({RAW_COLUMN})) = 0 THEN '{REJECT_EMPTY}' "
+        f"WHEN {CORRUPT_COLUMN} IS NOT NULL THEN '{REJECT_CORRUPT}' END AS {REJECT_COLUMN}"
     )
-    return exploded.withColumn(REJECT_COLUMN, reject)
+    return exploded.selectExpr("*", reject)
 
 
 def valid_events(decoded: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Accepted rows as typed events (amount DOUBLE, event_time TIMESTAMP)."""
-    fields = [F.col(f) for f in WIRE_FIELDS if f not in ("amount",)]
-    return decoded.where(F.col(REJECT_COLUMN).isNull()).select(
-        *[F.col(c) for c in keep],
-        *fields[:5],
-        F.col("amount").try_cast("double").alias("amount"),
-        F.col("timestamp"),
-        parse_event_time(F.col("timestamp"), strict).alias("event_time"),
+    return decoded.where(f"{REJECT_COLUMN} IS NULL").selectExpr(
+        *[f"`{c}`" for c in keep],
+        "user_id",
+        "session_id",
+        "product_id",
+        "category",
+        "event_type",
+        "try_cast(amount AS DOUBLE) AS amount",
+        "`timestamp`",
+        f"{event_time_sql('`timestamp`', strict)} AS event_time",
     )
 
 

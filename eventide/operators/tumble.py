@@ -29,17 +29,16 @@ def tumbling_summary(events: DataFrame, minutes: int = DEFAULT_WINDOW_MINUTES, t
     no window. Counts every event type; revenue sums every row's amount (the
     generator writes 0.0 for non-purchases) and is 0.0 when all are NULL; a
     NULL category is its own group."""
-    window = F.window(F.col(time_col), window_duration(minutes))
     return (
-        events.groupBy(window.alias("window"), F.col("category"))
+        events.groupBy(F.expr(f"window(`{time_col}`, '{window_duration(minutes)}') AS window"), F.col("category"))
         .agg(
-            F.count(F.lit(1)).alias("event_count"),
-            F.count(F.when(F.col("event_type") == F.lit(PURCHASE), F.lit(1))).alias("purchase_count"),
-            F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total_revenue"),
+            F.expr("count(1) AS event_count"),
+            F.expr(f"count(CASE WHEN event_type = '{PURCHASE}' THEN 1 END) AS purchase_count"),
+            F.expr("coalesce(sum(amount), 0.0D) AS total_revenue"),
         )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
+        .selectExpr(
+            "window.start AS window_start",
+            "window.end AS window_end",
             "category",
             "event_count",
             "purchase_count",
