@@ -2,7 +2,7 @@
 
 from .job import start, start_from_config, summary_stream
 from .progress import progress_frame, progress_rows
-from .sinks import JdbcUpsertSink, KeyedSummaryTable, upsert_sql
+from .sinks import JdbcUpsertSink, KeyedSummaryTable, start_record_sink, upsert_sql, write_json_lines
 
 __all__ = [
     "start",
@@ -13,4 +13,6 @@ __all__ = [
     "JdbcUpsertSink",
     "KeyedSummaryTable",
     "upsert_sql",
+    "start_record_sink",
+    "write_json_lines",
 ]

@@ -277,3 +277,27 @@ class JdbcUpsertSink:
             bad.write.jdbc(self.url, f"{self.table}_rejects", mode="append", properties=write_props)
         finally:
             batch.unpersist()
+
+
+# ---------------------------------------------------------------------------
+# Wire-record sinks (JSON lines / Kafka)
+# ---------------------------------------------------------------------------
+
+def write_json_lines(records: DataFrame, path: str, mode: str = "append") -> None:
+    """Batch: one JSON record per line (the offline stand-in for a topic)."""
+    records.select(F.col("value").cast("string").alias("value")).write.mode(mode).text(path)
+
+
+def start_record_sink(records: DataFrame, checkpoint: str, kafka_options: dict[str, str] | None = None, path: str | None = None, trigger: dict | None = None):
+    """Stream wire records to Kafka (``kafka_options`` from
+    ``sources.kafka.sink_options``) or, offline, to JSON-lines files."""
+    writer = (
+        records.select(F.col("value").cast("string").alias("value"))
+        .writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+    )
+    if kafka_options:
+        return writer.format("kafka").options(**kafka_options).start()
+    if not path:
+        raise ValueError("give kafka_options or a path")
+    return writer.format("text").option("path", path).start()

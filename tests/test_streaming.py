@@ -142,3 +142,30 @@ def test_compaction_keeps_the_table_and_bounds_folders(spark, workdir):
     assert left == [6, 7, 8, 9]
     table.write_batch(spark.createDataFrame([(T0, T0 + m, "z", 1, 0, 0.0)], schema), 9)  # retried last batch
     assert {r["category"]: r["event_count"] for r in table.read(spark).where("window_start = '2024-01-01 00:00:00'").collect()}["z"] == 1
+
+
+def test_observed_decode_counters(spark, workdir):
+    feed = FileFeed(workdir)
+    feed.push(_record(5, "a", 1), "{broken", "", _record(6, "b", 2))
+    q = start(
+        summary_stream(json_lines_stream(spark, feed.dir), observe_quality=True),
+        f"{workdir}/chk",
+        sink="parquet",
+        path=f"{workdir}/out",
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    metrics = [p["observedMetrics"].get("decode_quality") for p in q.recentProgress if p["numInputRows"]]
+    assert metrics and metrics[0]["records"] == 4 and metrics[0]["rejected"] == 2
+
+
+def test_generate_cli_writes_decodable_json_lines(spark, workdir):
+    from eventide.cli import _generate
+    from eventide.functions.decode import decode_records, valid_events
+
+    class A:
+        events, out, partitions = 500, f"{workdir}/gen", 3
+
+    _generate(A, spark)
+    v = valid_events(decode_records(spark.read.text(f"{workdir}/gen"), keep=()))
+    assert v.count() == 500 and v.where("event_time IS NULL").count() == 0
