@@ -141,8 +141,12 @@ def with_total(report: DataFrame) -> DataFrame:
 
 def formatted(report: DataFrame) -> DataFrame:
     """The printed report as (section, line_no, line): 0 header, 1 rows,
-    2 TOTAL, 3 rates. Row lines are numbered in report order; the report is
-    already limited, so numbering runs over at most ``limit`` rows."""
+    2 TOTAL, 3 rates.
+
+    Meant for the limited report that is printed (``last_period`` with its
+    row limit): row lines are numbered by one ordered window over the report,
+    i.e. in a single task over at most ``limit`` rows. Unlimited reports
+    should use ``with_total`` / ``totals``, which stay distributed."""
     from pyspark.sql import Window
 
     header = (
