@@ -57,35 +57,45 @@ def assert_unique_keys(batch: DataFrame, key: Sequence[str] = SUMMARY_KEY) -> No
 class KeyedSummaryTable:
     """Layout under ``path``::
 
-        batches/batch_id=N/     rows written by micro-batch N
-        snapshots/upto=B/       resolved table over batches <= B (compaction)
-        rejects/batch_id=N/     NULL-key rows of micro-batch N
-
-    Reads resolve the newest complete snapshot plus the batches after it.
-    ``compact_every`` folds the batches into a new snapshot every k batches
-    so listing stays bounded on a long-running stream; folders are removed
-    one compaction late, so a reader that picked the previous snapshot
-    still finds every batch it needs, and a retried batch (rewritten after
-    it was folded into a snapshot) still wins over the snapshot.
+        log/kind=rows/batch_id=N/      rows written by micro-batch N
+        log/kind=rejects/batch_id=N/   NULL-key rows of micro-batch N
+        snapshots/upto=B/              resolved table over batches <= B
+
+    A micro-batch is one write job: rows and rejects are partitions of the
+    same dynamic-overwrite write, so a retry replaces both. Reads resolve the
+    newest complete snapshot plus the batches from it on. ``compact_every``
+    folds the batches into a new snapshot every k batches so listing stays
+    bounded on a long-running stream; folders are removed one compaction
+    late, so a reader that picked the previous snapshot still finds every
+    batch it needs, and a retried batch (rewritten after it was folded into a
+    snapshot) still wins over the snapshot.
     """
 
     _stored = T.StructType(list(SUMMARY_SCHEMA.fields) + [T.StructField("batch_id", T.LongType(), True)])
 
     def __init__(self, path: str, compact_every: int | None = None):
         self.path = path.rstrip("/")
-        self.batches_path = f"{self.path}/batches"
+        self.log_path = f"{self.path}/log"
+        self.batches_path = f"{self.log_path}/kind=rows"
+        self.rejects_path = f"{self.log_path}/kind=rejects"
         self.snapshots_path = f"{self.path}/snapshots"
-        self.rejects_path = f"{self.path}/rejects"
         self.compact_every = compact_every
 
     # -- write ----------------------------------------------------------------
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            valid = with_defaults(batch.where(key_is_valid()))
-            assert_unique_keys(valid)
-            self._write(valid, self.batches_path, batch_id)
-            self._write(batch.where(~key_is_valid()).select(*ALL_COLUMNS), self.rejects_path, batch_id)
+            assert_unique_keys(batch.where(key_is_valid()))
+            kind = F.when(key_is_valid(), F.lit("rows")).otherwise(F.lit("rejects"))
+            (
+                with_defaults(batch)
+                .withColumn("kind", kind)
+                .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("kind", "batch_id")
+                .parquet(self.log_path)
+            )
         finally:
             batch.unpersist()
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
@@ -93,16 +103,6 @@ class KeyedSummaryTable:
 
     __call__ = write_batch  # usable directly as a foreachBatch function
 
-    @staticmethod
-    def _write(df: DataFrame, path: str, batch_id: int) -> None:
-        (
-            df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
-
     # -- folders (Hadoop FileSystem: works on any cluster file system) ---------
     @staticmethod
     def _fs(spark: SparkSession, path: str):

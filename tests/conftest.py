@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import time
 
 import pytest
@@ -21,12 +20,13 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from eventide.session import build_session
 
-    extra = {}
-    # Tests own their checkpoint folder only where the session has none.
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="eventide-test-ckpt-")
-    s = build_session("local[4]", app_name="eventide-tests", shuffle_partitions=4, extra=extra)
+    s = build_session("local[4]", app_name="eventide-tests", shuffle_partitions=4)
     s.sparkContext.setLogLevel("ERROR")
+    # The session's spark.checkpoint.dir is used when set; only where it is
+    # unset does shared_dir() create and register a private folder.
+    from eventide.session import shared_dir
+
+    shared_dir(s)
     yield s
 
 

@@ -138,7 +138,7 @@ def test_compaction_keeps_the_table_and_bounds_folders(spark, workdir):
     assert got[(T0, "a")] == 0
     snaps = sorted(os.listdir(f"{workdir}/c/snapshots"))
     assert snaps == ["upto=6", "upto=9"]
-    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{workdir}/c/batches") if d.startswith("batch_id="))
+    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{workdir}/c/log/kind=rows") if d.startswith("batch_id="))
     assert left == [6, 7, 8, 9]
     table.write_batch(spark.createDataFrame([(T0, T0 + m, "z", 1, 0, 0.0)], schema), 9)  # retried last batch
     assert {r["category"]: r["event_count"] for r in table.read(spark).where("window_start = '2024-01-01 00:00:00'").collect()}["z"] == 1
