@@ -88,7 +88,10 @@ def _dirty_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect has no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:

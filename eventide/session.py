@@ -55,9 +55,14 @@ def shared_dir(spark: SparkSession) -> str:
     created and registered as the checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the conf is visible
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="eventide-")
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -28,8 +28,12 @@ def spread(df: DataFrame) -> DataFrame:
     the per-row JSON work on one core. Large inputs already have at least as
     many splits as cores and are left alone (no shuffle of the full input).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:

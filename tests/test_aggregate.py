@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eventide.plans.inspect import physical_plan, uses_python
+
 import datetime as dt
 
 from eventide.operators import tumbling_summary
@@ -46,6 +48,7 @@ def test_epoch_aligned_7_minutes(spark):
 
 
 def test_partial_then_final_aggregate(spark):
-    plan = tumbling_summary(_events(spark, [("a", "view", 0.0, T0)]))._jdf.queryExecution().executedPlan().toString()
+    df = tumbling_summary(_events(spark, [("a", "view", 0.0, T0)]))
+    plan = physical_plan(df)
     assert "partial_count" in plan and "Exchange hashpartitioning" in plan
-    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    assert not uses_python(df)

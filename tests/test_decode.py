@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eventide.plans.inspect import physical_plan
+
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -96,5 +98,5 @@ def test_one_from_json_in_plan(spark):
     """The Generate barrier keeps the parse to one evaluation."""
     from eventide.operators import tumbling_summary
 
-    plan = tumbling_summary(valid_events(decode_records(_records(spark))))._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(tumbling_summary(valid_events(decode_records(_records(spark)))))
     assert plan.count("from_json") == 1

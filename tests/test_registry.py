@@ -44,3 +44,23 @@ def test_query_matches_oracle(spark, name):
 
     res = compare(spark, SF001, [name], verbose=False)[name]
     assert res[0] == "OK", res
+
+
+@pytest.mark.parametrize("name", ["tumble_1m", "parse_quality", "report_totals", "synthetic_events", "sample_events"])
+def test_registered_plans_stay_in_the_jvm(spark, name):
+    from __spark_entry__ import queries
+
+    from eventide.plans.inspect import uses_python
+
+    assert not uses_python(queries()[name](spark, SF001))
+
+
+def test_flagship_scan_reads_only_needed_columns(spark):
+    from __spark_entry__ import queries
+
+    from eventide.plans.inspect import physical_plan
+
+    plan = physical_plan(queries()["tumble_1m"](spark, SF001))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "event_id" not in scan.split("ReadSchema")[1]
+    assert plan.count("from_json") == 1

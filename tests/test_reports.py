@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eventide.plans.inspect import physical_plan
+
 import datetime as dt
 from decimal import Decimal
 
@@ -79,5 +81,5 @@ def test_formatted_lines(spark):
 def test_period_filter_is_pushed_to_parquet(spark, workdir):
     _summary(spark).write.parquet(f"{workdir}/s")
     rep = last_period(spark.read.parquet(f"{workdir}/s"), as_of=T0, period="1 hour")
-    plan = rep._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(rep)
     assert "PushedFilters: [IsNotNull(window_start), GreaterThanOrEqual(window_start" in plan
