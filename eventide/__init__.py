@@ -1,4 +1,4 @@
-"""eventide — windowed clickstream analytics on Spark.
+"""eventide — windowed event analytics on Spark.
 
 Decode JSON events tolerantly, assign event time with a watermark, aggregate
 tumbling windows per category (same definition for batch and Structured

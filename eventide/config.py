@@ -12,8 +12,8 @@ from .constants import DEFAULT_WINDOW_MINUTES, WATERMARK_DELAY
 @dataclass(frozen=True)
 class JobConfig:
     kafka_bootstrap: str = "localhost:9092"
-    kafka_topic: str = "clickstream-events"
-    kafka_group_id: str = "clickstream-analytics"
+    kafka_topic: str = "events"
+    kafka_group_id: str = "eventide"
     jdbc_url: str | None = None
     jdbc_user: str = "analytics"
     jdbc_password: str | None = field(default=None, repr=False)

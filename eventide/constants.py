@@ -1,4 +1,4 @@
-"""Domain constants of the clickstream job and its event generator."""
+"""Domain constants of the windowed job and its event generator."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Relational operators of the clickstream engine."""
+"""Relational operators of the event analytics engine."""
 
 from .freshness import summary_freshness
 from .generate import generate_events, synthetic_events

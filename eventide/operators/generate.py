@@ -1,4 +1,4 @@
-"""Distributed synthetic clickstream events.
+"""Distributed synthetic click events.
 
 Each output row is a pure function of its id: uniform category, event type
 60/25/15, a product of the category, a price drawn uniformly in whole cents
