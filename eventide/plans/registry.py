@@ -87,13 +87,6 @@ def _dirty_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_records(dirty_records(_wire(spark, sf_dir)))
 
 
-def _cores(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect has no SparkContext
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
 def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/eventide/{name}/{uuid.uuid4().hex}"
 
@@ -190,7 +183,7 @@ def streaming_tumble_1m(spark, sf_dir):
     use_utc(spark)
     run = _run_dir(spark, "streaming_tumble_1m")
     q = start(
-        summary_stream(events_record_stream(spark, sf_dir, partitions=_cores(spark))),
+        summary_stream(events_record_stream(spark, sf_dir)),
         f"{run}/checkpoint",
         sink="parquet",
         path=f"{run}/summary",
@@ -208,7 +201,7 @@ def upsert_replay(spark, sf_dir):
     run = _run_dir(spark, "upsert_replay")
     table = KeyedSummaryTable(f"{run}/table", compact_every=1)
     for attempt in range(2):
-        _stream_to_table(spark, events_record_stream(spark, sf_dir, partitions=_cores(spark)), table, f"{run}/attempt{attempt}")
+        _stream_to_table(spark, events_record_stream(spark, sf_dir), table, f"{run}/attempt{attempt}")
     return ntz(rounded(table.read(spark)))
 
 
@@ -217,7 +210,7 @@ def summary_rejects(spark, sf_dir):
     use_utc(spark)
     run = _run_dir(spark, "summary_rejects")
     table = KeyedSummaryTable(f"{run}/table")
-    records = dirty_records(events_to_wire(events_stream(spark, sf_dir, partitions=_cores(spark))))
+    records = dirty_records(events_to_wire(events_stream(spark, sf_dir)))
     _stream_to_table(spark, records, table, run)
     return ntz(rounded(table.read_rejects(spark).drop("batch_id")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .testdata import events_as_records
+from .testdata import events_as_records, spread_width
 
 
 def json_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -35,13 +35,19 @@ def events_stream(
     spark: SparkSession,
     sf_dir: str,
     max_files_per_trigger: int | None = None,
-    partitions: int | None = None,
+    partitions: int | str | None = "auto",
 ) -> DataFrame:
-    """The driver's events table as a file stream. ``partitions`` round-robins
-    each micro-batch first: a stream of a few small files would otherwise
-    decode on a few cores (Kafka sources use ``minPartitions`` instead)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    stream = parquet_stream(spark, sf_dir, schema, glob="events.parquet", max_files_per_trigger=max_files_per_trigger)
+    """The driver's events table as a file stream.
+
+    ``partitions`` round-robins each micro-batch first, because a stream of a
+    few small files would otherwise decode on a few cores (Kafka sources use
+    ``minPartitions`` instead). "auto" does so only when a batch scan of the
+    same files has fewer splits than the cluster has cores, so a large input
+    is never shuffled whole."""
+    batch = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if partitions == "auto":
+        partitions = spread_width(batch)
+    stream = parquet_stream(spark, sf_dir, batch.schema, glob="events.parquet", max_files_per_trigger=max_files_per_trigger)
     return stream.repartition(partitions) if partitions else stream
 
 

@@ -28,12 +28,20 @@ def spread(df: DataFrame) -> DataFrame:
     the per-row JSON work on one core. Large inputs already have at least as
     many splits as cores and are left alone (no shuffle of the full input).
     """
+    width = spread_width(df)
+    return df.repartition(width) if width else df
+
+
+def spread_width(df: DataFrame) -> int | None:
+    """Cores to spread over when ``df`` (a batch scan) is narrower than the
+    cluster, else None. Lets a stream over the same files decide the same way
+    (streaming DataFrames have no partitions to inspect)."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    except Exception:
+        return None
+    return cores if splits < cores else None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:

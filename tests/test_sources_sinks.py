@@ -72,3 +72,31 @@ def test_wire_round_trip_keeps_every_row(spark):
     v = valid_events(decode_records(event_records(spark, SF001)))
     assert v.count() == n
     assert v.where("event_time IS NULL OR category IS NULL OR amount IS NULL").count() == 0
+
+
+def test_spread_only_widens_narrow_scans(spark, workdir):
+    from eventide.sources.testdata import spread, spread_width
+
+    narrow = spark.range(0, 100, numPartitions=1)
+    assert spread_width(narrow) == spark.sparkContext.defaultParallelism
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread_width(wide) is None and spread(wide) is wide
+
+
+def test_freshness_flags_a_stale_summary(spark):
+    import datetime as dt
+
+    from eventide.operators import summary_freshness
+
+    t = dt.datetime(2024, 1, 1)
+    s = spark.createDataFrame(
+        [(t, t + dt.timedelta(minutes=1), "a", 1, 0, 0.0)],
+        "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double",
+    )
+    fresh = summary_freshness(s, as_of=t + dt.timedelta(minutes=3)).first()
+    stale = summary_freshness(s, as_of=t + dt.timedelta(hours=1)).first()
+    assert (fresh["is_stale"], fresh["lag_seconds"]) == (False, 120.0)
+    assert stale["is_stale"] is True
+    empty = summary_freshness(s.limit(0), as_of=t).first()
+    assert empty["is_stale"] is True and empty["summary_rows"] == 0
