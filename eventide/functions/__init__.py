@@ -2,8 +2,8 @@
 
 from .decode import decode_records, parse_event_time, rejects, valid_events
 from .encode import encode_records, iso_utc, wire_json
-from .hashing import hash32, hash_select_items, uniform_int
-from .text import fmt_int, fmt_money, pad_left, pad_right, ts19, zero_pad
+from .hashing import hash_select_items
+from .text import fmt_int, fmt_money, pad_left, pad_right, sql_list, ts19, zero_pad_sql
 
 __all__ = [
     "decode_records",
@@ -13,13 +13,12 @@ __all__ = [
     "encode_records",
     "iso_utc",
     "wire_json",
-    "hash32",
     "hash_select_items",
-    "uniform_int",
     "fmt_int",
     "fmt_money",
     "pad_left",
     "pad_right",
     "ts19",
-    "zero_pad",
+    "sql_list",
+    "zero_pad_sql",
 ]

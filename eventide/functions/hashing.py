@@ -14,9 +14,6 @@ input at each xor-shift.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MASK32 = 0xFFFFFFFF
 MIX_MULTIPLIER = 0x45D9F3B
 
@@ -53,22 +50,3 @@ def hash_select_items(id_expr: str, salts: dict[str, int], dialect: str = "spark
         outer = mix(f"_h_{name}_mid", f"{name}_b")
         items.append(f"{outer} AS {name}")
     return items
-
-
-def _mix32(x: Column) -> Column:
-    for _ in range(2):
-        x = (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
-    return F.shiftright(x, 16).bitwiseXOR(x)
-
-
-def hash32(row_id: Column, salt: int) -> Column:
-    """The same hash as a single Column expression, for ad-hoc use."""
-    row_id = row_id.cast("bigint")
-    lo = row_id.bitwiseAND(F.lit(MASK32))
-    hi = F.shiftright(row_id, 32).bitwiseAND(F.lit(MASK32))
-    return _mix32(_mix32(lo.bitwiseXOR(F.lit(salt & MASK32))).bitwiseXOR(hi))
-
-
-def uniform_int(row_id: Column, salt: int, n: int) -> Column:
-    """Integer in [0, n)."""
-    return F.pmod(hash32(row_id, salt), F.lit(n))

@@ -31,8 +31,13 @@ def ts19(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
-def zero_pad(c: Column, width: int) -> Column:
-    """Integer as text, zero-padded to ``width`` digits (wider values kept
-    whole, like ``%0Nd``); far cheaper per row than ``format_string``."""
-    text = c.cast("string")
-    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+def sql_list(values) -> str:
+    """Body of a SQL array/list literal, e.g. ``'a', 'b'`` or ``1, 2``."""
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def zero_pad_sql(expr: str, width: int) -> str:
+    """SQL text: integer as zero-padded text (wider values kept whole, like
+    ``%0Nd``); far cheaper per row than ``format_string``."""
+    text = f"CAST({expr} AS STRING)"
+    return f"IF(length({text}) >= {width}, {text}, lpad({text}, {width}, '0'))"

@@ -25,6 +25,7 @@ from ..constants import (
     USER_COUNT,
 )
 from ..functions.hashing import hash_select_items
+from ..functions.text import sql_list, zero_pad_sql
 
 # Per-column salts of the row hash.
 SALTS = {
@@ -46,17 +47,6 @@ OUTPUT_COLUMNS = (
 )
 
 
-def sql_list(values) -> str:
-    """SQL array/list literal body, e.g. ``'a', 'b'`` or ``1, 2``."""
-    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-
-
-def zero_pad_sql(expr: str, width: int) -> str:
-    """Zero-padded integer text (wider values kept whole, like ``%0Nd``)."""
-    text = f"CAST({expr} AS STRING)"
-    return f"IF(length({text}) >= {width}, {text}, lpad({text}, {width}, '0'))"
-
-
 def event_type_sql(bucket: str) -> str:
     parts, upper = [], 0
     for name, pct in zip(EVENT_TYPES[:-1], EVENT_WEIGHTS_PCT[:-1]):

@@ -54,7 +54,3 @@ SUMMARY_SCHEMA = T.StructType(
         T.StructField("total_revenue", T.DoubleType(), True),
     ]
 )
-
-# Shape of a Kafka record as Spark's Kafka source returns it; file and test
-# sources mimic it so one decoder serves all of them.
-KAFKA_RECORD_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CATEGORIES, PRODUCTS, PURCHASE, SESSION_COUNT, WIRE_TIME_FORMAT
 from ..functions.encode import encode_records
-from ..operators.generate import sql_list, zero_pad_sql
+from ..functions.text import sql_list, zero_pad_sql
 
 TOPIC_PARTITIONS = 3
 

@@ -100,3 +100,19 @@ def test_freshness_flags_a_stale_summary(spark):
     assert stale["is_stale"] is True
     empty = summary_freshness(s.limit(0), as_of=t).first()
     assert empty["is_stale"] is True and empty["summary_rows"] == 0
+
+
+def test_declared_schemas_match_the_frames(spark):
+    from eventide.functions.decode import decode_records, valid_events
+    from eventide.operators import tumbling_summary
+    from eventide.schema import EVENT_SCHEMA, SUMMARY_SCHEMA, WIRE_RECORD_SCHEMA
+    from eventide.sources.testdata import event_records, events_to_wire, read_table
+
+    def shape(schema):
+        return [(f.name, f.dataType) for f in schema.fields]
+
+    wire = events_to_wire(read_table(spark, SF001, "events")).drop("partition", "offset", "event_id")
+    assert shape(wire.schema) == shape(WIRE_RECORD_SCHEMA)
+    events = valid_events(decode_records(event_records(spark, SF001)))
+    assert shape(events.schema) == shape(EVENT_SCHEMA)
+    assert shape(tumbling_summary(events).schema) == shape(SUMMARY_SCHEMA)
