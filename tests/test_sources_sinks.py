@@ -116,3 +116,37 @@ def test_declared_schemas_match_the_frames(spark):
     events = valid_events(decode_records(event_records(spark, SF001)))
     assert shape(events.schema) == shape(EVENT_SCHEMA)
     assert shape(tumbling_summary(events).schema) == shape(SUMMARY_SCHEMA)
+
+
+def test_jdbc_upsert_sink_flow_without_a_database(spark, monkeypatch):
+    """Executors' writes and the driver's statements, with the database
+    replaced by recorders (no database can run in this environment)."""
+    import datetime as dt
+
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    writes, statements = [], []
+
+    def fake_jdbc(self, url, table, mode=None, properties=None):
+        writes.append((table, mode, dict(properties or {}), self._df.count()))
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
+    original_init = DataFrameWriter.__init__
+
+    def init(self, df):
+        original_init(self, df)
+        self._df = df
+
+    monkeypatch.setattr(DataFrameWriter, "__init__", init)
+    t = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame(
+        [(t, t, "a", 2, 1, 3.0), (t, t, None, 1, 0, 0.0)],
+        "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double",
+    )
+    sink = JdbcUpsertSink("jdbc:postgresql://h/db", "analytics_summary", {"user": "u"}, query_tag="q", execute=statements.extend)
+    sink(batch, 5)
+    assert writes[0][:2] == ("analytics_summary_stage_q_5", "overwrite") and writes[0][3] == 1
+    assert writes[0][2]["batchsize"] == "100"
+    assert writes[1][:2] == ("analytics_summary_rejects", "append") and writes[1][3] == 1
+    assert statements[0].startswith("INSERT INTO analytics_summary") and "FROM analytics_summary_stage_q_5" in statements[0]
+    assert statements[1] == "DROP TABLE analytics_summary_stage_q_5"
