@@ -31,22 +31,41 @@ REJECT_CORRUPT = "corrupt"
 # formatter requires; Spark's own parser would also take fewer digits.
 STRICT_TIME_SHAPE = r"\.\d{6}(Z|[+-]\d{2}:\d{2})$"
 
+# The same rule by position, for text the pattern parses (fixed-width fields,
+# so the fraction starts after character 20): "." at 20, then 6 digits and
+# "Z" (27 chars) or a sign at 27 and "hh:mm" (32 chars). Several times
+# cheaper per row than the regular expression; tests check they agree.
+STRICT_TIME_POSITIONS_SQL = (
+    "(substr({c}, 20, 1) = '.' AND ((length({c}) = 27 AND substr({c}, 27, 1) = 'Z') "
+    "OR (length({c}) = 32 AND substr({c}, 27, 1) IN ('+', '-'))))"
+)
+
 
 def event_time_sql(text_col: str, strict: bool = True) -> str:
-    """``parse_event_time`` as Spark SQL text (backslashes doubled for the
-    SQL string literal)."""
+    """``parse_event_time`` as Spark SQL text."""
     if not strict:
         return f"try_cast({text_col} AS TIMESTAMP)"
-    shape = STRICT_TIME_SHAPE.replace("\\", "\\\\")
-    return f"CASE WHEN {text_col} RLIKE '{shape}' THEN try_to_timestamp({text_col}, \"{EVENT_TIME_PATTERN}\") END"
+    shape = STRICT_TIME_POSITIONS_SQL.format(c=text_col)
+    return f"CASE WHEN {shape} THEN try_to_timestamp({text_col}, \"{EVENT_TIME_PATTERN}\") END"
+
+
+def _strict_shape(text: Column) -> Column:
+    """Column form of ``STRICT_TIME_POSITIONS_SQL``."""
+    n = F.length(text)
+    offset_char = F.substring(text, 27, 1)
+    return (F.substring(text, 20, 1) == F.lit(".")) & (
+        ((n == 27) & (offset_char == F.lit("Z"))) | ((n == 32) & offset_char.isin("+", "-"))
+    )
 
 
-def parse_event_time(text: Column, strict: bool = True) -> Column:
-    """ISO-8601 text -> TIMESTAMP (instant), NULL when it does not parse."""
+def parse_event_time(text: Column, strict: bool = True, by_regex: bool = False) -> Column:
+    """ISO-8601 text -> TIMESTAMP (instant), NULL when it does not parse.
+    ``by_regex`` states the strict rule as a regular expression (the
+    reference form; tests check that both forms agree)."""
     if not strict:
         return text.try_cast("timestamp")
     parsed = F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN))
-    return F.when(text.rlike(STRICT_TIME_SHAPE), parsed)
+    return F.when(text.rlike(STRICT_TIME_SHAPE) if by_regex else _strict_shape(text), parsed)
 
 
 _DECODE_OPTIONS = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT_COLUMN}')"

@@ -100,3 +100,27 @@ def test_one_from_json_in_plan(spark):
 
     plan = physical_plan(tumbling_summary(valid_events(decode_records(_records(spark)))))
     assert plan.count("from_json") == 1
+
+
+def test_positional_strict_rule_equals_the_regex(spark):
+    """The cheap positional check accepts exactly what regex + parse accept."""
+    import itertools
+
+    from eventide.functions.decode import event_time_sql
+
+    fractions = ["", "."] + ["." + "123456789"[:k] for k in range(1, 10)] + [".12345x", ".1234567"]
+    offsets = ["Z", "z", "+00:00", "-05:30", "+0000", "+00", "+00:00:00", "", " Z", "+2:00"]
+    dates = ["2024-01-01T00:00:01", "2024-1-01T00:00:01", "12024-01-01T00:00:01", "2024-01-01 00:00:01", "2024-02-30T00:00:01"]
+    texts = ["".join(p) for p in itertools.product(dates, fractions, offsets)] + ["junk", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = df.select(
+        "t",
+        parse_event_time(F.col("t"), by_regex=True).alias("regex"),
+        parse_event_time(F.col("t")).alias("positional"),
+        F.expr(event_time_sql("t")).alias("sql"),
+    ).collect()
+    accepted = 0
+    for r in out:
+        assert r["regex"] == r["positional"] == r["sql"], r["t"]
+        accepted += r["regex"] is not None
+    assert accepted == 3  # six digits with Z, +00:00 and -05:30
