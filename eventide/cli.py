@@ -2,7 +2,7 @@
 
     python -m eventide stream   --sink parquet --path P --checkpoint C [--source kafka|files --input DIR]
     python -m eventide stream   --sink jdbc --checkpoint C            (POSTGRES_* from the environment)
-    python -m eventide report   --table P [--as-of TS] [--period "1 hour"] [--limit 100]
+    python -m eventide report   --table P [--keyed] | --jdbc   [--as-of TS] [--period "1 hour"] [--limit 100]
     python -m eventide generate --events N --out DIR [--partitions K]
 
 Configuration comes from the environment (KAFKA_BOOTSTRAP_SERVERS,
@@ -47,7 +47,18 @@ def _report(args, spark) -> None:
     from .operators import formatted, last_period
     from .streaming.sinks import KeyedSummaryTable
 
-    summary = KeyedSummaryTable(args.table).read(spark) if args.keyed else spark.read.parquet(args.table)
+    if args.jdbc:
+        from .sources.jdbc import jdbc_properties, read_summary_jdbc
+
+        cfg = JobConfig.from_env(require_password=True)
+        if not cfg.jdbc_url:
+            raise SystemExit("POSTGRES_URL is not set")
+        props = jdbc_properties(cfg.jdbc_user, cfg.jdbc_password)
+        summary = read_summary_jdbc(spark, cfg.jdbc_url, cfg.summary_table, props, num_partitions=args.jdbc_partitions)
+    elif args.keyed:
+        summary = KeyedSummaryTable(args.table).read(spark)
+    else:
+        summary = spark.read.parquet(args.table)
     report = last_period(summary, as_of=args.as_of, period=args.period, limit=args.limit)
     for row in formatted(report).orderBy("section", "line_no").collect():  # bounded: limit + 3 lines
         print(row["line"])
@@ -73,8 +84,10 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--compact-every", type=int, default=720)
     r = sub.add_parser("report")
-    r.add_argument("--table", required=True)
+    r.add_argument("--table", help="parquet summary (or keyed table with --keyed)")
     r.add_argument("--keyed", action="store_true", help="table written by the keyed sink")
+    r.add_argument("--jdbc", action="store_true", help="read the summary table from the database (POSTGRES_*)")
+    r.add_argument("--jdbc-partitions", type=int, default=8)
     r.add_argument("--as-of")
     r.add_argument("--period", default="1 hour")
     r.add_argument("--limit", type=int, default=100)

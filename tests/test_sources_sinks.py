@@ -150,3 +150,25 @@ def test_jdbc_upsert_sink_flow_without_a_database(spark, monkeypatch):
     assert writes[1][:2] == ("analytics_summary_rejects", "append") and writes[1][3] == 1
     assert statements[0].startswith("INSERT INTO analytics_summary") and "FROM analytics_summary_stage_q_5" in statements[0]
     assert statements[1] == "DROP TABLE analytics_summary_stage_q_5"
+
+
+def test_jdbc_scan_derives_partition_bounds(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+
+    from eventide.sources.jdbc import read_summary_jdbc
+
+    calls = []
+
+    def fake_jdbc(self, url, table, column=None, lowerBound=None, upperBound=None, numPartitions=None, properties=None, **kw):
+        calls.append((table, column, lowerBound, upperBound, numPartitions))
+        if "MIN(window_start)" in table:
+            return spark.createDataFrame([("2024-01-01 00:00:00", "2024-01-30 23:59:00")], "lo string, hi string")
+        return spark.range(1)
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", fake_jdbc)
+    read_summary_jdbc(spark, "jdbc:postgresql://h/db", "analytics_summary", {"user": "u"}, num_partitions=16)
+    assert calls[0][0].startswith("(SELECT MIN(window_start)")
+    assert calls[1] == ("analytics_summary", "window_start", "2024-01-01 00:00:00", "2024-01-30 23:59:00", 16)
+    calls.clear()
+    read_summary_jdbc(spark, "jdbc:postgresql://h/db", "analytics_summary", {"user": "u"})
+    assert calls == [("analytics_summary", None, None, None, None)]
