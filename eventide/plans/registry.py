@@ -42,12 +42,6 @@ REPORT_AS_OF = "2024-01-30 12:00:00"
 EMPTY_AS_OF = "2024-03-01 00:00:00"  # after the last event: empty period
 FRESHNESS_AS_OF = "2024-01-31 00:00:00"
 
-EVENT_COLUMNS = (
-    "partition", "offset", "user_id", "session_id", "product_id",
-    "category", "event_type", "amount", "timestamp", "event_time",
-)
-
-
 def ntz(df: DataFrame) -> DataFrame:
     """TIMESTAMP columns as TIMESTAMP_NTZ (UTC wall clock) for comparison."""
     return df.select(
