@@ -8,11 +8,25 @@ from pyspark.sql import types as T
 from .testdata import events_as_records, spread_width
 
 
-def json_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """One wire record per line, as a ``value`` column like the Kafka source."""
+def json_lines_stream(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
+) -> DataFrame:
+    """One wire record per line, as a ``value`` column like the Kafka source.
+
+    ``clean_source`` ("archive" with ``archive_dir``, or "delete") moves
+    committed files out of the watched folder so its listing stays small on
+    a stream that runs for months."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     return reader.load(path)
 
 

@@ -17,6 +17,7 @@ def source_options(
     max_offsets_per_trigger: int | None = None,
     exact_group_id: bool = False,
     min_partitions: int | None = None,
+    fail_on_data_loss: bool | None = None,
 ) -> dict[str, str]:
     opts = {
         "kafka.bootstrap.servers": cfg.kafka_bootstrap,
@@ -33,6 +34,11 @@ def source_options(
         # Split each topic partition's offset range over several tasks so the
         # JSON decode is not limited to one core per topic partition.
         opts["minPartitions"] = str(min_partitions)
+    if fail_on_data_loss is not None:
+        # With a bounded topic retention (24 h in the original deployment) an
+        # outage longer than the retention loses offsets; False skips ahead
+        # instead of stopping the query.
+        opts["failOnDataLoss"] = "true" if fail_on_data_loss else "false"
     return opts
 
 

@@ -25,6 +25,8 @@ def test_kafka_source_options():
     }
     assert source_options(cfg, exact_group_id=True)["kafka.group.id"] == "g"
     assert source_options(cfg, starting_offsets="earliest")["startingOffsets"] == "earliest"
+    assert source_options(cfg, fail_on_data_loss=False)["failOnDataLoss"] == "false"
+    assert "failOnDataLoss" not in source_options(cfg)
 
 
 def test_kafka_sink_options():

@@ -169,3 +169,25 @@ def test_generate_cli_writes_decodable_json_lines(spark, workdir):
     _generate(A, spark)
     v = valid_events(decode_records(spark.read.text(f"{workdir}/gen"), keep=()))
     assert v.count() == 500 and v.where("event_time IS NULL").count() == 0
+
+
+def test_committed_files_are_archived(spark, workdir):
+    feed = FileFeed(workdir)
+    feed.push(_record(5, "a", 1))
+    archive = os.path.join(workdir, "archive")
+    q = start(
+        summary_stream(json_lines_stream(spark, feed.dir, clean_source="archive", archive_dir=archive)),
+        f"{workdir}/chk",
+        sink="parquet",
+        path=f"{workdir}/out",
+        trigger={"processingTime": "0 seconds"},
+    )
+    try:
+        q.processAllAvailable()
+        feed.push(_record(100, "a", 1))
+        q.processAllAvailable()
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    archived = [f for _, _, files in os.walk(archive) for f in files if f.endswith(".json")]
+    assert "batch0000.json" in archived
