@@ -83,3 +83,23 @@ def test_period_filter_is_pushed_to_parquet(spark, workdir):
     rep = last_period(spark.read.parquet(f"{workdir}/s"), as_of=T0, period="1 hour")
     plan = physical_plan(rep)
     assert "PushedFilters: [IsNotNull(window_start), GreaterThanOrEqual(window_start" in plan
+
+
+def test_sql_text_matches_the_dataframe_operators(spark):
+    from eventide.operators import sql
+
+    summary = _summary(spark)
+    sql.register(summary)
+
+    def same(a, b):
+        assert a.columns == b.columns
+        assert a.collect() == b.collect()
+
+    same(sql.run(spark, sql.LATEST), latest(summary))
+    same(sql.run(spark, sql.REVENUE_BY_CATEGORY), revenue_by_category(summary))
+    same(sql.run(spark, sql.EVENTS_PER_WINDOW), events_per_window(summary))
+    as_of = "2024-01-01 12:30:00"
+    same(
+        sql.run(spark, sql.last_period_sql(as_of, "1 hour", 100)),
+        last_period(summary, as_of=as_of, period="1 hour"),
+    )
