@@ -2,7 +2,7 @@
 
 from .job import start, start_from_config, summary_stream
 from .progress import progress_frame, progress_rows
-from .sinks import JdbcUpsertSink, KeyedSummaryTable, start_record_sink, upsert_sql, write_json_lines
+from .sinks import JdbcUpsertSink, KeyedSummaryTable, start_record_sink, summary_ddl, upsert_sql, write_json_lines
 
 __all__ = [
     "start",
@@ -14,5 +14,6 @@ __all__ = [
     "KeyedSummaryTable",
     "upsert_sql",
     "start_record_sink",
+    "summary_ddl",
     "write_json_lines",
 ]

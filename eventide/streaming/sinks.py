@@ -223,6 +223,24 @@ def upsert_sql(url: str, table: str, staging: str, key: Sequence[str] = SUMMARY_
     )
 
 
+def summary_ddl(url: str, table: str) -> str:
+    """CREATE TABLE for the summary: NOT NULL key columns, zero defaults and
+    the (window_start, category) primary key the upsert relies on."""
+    if not _IDENT.match(table):
+        raise ValueError(f"bad table name {table!r}")
+    pg = url.startswith("jdbc:postgresql:")
+    ts = "TIMESTAMPTZ" if pg else "TIMESTAMP"
+    text = "TEXT" if pg else "VARCHAR(256)"
+    cols = (
+        f'"window_start" {ts} NOT NULL, "window_end" {ts} NOT NULL, "category" {text} NOT NULL, '
+        '"event_count" BIGINT DEFAULT 0, "purchase_count" BIGINT DEFAULT 0, '
+        '"total_revenue" DOUBLE PRECISION DEFAULT 0.0, '
+        'PRIMARY KEY ("window_start", "category")'
+    )
+    exists = "IF NOT EXISTS " if pg else ""
+    return f"CREATE TABLE {exists}{table} ({cols})"
+
+
 def jvm_executor(spark: SparkSession, url: str, properties: dict[str, str]) -> Callable[[Sequence[str]], None]:
     """Runs statements in one transaction on the driver's JDBC connection."""
 
@@ -260,6 +278,11 @@ class JdbcUpsertSink:
         self.url, self.table, self.properties = url, table, dict(properties)
         self.query_tag, self.batch_size, self._execute = query_tag, batch_size, execute
 
+    def ensure_table(self, spark: SparkSession) -> None:
+        """Create the summary table if the database does not have it yet."""
+        execute = self._execute or jvm_executor(spark, self.url, self.properties)
+        execute([summary_ddl(self.url, self.table)])
+
     def staging_table(self, batch_id: int) -> str:
         return f"{self.table}_stage_{self.query_tag}_{int(batch_id)}"
 

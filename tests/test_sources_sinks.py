@@ -174,3 +174,18 @@ def test_jdbc_scan_derives_partition_bounds(spark, monkeypatch):
     calls.clear()
     read_summary_jdbc(spark, "jdbc:postgresql://h/db", "analytics_summary", {"user": "u"})
     assert calls == [("analytics_summary", None, None, None, None)]
+
+
+def test_summary_ddl(spark):
+    from eventide.streaming.sinks import summary_ddl
+
+    pg = summary_ddl("jdbc:postgresql://h/db", "analytics_summary")
+    assert pg.startswith("CREATE TABLE IF NOT EXISTS analytics_summary (")
+    assert '"window_start" TIMESTAMPTZ NOT NULL' in pg and '"category" TEXT NOT NULL' in pg
+    assert '"event_count" BIGINT DEFAULT 0' in pg and '"total_revenue" DOUBLE PRECISION DEFAULT 0.0' in pg
+    assert pg.endswith('PRIMARY KEY ("window_start", "category"))')
+    other = summary_ddl("jdbc:derby:memory:x", "S")
+    assert other.startswith("CREATE TABLE S (") and '"window_start" TIMESTAMP NOT NULL' in other
+    statements = []
+    JdbcUpsertSink("jdbc:postgresql://h/db", "analytics_summary", {}, execute=statements.extend).ensure_table(spark)
+    assert statements == [pg]
