@@ -35,6 +35,7 @@ def _stream(args, spark) -> None:
         if not cfg.jdbc_url:
             raise SystemExit("POSTGRES_URL is not set")
         sink = JdbcUpsertSink(cfg.jdbc_url, cfg.summary_table, jdbc_properties(cfg.jdbc_user, cfg.jdbc_password), batch_size=cfg.jdbc_batch_size)
+        sink.ensure_table(spark)
         query = start_from_config(records, cfg, args.checkpoint, sink)
     elif args.sink == "table":
         query = start_from_config(records, cfg, args.checkpoint, KeyedSummaryTable(args.path, compact_every=args.compact_every))
