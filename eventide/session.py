@@ -19,6 +19,13 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A long-lived driver (a streaming job, a report service) keeps plan
+    # graphs of past executions in its status store; keep that bounded.
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "20000",
+    "spark.sql.streaming.ui.retainedQueries": "20",
 }
 
 
