@@ -2,7 +2,7 @@
 
     python -m eventide stream   --sink parquet --path P --checkpoint C [--source kafka|files --input DIR]
     python -m eventide stream   --sink jdbc --checkpoint C            (POSTGRES_* from the environment)
-    python -m eventide report   --table P [--keyed] | --jdbc   [--as-of TS] [--period "1 hour"] [--limit 100]
+    python -m eventide report   --table P [--keyed] | --jdbc   [--as-of TS] [--period "1 hour"] [--limit 100] [--out DIR]
     python -m eventide generate --events N --out DIR [--partitions K]
 
 Configuration comes from the environment (KAFKA_BOOTSTRAP_SERVERS,
@@ -61,6 +61,13 @@ def _report(args, spark) -> None:
     else:
         summary = spark.read.parquet(args.table)
     report = last_period(summary, as_of=args.as_of, period=args.period, limit=args.limit)
+    if args.out:
+        # For dashboards: the rows and the one-row totals as tables.
+        from .operators import totals
+
+        report.write.mode("overwrite").parquet(f"{args.out}/rows")
+        totals(report).write.mode("overwrite").parquet(f"{args.out}/totals")
+        return
     for row in formatted(report).orderBy("section", "line_no").collect():  # bounded: limit + 3 lines
         print(row["line"])
 
@@ -92,6 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--as-of")
     r.add_argument("--period", default="1 hour")
     r.add_argument("--limit", type=int, default=100)
+    r.add_argument("--out", help="write rows and totals as parquet here instead of printing")
     g = sub.add_parser("generate")
     g.add_argument("--events", type=int, required=True)
     g.add_argument("--out", required=True)
