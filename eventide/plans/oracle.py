@@ -70,14 +70,14 @@ SUMMARY = f"summary AS (\n  {tumble('wire', 1)}\n)"
 ROUNDED = "window_start, window_end, category, event_count, purchase_count, ROUND(total_revenue, 2) AS total_revenue"
 
 
-def _period(hours: int, as_of: str = REPORT_AS_OF) -> str:
+def _period(hours: int, as_of: str = REPORT_AS_OF, limit: int | None = 100) -> str:
+    limit_sql = f"\n  LIMIT {limit}" if limit is not None else ""
     return f"""period AS (
   SELECT window_start, window_end, category, event_count, purchase_count,
          CAST(ROUND(total_revenue, 2) AS DECIMAL(18,2)) AS total_revenue
   FROM summary
   WHERE window_start >= TIMESTAMP '{as_of}' - INTERVAL {hours} HOUR
-  ORDER BY window_start DESC, total_revenue DESC NULLS FIRST, category ASC NULLS FIRST
-  LIMIT 100
+  ORDER BY window_start DESC, total_revenue DESC NULLS FIRST, category ASC NULLS FIRST{limit_sql}
 )"""
 
 
@@ -188,6 +188,7 @@ FROM summary GROUP BY window_start ORDER BY window_start DESC LIMIT 10""",
         "report_last_period": f"{ws},\n{_period(1)}\nSELECT * FROM period",
         "report_last_period_24h": f"{ws},\n{_period(24)}\nSELECT * FROM period",
         "report_totals": f"{ws},\n{_period(24)}\n{TOTALS}",
+        "report_totals_whole_period": f"{ws},\n{_period(24, limit=None)}\n{TOTALS}",
         "report_with_total": f"""{ws},\n{_period(24)}
 SELECT CASE WHEN GROUPING(window_start, category) = 0 THEN 'ROW' ELSE 'TOTAL' END AS row_type,
        window_start, category,

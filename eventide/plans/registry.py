@@ -133,8 +133,8 @@ def report_events_per_window(spark, sf_dir):
     return ntz(events_per_window(_report_summary(spark, sf_dir)))
 
 
-def _period(spark, sf_dir, hours: int, as_of: str = REPORT_AS_OF) -> DataFrame:
-    return last_period(_report_summary(spark, sf_dir), as_of=as_of, period=f"{hours} hours")
+def _period(spark, sf_dir, hours: int, as_of: str = REPORT_AS_OF, limit: int | None = 100) -> DataFrame:
+    return last_period(_report_summary(spark, sf_dir), as_of=as_of, period=f"{hours} hours", limit=limit)
 
 
 def report_last_period(spark, sf_dir):
@@ -149,6 +149,12 @@ def report_totals(spark, sf_dir):
     return totals(_period(spark, sf_dir, 24))
 
 
+def report_totals_whole_period(spark, sf_dir):
+    """Totals over every row of the period (``limit=None``), not only the
+    rows a printed report shows."""
+    return totals(_period(spark, sf_dir, 24, limit=None))
+
+
 def report_with_total(spark, sf_dir):
     return ntz(with_total(_period(spark, sf_dir, 24)))
 
@@ -240,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_last_period": report_last_period,
     "report_last_period_24h": report_last_period_24h,
     "report_totals": report_totals,
+    "report_totals_whole_period": report_totals_whole_period,
     "report_with_total": report_with_total,
     "report_totals_empty": report_totals_empty,
     "report_formatted": report_formatted,

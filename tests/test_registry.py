@@ -34,7 +34,7 @@ def test_entry_runs(spark):
     [
         "tumble_1m", "tumble_7m", "tumble_1h", "tumble_null_amounts", "parse_events", "parse_events_dirty",
         "parse_rejects", "parse_quality", "report_latest", "revenue_by_category", "events_per_window",
-        "report_last_period", "report_last_period_24h", "report_totals", "report_with_total",
+        "report_last_period", "report_last_period_24h", "report_totals", "report_totals_whole_period", "report_with_total",
         "report_totals_empty", "report_formatted", "summary_freshness", "streaming_tumble_1m",
         "upsert_replay", "summary_rejects", "sample_events", "synthetic_events", "encode_roundtrip",
     ],
