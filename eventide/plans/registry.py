@@ -95,90 +95,90 @@ def tumble(minutes: int) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
-def tumble_null_amounts(spark, sf_dir):
+def tumble_null_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = encode_records(null_amounts(_wire(spark, sf_dir)))
     return ntz(rounded(tumbling_summary(valid_events(decode_records(records)))))
 
 
 # --- decode ------------------------------------------------------------------
 
-def parse_events(spark, sf_dir):
+def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = events_as_records(_events(spark, sf_dir))
     return ntz(valid_events(decode_records(records), keep=("partition", "offset")))
 
 
-def parse_events_dirty(spark, sf_dir):
+def parse_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(valid_events(_dirty_decoded(spark, sf_dir), keep=("partition", "offset")))
 
 
-def parse_rejects(spark, sf_dir):
+def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects(_dirty_decoded(spark, sf_dir))
 
 
-def parse_quality(spark, sf_dir):
+def parse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_quality(_dirty_decoded(spark, sf_dir))
 
 
 # --- reports -----------------------------------------------------------------
 
-def report_latest(spark, sf_dir):
+def report_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(latest(_report_summary(spark, sf_dir)))
 
 
-def report_revenue_by_category(spark, sf_dir):
+def report_revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_by_category(_report_summary(spark, sf_dir))
 
 
-def report_events_per_window(spark, sf_dir):
+def report_events_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(events_per_window(_report_summary(spark, sf_dir)))
 
 
-def _period(spark, sf_dir, hours: int, as_of: str = REPORT_AS_OF, limit: int | None = 100) -> DataFrame:
+def _period(spark: SparkSession, sf_dir: str, hours: int, as_of: str = REPORT_AS_OF, limit: int | None = 100) -> DataFrame:
     return last_period(_report_summary(spark, sf_dir), as_of=as_of, period=f"{hours} hours", limit=limit)
 
 
-def report_last_period(spark, sf_dir):
+def report_last_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(_period(spark, sf_dir, 1))
 
 
-def report_last_period_24h(spark, sf_dir):
+def report_last_period_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(_period(spark, sf_dir, 24))
 
 
-def report_totals(spark, sf_dir):
+def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(_period(spark, sf_dir, 24))
 
 
-def report_totals_whole_period(spark, sf_dir):
+def report_totals_whole_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over every row of the period (``limit=None``), not only the
     rows a printed report shows."""
     return totals(_period(spark, sf_dir, 24, limit=None))
 
 
-def report_with_total(spark, sf_dir):
+def report_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(with_total(_period(spark, sf_dir, 24)))
 
 
-def report_totals_empty(spark, sf_dir):
+def report_totals_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(_period(spark, sf_dir, 1, as_of=EMPTY_AS_OF))
 
 
-def report_formatted(spark, sf_dir):
+def report_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted(_period(spark, sf_dir, 24))
 
 
-def summary_freshness_query(spark, sf_dir):
+def summary_freshness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(summary_freshness(_report_summary(spark, sf_dir), as_of=FRESHNESS_AS_OF))
 
 
 # --- streaming ---------------------------------------------------------------
 
-def _stream_to_table(spark, records: DataFrame, table: KeyedSummaryTable, run: str) -> None:
+def _stream_to_table(spark: SparkSession, records: DataFrame, table: KeyedSummaryTable, run: str) -> None:
     q = start(summary_stream(records), f"{run}/checkpoint", sink=table, trigger={"availableNow": True})
     q.awaitTermination()
 
 
-def streaming_tumble_1m(spark, sf_dir):
+def streaming_tumble_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File stream, watermark 10 s, append to parquet; closed windows only."""
     use_utc(spark)
     run = _run_dir(spark, "streaming_tumble_1m")
@@ -193,7 +193,7 @@ def streaming_tumble_1m(spark, sf_dir):
     return ntz(rounded(spark.read.parquet(f"{run}/summary")))
 
 
-def upsert_replay(spark, sf_dir):
+def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream into the keyed table, then replay the whole stream from a fresh
     checkpoint into the same table: every key is written again (after the
     first run was compacted into a snapshot), nothing is duplicated."""
@@ -205,7 +205,7 @@ def upsert_replay(spark, sf_dir):
     return ntz(rounded(table.read(spark)))
 
 
-def summary_rejects(spark, sf_dir):
+def summary_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows whose key is NULL (category missing) land in rejects."""
     use_utc(spark)
     run = _run_dir(spark, "summary_rejects")
@@ -217,15 +217,15 @@ def summary_rejects(spark, sf_dir):
 
 # --- sources, sinks, generator -------------------------------------------------
 
-def sample_events(spark, sf_dir):
+def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_records(events_as_records(_events(spark, sf_dir)), 5)
 
 
-def synthetic_events_query(spark, sf_dir):
+def synthetic_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(synthetic_events(_events(spark, sf_dir).select("event_id"), "event_id"))
 
 
-def encode_roundtrip(spark, sf_dir):
+def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     generated = synthetic_events(_events(spark, sf_dir).select("event_id"), "event_id")
     decoded = decode_records(encode_records(generated, keep=("event_id",)), keep=("event_id",))
     return ntz(valid_events(decoded, keep=("event_id",)))
