@@ -3,6 +3,11 @@ the whole ``events`` table (or data Spark derives from it).
 
 Output conventions shared with the SQL oracle: timestamps as TIMESTAMP_NTZ
 (UTC wall clock), money as DECIMAL(18,2), summary revenue rounded to cents.
+
+Each query sets the session time zone to UTC (``use_utc``): window edges
+are epoch-aligned instants and the summary's timestamps are UTC, so results
+must not depend on the caller's zone. Streaming queries write their output
+and checkpoints under the session's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
