@@ -3,7 +3,7 @@
     python -m eventide stream   --sink parquet --path P --checkpoint C [--source kafka|files --input DIR]
     python -m eventide stream   --sink jdbc --checkpoint C            (POSTGRES_* from the environment)
     python -m eventide report   --table P [--keyed] | --jdbc   [--as-of TS] [--period "1 hour"] [--limit 100] [--out DIR]
-    python -m eventide generate --events N --out DIR [--partitions K]
+    python -m eventide generate --events N (--out DIR | --kafka) [--partitions K]
 
 Configuration comes from the environment (KAFKA_BOOTSTRAP_SERVERS,
 KAFKA_TOPIC, KAFKA_GROUP_ID, POSTGRES_URL, POSTGRES_USER, POSTGRES_PASSWORD,
@@ -75,9 +75,14 @@ def _report(args, spark) -> None:
 def _generate(args, spark) -> None:
     from .functions.encode import encode_records
     from .operators import generate_events
+    from .sources.kafka import write_kafka
     from .streaming.sinks import write_json_lines
 
-    write_json_lines(encode_records(generate_events(spark, args.events, args.partitions), keep=()), args.out)
+    records = encode_records(generate_events(spark, args.events, args.partitions), keep=())
+    if getattr(args, "kafka", False):
+        write_kafka(records, JobConfig.from_env())  # unkeyed, acks=all, 3 retries
+    else:
+        write_json_lines(records, args.out)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -102,9 +107,12 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--out", help="write rows and totals as parquet here instead of printing")
     g = sub.add_parser("generate")
     g.add_argument("--events", type=int, required=True)
-    g.add_argument("--out", required=True)
+    g.add_argument("--out", help="folder for JSON-lines files")
+    g.add_argument("--kafka", action="store_true", help="send to KAFKA_TOPIC instead (needs the Kafka connector)")
     g.add_argument("--partitions", type=int)
     args = p.parse_args(argv)
+    if args.cmd == "generate" and not (args.out or args.kafka):
+        p.error("generate needs --out or --kafka")
     spark = build_session(app_name=f"eventide-{args.cmd}")
     {"stream": _stream, "report": _report, "generate": _generate}[args.cmd](args, spark)
 
