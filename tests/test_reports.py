@@ -103,3 +103,15 @@ def test_sql_text_matches_the_dataframe_operators(spark):
         sql.run(spark, sql.last_period_sql(as_of, "1 hour", 100)),
         last_period(summary, as_of=as_of, period="1 hour"),
     )
+
+
+def test_cli_report_prints_and_writes(spark, workdir, capsys):
+    from eventide.cli import main
+
+    _summary(spark).write.parquet(f"{workdir}/s")
+    main(["report", "--table", f"{workdir}/s", "--as-of", "2024-01-01 12:30:00", "--limit", "2"])
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert lines[0].startswith("Window Start") and lines[-2].startswith("TOTAL") and len(lines) == 5
+    main(["report", "--table", f"{workdir}/s", "--as-of", "2024-01-01 12:30:00", "--out", f"{workdir}/r"])
+    assert spark.read.parquet(f"{workdir}/r/rows").count() == 4
+    assert spark.read.parquet(f"{workdir}/r/totals").first()["total_events"] == 22
