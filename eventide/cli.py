@@ -3,6 +3,7 @@
     python -m eventide stream   --sink parquet --path P --checkpoint C [--source kafka|files --input DIR]
     python -m eventide stream   --sink jdbc --checkpoint C            (POSTGRES_* from the environment)
     python -m eventide report   --table P [--keyed] | --jdbc   [--as-of TS] [--period "1 hour"] [--limit 100] [--out DIR]
+    python -m eventide query    [latest] [revenue] [windows] --table P [--keyed] | --jdbc
     python -m eventide generate --events N (--out DIR | --kafka) [--partitions K]
 
 Configuration comes from the environment (KAFKA_BOOTSTRAP_SERVERS,
@@ -44,8 +45,7 @@ def _stream(args, spark) -> None:
     query.awaitTermination()
 
 
-def _report(args, spark) -> None:
-    from .operators import formatted, last_period
+def _summary_source(args, spark):
     from .streaming.sinks import KeyedSummaryTable
 
     if args.jdbc:
@@ -55,11 +55,33 @@ def _report(args, spark) -> None:
         if not cfg.jdbc_url:
             raise SystemExit("POSTGRES_URL is not set")
         props = jdbc_properties(cfg.jdbc_user, cfg.jdbc_password)
-        summary = read_summary_jdbc(spark, cfg.jdbc_url, cfg.summary_table, props, num_partitions=args.jdbc_partitions)
-    elif args.keyed:
-        summary = KeyedSummaryTable(args.table).read(spark)
-    else:
-        summary = spark.read.parquet(args.table)
+        return read_summary_jdbc(spark, cfg.jdbc_url, cfg.summary_table, props, num_partitions=args.jdbc_partitions)
+    if not args.table:
+        raise SystemExit("give --table or --jdbc")
+    return KeyedSummaryTable(args.table).read(spark) if args.keyed else spark.read.parquet(args.table)
+
+
+def _query(args, spark) -> None:
+    """The three ad-hoc queries: latest rows, revenue by category, events per
+    window. Each result is bounded (10, one per category, 10 rows)."""
+    from .operators import events_per_window, latest, revenue_by_category
+
+    summary = _summary_source(args, spark)
+    chosen = {
+        "latest": ("Latest 10 rows (most recent first)", latest),
+        "revenue": ("Revenue by category (all time)", revenue_by_category),
+        "windows": ("Events per window (last 10 windows)", events_per_window),
+    }
+    for name in args.which or list(chosen):
+        title, op = chosen[name]
+        print(title)
+        op(summary).show(truncate=False)
+
+
+def _report(args, spark) -> None:
+    from .operators import formatted, last_period
+
+    summary = _summary_source(args, spark)
     report = last_period(summary, as_of=args.as_of, period=args.period, limit=args.limit)
     if args.out:
         # For dashboards: the rows and the one-row totals as tables.
@@ -97,10 +119,13 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--compact-every", type=int, default=720)
     r = sub.add_parser("report")
-    r.add_argument("--table", help="parquet summary (or keyed table with --keyed)")
-    r.add_argument("--keyed", action="store_true", help="table written by the keyed sink")
-    r.add_argument("--jdbc", action="store_true", help="read the summary table from the database (POSTGRES_*)")
-    r.add_argument("--jdbc-partitions", type=int, default=8)
+    q = sub.add_parser("query")
+    q.add_argument("which", nargs="*", choices=["latest", "revenue", "windows"])
+    for sp in (r, q):
+        sp.add_argument("--table", help="parquet summary (or keyed table with --keyed)")
+        sp.add_argument("--keyed", action="store_true", help="table written by the keyed sink")
+        sp.add_argument("--jdbc", action="store_true", help="read the summary table from the database (POSTGRES_*)")
+        sp.add_argument("--jdbc-partitions", type=int, default=8)
     r.add_argument("--as-of")
     r.add_argument("--period", default="1 hour")
     r.add_argument("--limit", type=int, default=100)
@@ -114,7 +139,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "generate" and not (args.out or args.kafka):
         p.error("generate needs --out or --kafka")
     spark = build_session(app_name=f"eventide-{args.cmd}")
-    {"stream": _stream, "report": _report, "generate": _generate}[args.cmd](args, spark)
+    {"stream": _stream, "report": _report, "query": _query, "generate": _generate}[args.cmd](args, spark)
 
 
 if __name__ == "__main__":

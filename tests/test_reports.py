@@ -115,3 +115,15 @@ def test_cli_report_prints_and_writes(spark, workdir, capsys):
     main(["report", "--table", f"{workdir}/s", "--as-of", "2024-01-01 12:30:00", "--out", f"{workdir}/r"])
     assert spark.read.parquet(f"{workdir}/r/rows").count() == 4
     assert spark.read.parquet(f"{workdir}/r/totals").first()["total_events"] == 22
+
+
+def test_cli_adhoc_queries(spark, workdir, capsys):
+    from eventide.cli import main
+
+    _summary(spark).write.parquet(f"{workdir}/s")
+    main(["query", "--table", f"{workdir}/s"])
+    out = capsys.readouterr().out
+    assert "Latest 10 rows" in out and "Revenue by category" in out and "Events per window" in out
+    main(["query", "revenue", "--table", f"{workdir}/s"])
+    out = capsys.readouterr().out
+    assert "Revenue by category" in out and "Latest 10 rows" not in out and "72.68" in out
