@@ -90,7 +90,7 @@ def _report(args, spark) -> None:
         report.write.mode("overwrite").parquet(f"{args.out}/rows")
         totals(report).write.mode("overwrite").parquet(f"{args.out}/totals")
         return
-    for row in formatted(report).orderBy("section", "line_no").collect():  # bounded: limit + 3 lines
+    for row in formatted(report, args.limit or 100).orderBy("section", "line_no").collect():  # <= limit + 3 lines
         print(row["line"])
 
 

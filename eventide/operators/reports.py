@@ -73,6 +73,12 @@ def events_per_window(summary: DataFrame, n: int = ADHOC_LIMIT) -> DataFrame:
     )
 
 
+def report_order() -> list[Column]:
+    """Order of the printed report: newest window, highest revenue (NULL
+    first), then category."""
+    return [F.col("window_start").desc(), F.col("total_revenue").desc_nulls_first(), F.col("category").asc_nulls_first()]
+
+
 def last_period(
     summary: DataFrame,
     as_of: dt.datetime | str | Column | None = None,
@@ -93,11 +99,7 @@ def last_period(
             "purchase_count",
             money(F.col("total_revenue")).alias("total_revenue"),
         )
-        .orderBy(
-            F.col("window_start").desc(),
-            F.col("total_revenue").desc_nulls_first(),
-            F.col("category").asc_nulls_first(),
-        )
+        .orderBy(*report_order())
     )
     return rows.limit(limit) if limit is not None else rows
 
@@ -139,23 +141,25 @@ def with_total(report: DataFrame) -> DataFrame:
     )
 
 
-def formatted(report: DataFrame) -> DataFrame:
+def formatted(report: DataFrame, max_rows: int = REPORT_LIMIT) -> DataFrame:
     """The printed report as (section, line_no, line): 0 header, 1 rows,
     2 TOTAL, 3 rates.
 
-    Meant for the limited report that is printed (``last_period`` with its
-    row limit): row lines are numbered by one ordered window over the report,
-    i.e. in a single task over at most ``limit`` rows. Unlimited reports
-    should use ``with_total`` / ``totals``, which stay distributed."""
+    A printed report has a row cap (``REPORT_LIMIT`` in the original): the
+    first ``max_rows`` rows in report order are taken by a distributed top-k,
+    so numbering them with one ordered window is bounded by ``max_rows``
+    whatever the input size. TOTAL and rates cover the printed rows, as in the
+    original; ``totals`` / ``with_total`` give figures for a whole period."""
     from pyspark.sql import Window
 
+    if max_rows is None or max_rows <= 0:
+        raise ValueError("a printed report needs a positive row cap; use totals/with_total for whole periods")
+    report = report.orderBy(*report_order()).limit(int(max_rows))
     header = (
         "Window Start".ljust(22) + " " + "Category".ljust(14) + " " + "Events".rjust(8)
         + " " + "Purchases".rjust(10) + " " + "Revenue ($)".rjust(12)
     )
-    order = Window.orderBy(
-        F.col("window_start").desc(), F.col("total_revenue").desc_nulls_first(), F.col("category").asc_nulls_first()
-    )
+    order = Window.orderBy(*report_order())
     rows = report.select(
         F.lit(1).alias("section"),
         F.row_number().over(order).cast("bigint").alias("line_no"),

@@ -127,3 +127,19 @@ def test_cli_adhoc_queries(spark, workdir, capsys):
     main(["query", "revenue", "--table", f"{workdir}/s"])
     out = capsys.readouterr().out
     assert "Revenue by category" in out and "Latest 10 rows" not in out and "72.68" in out
+
+
+def test_formatted_caps_printed_rows_with_a_distributed_top_k(spark):
+    import pytest
+
+    from eventide.plans.inspect import physical_plan
+
+    rep = last_period(_summary(spark), as_of=T0 + dt.timedelta(minutes=30), period="1 hour", limit=None)
+    out = formatted(rep, max_rows=2)
+    rows = out.where("section = 1").orderBy("line_no").collect()
+    assert [r["line_no"] for r in rows] == [1, 2] and "home" in rows[0]["line"]
+    assert "TakeOrderedAndProject" in physical_plan(out)
+    total = out.where("section = 2").first()["line"]
+    assert total.split()[1:3] == ["7", "1"]  # TOTAL covers the printed rows only
+    with pytest.raises(ValueError):
+        formatted(rep, max_rows=None)
