@@ -2,6 +2,7 @@
 
     python -m eventide stream   --sink parquet --path P --checkpoint C [--source kafka|files --input DIR]
     python -m eventide stream   --sink jdbc --checkpoint C            (POSTGRES_* from the environment)
+    (add --available-now to process what is available and stop)
     python -m eventide report   --table P [--keyed] | --jdbc   [--as-of TS] [--period "1 hour"] [--limit 100] [--out DIR]
     python -m eventide query    [latest] [revenue] [windows] --table P [--keyed] | --jdbc
     python -m eventide generate --events N (--out DIR | --kafka) [--partitions K]
@@ -37,11 +38,12 @@ def _stream(args, spark) -> None:
             raise SystemExit("POSTGRES_URL is not set")
         sink = JdbcUpsertSink(cfg.jdbc_url, cfg.summary_table, jdbc_properties(cfg.jdbc_user, cfg.jdbc_password), batch_size=cfg.jdbc_batch_size)
         sink.ensure_table(spark)
-        query = start_from_config(records, cfg, args.checkpoint, sink)
+        query = start_from_config(records, cfg, args.checkpoint, sink, available_now=args.available_now)
     elif args.sink == "table":
-        query = start_from_config(records, cfg, args.checkpoint, KeyedSummaryTable(args.path, compact_every=args.compact_every))
+        table = KeyedSummaryTable(args.path, compact_every=args.compact_every)
+        query = start_from_config(records, cfg, args.checkpoint, table, available_now=args.available_now)
     else:
-        query = start_from_config(records, cfg, args.checkpoint, "parquet", args.path)
+        query = start_from_config(records, cfg, args.checkpoint, "parquet", args.path, available_now=args.available_now)
     query.awaitTermination()
 
 
@@ -118,6 +120,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--compact-every", type=int, default=720)
+    s.add_argument("--available-now", action="store_true", help="process what is available, then stop (backfill)")
     r = sub.add_parser("report")
     q = sub.add_parser("query")
     q.add_argument("which", nargs="*", choices=["latest", "revenue", "windows"])

@@ -58,6 +58,17 @@ def start(
     return writer.foreachBatch(sink).start()
 
 
-def start_from_config(records: DataFrame, cfg: JobConfig, checkpoint: str, sink, path: str | None = None) -> StreamingQuery:
+def start_from_config(
+    records: DataFrame,
+    cfg: JobConfig,
+    checkpoint: str,
+    sink,
+    path: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """The configured job. ``available_now`` processes what is available (in
+    as many micro-batches as the source limits allow) and stops: a bounded
+    backfill on the same checkpoint as the continuous job."""
     summary = summary_stream(records, cfg.window_minutes, cfg.watermark_delay, cfg.strict_time)
-    return start(summary, checkpoint, sink, path, {"processingTime": cfg.trigger_interval})
+    trigger = {"availableNow": True} if available_now else {"processingTime": cfg.trigger_interval}
+    return start(summary, checkpoint, sink, path, trigger)
