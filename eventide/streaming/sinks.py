@@ -274,9 +274,11 @@ class JdbcUpsertSink:
         query_tag: str = "q",
         batch_size: int = 100,
         execute: Callable[[Sequence[str]], None] | None = None,
+        max_connections: int = 8,
     ):
         self.url, self.table, self.properties = url, table, dict(properties)
         self.query_tag, self.batch_size, self._execute = query_tag, batch_size, execute
+        self.max_connections = max_connections
 
     def ensure_table(self, spark: SparkSession) -> None:
         """Create the summary table if the database does not have it yet."""
@@ -288,7 +290,9 @@ class JdbcUpsertSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         execute = self._execute or jvm_executor(batch.sparkSession, self.url, self.properties)
-        write_props = {**self.properties, "batchsize": str(self.batch_size)}
+        # numPartitions caps concurrent connections: the staging write is
+        # coalesced to at most that many tasks, however wide the batch is.
+        write_props = {**self.properties, "batchsize": str(self.batch_size), "numPartitions": str(self.max_connections)}
         staging = self.staging_table(batch_id)
         batch = batch.persist()
         try:

@@ -148,7 +148,7 @@ def test_jdbc_upsert_sink_flow_without_a_database(spark, monkeypatch):
     sink = JdbcUpsertSink("jdbc:postgresql://h/db", "analytics_summary", {"user": "u"}, query_tag="q", execute=statements.extend)
     sink(batch, 5)
     assert writes[0][:2] == ("analytics_summary_stage_q_5", "overwrite") and writes[0][3] == 1
-    assert writes[0][2]["batchsize"] == "100"
+    assert writes[0][2]["batchsize"] == "100" and writes[0][2]["numPartitions"] == "8"
     assert writes[1][:2] == ("analytics_summary_rejects", "append") and writes[1][3] == 1
     assert statements[0].startswith("INSERT INTO analytics_summary") and "FROM analytics_summary_stage_q_5" in statements[0]
     assert statements[1] == "DROP TABLE analytics_summary_stage_q_5"
