@@ -189,3 +189,64 @@ def test_summary_ddl(spark):
     statements = []
     JdbcUpsertSink("jdbc:postgresql://h/db", "analytics_summary", {}, execute=statements.extend).ensure_table(spark)
     assert statements == [pg]
+
+
+class _Recorder:
+    """Stands in for a Spark reader/writer: records format and options."""
+
+    def __init__(self, result=None):
+        self.calls, self.result = [], result
+
+    def format(self, f):
+        self.calls.append(("format", f))
+        return self
+
+    def options(self, **o):
+        self.calls.append(("options", o))
+        return self
+
+    def load(self):
+        self.calls.append(("load",))
+        return self.result
+
+    def save(self):
+        self.calls.append(("save",))
+
+
+def test_kafka_readers_and_writer_use_the_option_maps(spark, monkeypatch):
+    from pyspark.sql import SparkSession
+
+    from eventide.sources import kafka
+
+    cfg = JobConfig(kafka_bootstrap="b:9092", kafka_topic="t", kafka_group_id="g")
+    rec = _Recorder(result="df")
+    monkeypatch.setattr(SparkSession, "read", property(lambda self: rec))
+    assert kafka.kafka_batch(spark, cfg) == "df"
+    opts = rec.calls[1][1]
+    assert rec.calls[0] == ("format", "kafka") and opts["startingOffsets"] == "earliest" and opts["endingOffsets"] == "latest"
+
+    srec = _Recorder(result="stream")
+    monkeypatch.setattr(SparkSession, "readStream", property(lambda self: srec))
+    assert kafka.kafka_stream(spark, cfg, min_partitions=64) == "stream"
+    assert srec.calls[1][1]["minPartitions"] == "64" and srec.calls[1][1]["startingOffsets"] == "latest"
+
+    wrec = _Recorder()
+    df = spark.createDataFrame([("{}",)], "value string")
+    monkeypatch.setattr(type(df), "write", property(lambda self: wrec))
+    kafka.write_kafka(df, cfg)
+    assert wrec.calls[0] == ("format", "kafka") and wrec.calls[1][1]["kafka.acks"] == "all" and wrec.calls[-1] == ("save",)
+
+
+def test_record_stream_sink_writes_json_lines(spark, workdir):
+    from eventide.functions.encode import encode_records
+    from eventide.operators import generate_events
+    from eventide.sources.files import json_lines_stream
+    from eventide.streaming.sinks import start_record_sink, write_json_lines
+
+    write_json_lines(encode_records(generate_events(spark, 300, 2), keep=()), f"{workdir}/src")
+    q = start_record_sink(
+        json_lines_stream(spark, f"{workdir}/src"), f"{workdir}/chk", path=f"{workdir}/out", trigger={"availableNow": True}
+    )
+    q.awaitTermination()
+    out = spark.read.text(f"{workdir}/out")
+    assert out.count() == 300 and out.where("value NOT LIKE '{\"user_id\":%'").count() == 0
