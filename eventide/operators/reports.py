@@ -172,31 +172,31 @@ def formatted(report: DataFrame, max_rows: int = REPORT_LIMIT) -> DataFrame:
             pad_left(F.coalesce(fmt_money(F.col("total_revenue")), F.lit("")), 12),
         ).alias("line"),
     )
-    tot = totals(report)
-    total_line = tot.select(
-        F.lit(2).alias("section"),
-        F.lit(1).cast("bigint").alias("line_no"),
-        F.concat_ws(
-            " ",
-            pad_right(F.lit("TOTAL"), 22),
-            pad_right(F.lit(""), 14),
-            pad_left(fmt_int(F.col("total_events")), 8),
-            pad_left(fmt_int(F.col("total_purchases")), 10),
-            pad_left(fmt_money(F.col("total_revenue")), 12),
-        ).alias("line"),
+    total_line = F.concat_ws(
+        " ",
+        pad_right(F.lit("TOTAL"), 22),
+        pad_right(F.lit(""), 14),
+        pad_left(fmt_int(F.col("total_events")), 8),
+        pad_left(fmt_int(F.col("total_purchases")), 10),
+        pad_left(fmt_money(F.col("total_revenue")), 12),
     )
     rate = F.coalesce(F.format_string("%.1f%%", F.col("conversion_rate_pct")), F.lit("n/a"))
-    rates_line = tot.select(
-        F.lit(3).alias("section"),
-        F.lit(1).cast("bigint").alias("line_no"),
-        F.concat(
-            F.lit("  Conversion rate: "),
-            rate,
-            F.lit("  |  Avg order value: $"),
-            F.format_string("%.2f", F.col("avg_order_value").cast("double")),
-        ).alias("line"),
+    rates_line = F.concat(
+        F.lit("  Conversion rate: "),
+        rate,
+        F.lit("  |  Avg order value: $"),
+        F.format_string("%.2f", F.col("avg_order_value").cast("double")),
+    )
+    # Both trailing lines come from the one-row totals: one branch, not two.
+    tail = totals(report).select(
+        F.inline(
+            F.array(
+                F.struct(F.lit(2).alias("section"), F.lit(1).cast("bigint").alias("line_no"), total_line.alias("line")),
+                F.struct(F.lit(3).alias("section"), F.lit(1).cast("bigint").alias("line_no"), rates_line.alias("line")),
+            )
+        )
     )
     head = report.sparkSession.range(1).select(
         F.lit(0).alias("section"), F.lit(1).cast("bigint").alias("line_no"), F.lit(header).alias("line")
     )
-    return head.unionByName(rows).unionByName(total_line).unionByName(rates_line)
+    return head.unionByName(rows).unionByName(tail)
