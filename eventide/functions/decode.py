@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EVENT_TIME_PATTERN
-from ..schema import CORRUPT_COLUMN, WIRE_DECODE_SCHEMA, WIRE_FIELDS
+from ..schema import CORRUPT_COLUMN, WIRE_DECODE_SCHEMA
 
 REJECT_COLUMN = "_reject"
 RAW_COLUMN = "_value"

@@ -12,7 +12,6 @@ partitions round robin by ``event_id`` with offset ``event_id div partitions``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..constants import CATEGORIES, PRODUCTS, PURCHASE, SESSION_COUNT, WIRE_TIME_FORMAT
 from ..functions.encode import encode_records
