@@ -60,6 +60,7 @@ class KeyedSummaryTable:
         log/kind=rows/batch_id=N/      rows written by micro-batch N
         log/kind=rejects/batch_id=N/   NULL-key rows of micro-batch N
         snapshots/upto=B/              resolved table over batches <= B
+        rejects_snapshots/upto=B/      all rejects of batches <= B
 
     A micro-batch is one write job: rows and rejects are partitions of the
     same dynamic-overwrite write, so a retry replaces both. Reads resolve the
@@ -79,6 +80,7 @@ class KeyedSummaryTable:
         self.batches_path = f"{self.log_path}/kind=rows"
         self.rejects_path = f"{self.log_path}/kind=rejects"
         self.snapshots_path = f"{self.path}/snapshots"
+        self.rejects_snapshots_path = f"{self.path}/rejects_snapshots"
         self.compact_every = compact_every
 
     # -- write ----------------------------------------------------------------
@@ -124,14 +126,17 @@ class KeyedSummaryTable:
                     pass
         return out
 
-    def _snapshot(self, spark: SparkSession) -> int | None:
-        """Newest snapshot whose write committed (has _SUCCESS)."""
-        for upto in sorted(self._children(spark, self.snapshots_path, "upto="), reverse=True):
-            fs, p = self._fs(spark, f"{self.snapshots_path}/upto={upto}/_SUCCESS")
+    def _latest(self, spark: SparkSession, path: str) -> int | None:
+        """Newest snapshot under ``path`` whose write committed (_SUCCESS)."""
+        for upto in sorted(self._children(spark, path, "upto="), reverse=True):
+            fs, p = self._fs(spark, f"{path}/upto={upto}/_SUCCESS")
             if fs.exists(p):
                 return upto
         return None
 
+    def _snapshot(self, spark: SparkSession) -> int | None:
+        return self._latest(spark, self.snapshots_path)
+
     def _delete(self, spark: SparkSession, path: str) -> None:
         fs, p = self._fs(spark, path)
         fs.delete(p, True)
@@ -168,25 +173,45 @@ class KeyedSummaryTable:
         """Current table: the newest row of every key."""
         return self._resolve(self._rows(spark))
 
+    def _reject_rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        """Rejects are not keyed: a rejects snapshot keeps every row with its
+        batch id; readers take its rows of earlier batches and the folders
+        from its batch on (so a retried batch is never counted twice)."""
+        snap = self._latest(spark, self.rejects_snapshots_path)
+        rows = self._read_raw(spark, self.rejects_path)
+        if snap is not None:
+            base = spark.read.schema(self._stored).parquet(f"{self.rejects_snapshots_path}/upto={snap}")
+            rows = rows.where(F.col("batch_id") >= snap).unionByName(base.where(F.col("batch_id") < snap))
+        if upto is not None:
+            rows = rows.where(F.col("batch_id") <= upto)
+        return rows
+
     def read_rejects(self, spark: SparkSession) -> DataFrame:
-        return self._read_raw(spark, self.rejects_path)
+        return self._reject_rows(spark)
 
     # -- compaction -----------------------------------------------------------
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Write the resolved table over batches <= upto as a new snapshot,
-        then drop the folders that readers of the *previous* snapshot no
-        longer need (batches before it, older snapshots)."""
+        """Write the resolved table (and the rejects) over batches <= upto as
+        new snapshots, then drop the folders that readers of the *previous*
+        snapshots no longer need (batches before them, older snapshots)."""
         previous = self._snapshot(spark)
-        if previous is not None and previous >= upto:
-            return
-        self._resolve(self._rows(spark, upto)).write.mode("overwrite").parquet(f"{self.snapshots_path}/upto={upto}")
-        if previous is not None:
-            for bid, folder in self._children(spark, self.batches_path, "batch_id=").items():
-                if bid < previous:
-                    self._delete(spark, folder)
-            for old, folder in self._children(spark, self.snapshots_path, "upto=").items():
-                if old < previous:
-                    self._delete(spark, folder)
+        if previous is None or previous < upto:
+            self._resolve(self._rows(spark, upto)).write.mode("overwrite").parquet(f"{self.snapshots_path}/upto={upto}")
+            if previous is not None:
+                self._drop_before(spark, previous, self.batches_path, self.snapshots_path)
+        previous_rej = self._latest(spark, self.rejects_snapshots_path)
+        if previous_rej is None or previous_rej < upto:
+            self._reject_rows(spark, upto).write.mode("overwrite").parquet(f"{self.rejects_snapshots_path}/upto={upto}")
+            if previous_rej is not None:
+                self._drop_before(spark, previous_rej, self.rejects_path, self.rejects_snapshots_path)
+
+    def _drop_before(self, spark: SparkSession, previous: int, folders: str, snapshots: str) -> None:
+        for bid, folder in self._children(spark, folders, "batch_id=").items():
+            if bid < previous:
+                self._delete(spark, folder)
+        for old, folder in self._children(spark, snapshots, "upto=").items():
+            if old < previous:
+                self._delete(spark, folder)
 
 
 # ---------------------------------------------------------------------------

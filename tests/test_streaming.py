@@ -212,3 +212,19 @@ def test_cli_stream_backfill_into_keyed_table(spark, workdir):
     assert t.groupBy().sum("event_count").first()[0] == 1800
     main(args)  # rerun on the same checkpoint: nothing new, nothing duplicated
     assert KeyedSummaryTable(f"{workdir}/table").read(spark).groupBy().sum("event_count").first()[0] == 1800
+
+
+def test_compaction_also_bounds_reject_folders(spark, workdir):
+    table = KeyedSummaryTable(f"{workdir}/r", compact_every=3)
+    schema = "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double"
+    m = dt.timedelta(minutes=1)
+    for b in range(10):
+        rows = [(T0 + b * m, T0 + (b + 1) * m, "a", 1, 0, 0.0), (T0 + b * m, T0 + (b + 1) * m, None, b, 0, 0.0)]
+        table.write_batch(spark.createDataFrame(rows, schema), b)
+    table.write_batch(spark.createDataFrame([(T0 + 9 * m, T0 + 10 * m, None, 9, 0, 0.0)], schema), 9)  # retried
+    rej = table.read_rejects(spark)
+    assert sorted(r["event_count"] for r in rej.collect()) == list(range(10))  # each batch once
+    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{workdir}/r/log/kind=rejects") if d.startswith("batch_id="))
+    assert left == [6, 7, 8, 9]
+    assert sorted(os.listdir(f"{workdir}/r/rejects_snapshots")) == ["upto=6", "upto=9"]
+    assert table.read(spark).count() == 10
