@@ -211,10 +211,11 @@ def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed windows whose key is NULL (category missing) land in rejects."""
+    """Closed windows whose key is NULL (category missing) land in rejects
+    (read back through a rejects snapshot: the table compacts every batch)."""
     use_utc(spark)
     run = _run_dir(spark, "summary_rejects")
-    table = KeyedSummaryTable(f"{run}/table")
+    table = KeyedSummaryTable(f"{run}/table", compact_every=1)
     records = dirty_records(events_to_wire(events_stream(spark, sf_dir)))
     _stream_to_table(spark, records, table, run)
     return ntz(rounded(table.read_rejects(spark).drop("batch_id")))
