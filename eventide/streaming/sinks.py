@@ -200,6 +200,8 @@ class KeyedSummaryTable:
             if previous is not None:
                 self._drop_before(spark, previous, self.batches_path, self.snapshots_path)
         previous_rej = self._latest(spark, self.rejects_snapshots_path)
+        if previous_rej is None and not self._children(spark, self.rejects_path, "batch_id="):
+            return  # no rejects written yet: nothing to fold
         if previous_rej is None or previous_rej < upto:
             self._reject_rows(spark, upto).write.mode("overwrite").parquet(f"{self.rejects_snapshots_path}/upto={upto}")
             if previous_rej is not None:
