@@ -37,3 +37,39 @@ def test_encode_decode_round_trip(spark, rows):
         assert (r["user_id"], r["session_id"], r["product_id"], r["category"], r["event_type"]) == (u, s, p, c, e)
         assert r["amount"] == a
         assert r["timestamp"] == ts and r["event_time"] == t
+
+
+_CHARS = "0123456789-T:.Z+ zt/"
+_mutation = st.tuples(st.integers(min_value=0, max_value=40), st.sampled_from(["set", "insert", "delete"]), st.sampled_from(list(_CHARS)))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    seeds=st.lists(st.tuples(micros, st.sampled_from(["Z", "+00:00", "-05:30", "+14:00", "+18:30"])), min_size=5, max_size=40),
+    mutations=st.lists(st.lists(_mutation, max_size=3), min_size=40, max_size=40),
+)
+def test_positional_time_rule_agrees_with_regex_on_mutations(spark, seeds, mutations):
+    """Random edits of valid timestamps: the positional strict rule and the
+    regular-expression rule accept and parse exactly the same texts."""
+    from pyspark.sql import functions as F
+
+    from eventide.functions.decode import parse_event_time
+
+    epoch = dt.datetime(1970, 1, 1)
+    texts = []
+    for (us, offset), edits in zip(seeds, mutations):
+        t = list((epoch + dt.timedelta(microseconds=us)).strftime("%Y-%m-%dT%H:%M:%S.%f") + offset)
+        texts.append("".join(t))
+        for pos, kind, ch in edits:
+            pos = min(pos, len(t))
+            if kind == "set" and pos < len(t):
+                t[pos] = ch
+            elif kind == "insert":
+                t.insert(pos, ch)
+            elif kind == "delete" and pos < len(t):
+                del t[pos]
+        texts.append("".join(t))
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    out = df.select("t", parse_event_time(F.col("t"), by_regex=True).alias("r"), parse_event_time(F.col("t")).alias("p")).collect()
+    for row in out:
+        assert row["r"] == row["p"], row["t"]
