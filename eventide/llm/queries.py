@@ -2,32 +2,78 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontaminate import contaminated
+from .mixing import OTHER_WEIGHT, WEIGHTS, mixing_plan
 from .neardup import near_duplicates
+from .pii import BASE_KINDS, digest, joined, personal_data
 from .rules import quality_rules
+from .sharding import sharded
+from .tokencount import token_counts
+
+SHARDS = 24
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [[(s["kind"], s["start"], s["end"]) for s in spans] for spans in batch.column(1).to_pylist()]
+            counts = [pa.array([sum(s[0] == k for s in spans) for spans in rows], pa.int64()) for k in BASE_KINDS]
+            texts = [pa.array([f(spans) for spans in rows], pa.string()) for f in (digest, joined)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, *texts], names=names)
+
+    names = ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"]
+    schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string"
+    return personal_data(table(spark, sf_dir, "documents")).mapInArrow(digests, schema)
+
+
+def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
+
+
+def op4_string_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_tokens", "covered_tokens", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_plan(table(spark, sf_dir, "documents"), WEIGHTS, OTHER_WEIGHT)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *base, "base_failed", "kept", "reason")
 
 
+def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_anchor_pii": op2_anchor_pii,
+    "op3_rendezvous_sharding": op3_rendezvous_sharding,
+    "op4_string_tiling_decontamination": op4_string_tiling_decontamination,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op8_pfair_mixing": op8_pfair_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_transducer_token_counts": op10_transducer_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -159,11 +159,11 @@ def thresholds(counts: DataFrame, spread: float = SPREAD, min_group: int = MIN_G
             fences.append(F.when(F.col(f"n{suffix}") > 0, mid + slack + spread * (high - low)).alias(f"{r}{suffix}"))
         return merged.select(*[F.col(k).alias(f"{k}{suffix}") for k in keys], f"n{suffix}", *fences)
 
-    own, lang, every = level(["lang", "source"], ""), level(["lang"], "_1"), level([], "_2")
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_1")), "left").join(F.broadcast(every), F.lit(True), "left")
+    own, lang, every = level(["lang", "source"], ""), level(["lang"], "_1"), level([], "_2").first()
+    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_1")), "left")
 
     def chosen(r: str) -> Column:
-        wide = F.when(F.col("n_1") >= min_group, F.col(f"{r}_1")).otherwise(F.col(f"{r}_2"))
+        wide = F.when(F.col("n_1") >= min_group, F.col(f"{r}_1")).otherwise(F.lit(every[f"{r}_2"]).cast("double"))
         fence = F.when(F.col("n") >= min_group, F.col(r)).otherwise(wide)
         return F.coalesce(fence, F.lit(float("inf"))).alias(f"max_{r}")
 

@@ -6,7 +6,7 @@ import sys
 import types
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows a side may have to be broadcast; a wider side is joined by shuffle.
@@ -37,26 +37,25 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).collect()) <= rows else df
 
 
-def numbered(df: DataFrame, key: Sequence[str], order: Sequence[str], spread: Column, name: str) -> DataFrame:
-    """``df`` with ``name``: 0, 1, 2, ... within each key, without gaps.
+def numbered(df: DataFrame, key: Sequence[str], place: str, limit: int, ties: Sequence[str], name: str) -> DataFrame:
+    """``df`` with ``name``: 0, 1, 2, ... within each key by ``place`` (a uniform
+    hash in 0..limit-1) and ``ties``, without gaps.
 
-    Rows of a key are dealt over buckets by ``spread``, numbered inside a
-    bucket, and shifted by the rows in the buckets before it; so a key with a
-    third of all rows is numbered by all tasks. The number of buckets follows
-    the shuffle partitions. Both window and offsets are hashed alike, so the
-    offsets are joined without another shuffle of the rows."""
+    A key's rows are cut into ranges of ``place``, numbered inside a range and
+    shifted by the rows of the ranges before, so a key with a third of all
+    rows is numbered by all tasks. The number of ranges follows the shuffle
+    partitions and changes no number. Rows and offsets are hashed alike, so
+    the offsets join without another shuffle of the rows."""
     spark = df.sparkSession
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("_bucket", F.pmod(spread, F.lit(buckets)).cast("int"))
-    cell = [*key, "_bucket"]
-    before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_cut", F.floor(F.col(place) / F.lit(float(limit)) * cuts).cast("int"))
+    cell = [*key, "_cut"]
+    before = Window.partitionBy(*key).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = counts.select(*cell, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    inside = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy(*cell).orderBy(*order)) - 1)
-    a, b = inside.alias("a"), offsets.alias("b")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key] + [F.col("a._bucket") == F.col("b._bucket")]
-    kept = [F.col(f"a.{c}").alias(c) for c in df.columns]
-    return a.join(b, same).select(*kept, (F.col("b._before") + F.col("a._inside")).cast("long").alias(name))
+    inside = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy(*cell).orderBy(place, *ties)) - 1)
+    number = (F.col("_before") + F.col("_inside")).cast("long").alias(name)
+    return inside.join(offsets, cell).select(*df.columns, number)
 
 
 def worker_cache() -> dict:
