@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .attention_mil import held_out, scored, train
 from .decontaminate import contaminated
 from .mixing import OTHER_WEIGHT, WEIGHTS, mixing_plan
 from .neardup import near_duplicates
@@ -25,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_attention_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    out = F.when(F.col("score") >= 0.7, 1).otherwise(0)
+    return scored(docs, model).select("doc_id", held_out().alias("held_out"), "score", out.alias("predicted"), "n_passages", "top_passage")
+
+
 def op2_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,6 +75,7 @@ def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_attention_mil_quality": op1_attention_mil_quality,
     "op2_anchor_pii": op2_anchor_pii,
     "op3_rendezvous_sharding": op3_rendezvous_sharding,
     "op4_string_tiling_decontamination": op4_string_tiling_decontamination,
