@@ -34,6 +34,7 @@ from .words import SEPARATOR, Hasher, Texts, blocks, row_of, words_of
 PASSAGE_WORDS = 64
 PER_CLASS = 1500
 WORD_BUCKETS = 64
+TRUST_WORDS = 12
 LENGTHS = 16
 HIDDEN, ATTENTION = 24, 12
 STEPS, RATE, DECAY = 200, 0.02, 1e-4
@@ -54,7 +55,7 @@ FEATURES = CLASSES + LENGTHS + WORD_BUCKETS
 
 
 def passages(texts: Texts, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages, and the passages' offsets by text (one at least)."""
+    """Features of all passages (the last column: trust in the others), and the passages' offsets by text (one at least)."""
     words = words_of(texts)
     n_words = np.diff(words.doc)
     n = np.maximum(-(-n_words // PASSAGE_WORDS), 1)
@@ -75,7 +76,14 @@ def passages(texts: Texts, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     size = np.minimum(words.end - words.start, LENGTHS) - 1
     bucket = (hasher.ranges(texts.data, words.start, words.end) % np.uint64(WORD_BUCKETS)).astype(np.int64)
     parts = [shares(BYTE_CLASS[texts.data], place, CLASSES), shares(size, passage, LENGTHS), shares(bucket, passage, WORD_BUCKETS)]
-    return np.sqrt(np.concatenate(parts, axis=1)).astype(np.float32), at
+    held = np.bincount(passage, minlength=total)
+    trust = held / (held + TRUST_WORDS)
+    return np.column_stack([np.sqrt(np.concatenate(parts, axis=1)), trust]).astype(np.float32), at
+
+
+def normal(x: np.ndarray, mean: np.ndarray, std: np.ndarray) -> np.ndarray:
+    """Deviations from the training mean, less for passages of few words: their shares are mostly chance."""
+    return np.clip((x[:, :-1] - mean) / std, -6, 6) * x[:, -1:]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -150,12 +158,12 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     y = np.array([r["_y"] for r in held], np.float32)
     if not (0 < y.sum() < len(y)):
         return none
-    bags = [np.frombuffer(r["x"], np.float16).reshape(-1, FEATURES) for r in held]
+    bags = [np.frombuffer(r["x"], np.float16).reshape(-1, FEATURES + 1) for r in held]
     at = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
     x = np.concatenate(bags).astype(np.float32)
-    mean, std = x.mean(axis=0), x.std(axis=0) + 1e-3
+    mean, std = x[:, :-1].mean(axis=0), x[:, :-1].std(axis=0) + 1e-3
     weight = np.where(y == 1, share / y.sum(), (1 - share) / (1 - y).sum()).astype(np.float32)
-    return {"share": share, "mean": mean, "std": std, "params": fit(np.clip((x - mean) / std, -6, 6), at, y, weight)}
+    return {"share": share, "mean": mean, "std": std, "params": fit(normal(x, mean, std), at, y, weight)}
 
 
 def scored(docs: DataFrame, model: dict, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,7 +178,7 @@ def scored(docs: DataFrame, model: dict, id_column: str = "doc_id", text: str =
                 if model["params"] is None:
                     score, top = np.full(texts.n, model["share"]), np.zeros(texts.n, np.int64)
                 else:
-                    f = forward(model["params"], np.clip((x - model["mean"]) / model["std"], -6, 6), at)
+                    f = forward(model["params"], normal(x, model["mean"], model["std"]), at)
                     score = f["score"].astype(np.float64)
                     best = np.flatnonzero(f["a"] == np.maximum.reduceat(f["a"], at[:-1])[f["bag"]])
                     top = (best - at[:-1][f["bag"][best]])[np.searchsorted(f["bag"][best], np.arange(texts.n))]

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import masked_lm
 from .attention_mil import held_out, scored, train
 from .decontaminate import contaminated
 from .mixing import OTHER_WEIGHT, WEIGHTS, mixing_plan
@@ -60,6 +61,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_masked_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.scored(docs, masked_lm.train(docs))
+
+
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_plan(table(spark, sf_dir, "documents"), WEIGHTS, OTHER_WEIGHT)
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rendezvous_sharding": op3_rendezvous_sharding,
     "op4_string_tiling_decontamination": op4_string_tiling_decontamination,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_masked_lm_scores": op6_masked_lm_scores,
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_transducer_token_counts": op10_transducer_token_counts,
