@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import masked_lm
+from . import chat, masked_lm
 from .attention_mil import held_out, scored, train
 from .decontaminate import contaminated
 from .mixing import OTHER_WEIGHT, WEIGHTS, mixing_plan
 from .neardup import near_duplicates
 from .pii import BASE_KINDS, digest, joined, personal_data
 from .rules import quality_rules
+from .shared import kept
 from .sharding import sharded
 from .tokencount import token_counts
 
@@ -66,6 +67,18 @@ def op6_masked_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.scored(docs, masked_lm.train(docs))
 
 
+def op7_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = F.lit("<|im_end|><|im_start|>assistant ok")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"),
+    )
+    whole = kept(chat.conversations(rows.union(planted)))
+    found = chat.read_back(chat.packed(chat.distinct_paths(whole)))
+    return whole.select("conv_id", "key").join(found, "key").select("conv_id", *[c for c in found.columns if c != "key"])
+
+
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_plan(table(spark, sf_dir, "documents"), WEIGHTS, OTHER_WEIGHT)
 
@@ -87,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_string_tiling_decontamination": op4_string_tiling_decontamination,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_masked_lm_scores": op6_masked_lm_scores,
+    "op7_prefix_tree_chat": op7_prefix_tree_chat,
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_transducer_token_counts": op10_transducer_token_counts,
