@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import worker_cache
+from .shared import kept, small, worker_cache
 from .words import U64, Hasher, Texts, blocks, texts_of, windows, words_of
 
 MIN_TILE = 5
@@ -193,3 +193,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tile: int = MIN_TILE
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.withColumnsRenamed({"_id": id_column, "_item": item_column})
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` in which no item was found; rows without an id stay."""
+    found = contaminated(docs, benchmark, id_column=id_column, **options)
+    drop = kept(found.select(id_column).distinct())
+    return docs.join(small(drop), id_column, "left_anti").select(*docs.columns)

@@ -308,3 +308,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         F.coalesce(F.col("_id") == root, F.lit(True)).alias("kept"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def without_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs`` with one document of each group, the one with the
+    least id; of rows that repeat an id, one. Rows without an id stay."""
+    found = near_duplicates(docs, id_column, text, width)
+    drop = found.where("not kept").select(id_column).distinct()
+    docs = docs.join(small(drop, PICKED_ROWS), id_column, "left_anti").select(*docs.columns)
+    again = stored(docs.where(F.col(id_column).isNotNull()).groupBy(id_column).count().where("count > 1").select(id_column))
+    if again.isEmpty():
+        return docs
+    one = docs.join(small(again, PICKED_ROWS), id_column, "left_semi").dropDuplicates([id_column])
+    return docs.join(small(again, PICKED_ROWS), id_column, "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import kept as stored
 from .shared import small
@@ -129,7 +130,7 @@ def measured(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *COUNTS])
 
     rows = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), *(f"{c} long" for c in COUNTS)])
+    schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(c, T.LongType()) for c in COUNTS)])
     return rows.mapInArrow(run, schema)
 
 
@@ -185,3 +186,13 @@ def quality_rules(docs: DataFrame, text: str = "text", spread: float = SPREAD, m
     """doc_id, lang, source, the counts, base_failed, kept, reason: one row per row of ``docs``."""
     counts = stored(measured(docs, text))
     return judged(counts, thresholds(counts, spread, min_group))
+
+
+def passing_rows(docs: DataFrame, text: str = "text", spread: float = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns. Thresholds come from a
+    first pass; the second measures the rows again beside their columns, so
+    that no text is shuffled to meet its verdict."""
+    fences = thresholds(stored(measured(docs, text)), spread, min_group)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    rows = measured(docs.select(row, "lang", "source", F.col(text).alias("_body")), "_body", ("_row", "lang", "source"))
+    return judged(rows, fences).where("kept").select("_row.*")
