@@ -18,13 +18,12 @@ from .operators import (
     latest,
     revenue_by_category,
     summary_freshness,
-    synthetic_events,
     totals,
     tumbling_summary,
     with_total,
 )
 from .session import build_session, shared_dir
-from .streaming import JdbcUpsertSink, KeyedSummaryTable, progress_frame, start, summary_stream
+from .streaming import JdbcUpsertSink, KeyedSummaryTable, progress_frame, read_summary, start, summary_stream
 
 __all__ = [
     "JobConfig",
@@ -41,7 +40,6 @@ __all__ = [
     "latest",
     "revenue_by_category",
     "summary_freshness",
-    "synthetic_events",
     "totals",
     "tumbling_summary",
     "with_total",
@@ -50,6 +48,7 @@ __all__ = [
     "JdbcUpsertSink",
     "KeyedSummaryTable",
     "progress_frame",
+    "read_summary",
     "start",
     "summary_stream",
 ]

@@ -9,8 +9,8 @@
 
 Configuration comes from the environment (KAFKA_BOOTSTRAP_SERVERS,
 KAFKA_TOPIC, KAFKA_GROUP_ID, POSTGRES_URL, POSTGRES_USER, POSTGRES_PASSWORD,
-WINDOW_MINUTES). The report prints at most ``limit`` + 3 lines; all
-aggregation runs in Spark.
+WINDOW_MINUTES). The report's lines come from Spark one partition at a time;
+all aggregation runs in Spark.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import argparse
 
 from .config import JobConfig
+from .constants import REPORT_LIMIT, REPORT_PERIOD, REPORT_TITLE
 from .session import build_session
 
 
@@ -26,24 +27,29 @@ def _stream(args, spark) -> None:
     from .sources.jdbc import jdbc_properties
     from .sources.kafka import kafka_stream
     from .streaming.job import start_from_config
+    from .streaming.progress import ProgressLog
     from .streaming.sinks import JdbcUpsertSink, KeyedSummaryTable
 
     cfg = JobConfig.from_env(require_password=args.sink == "jdbc")
+    how = {"available_now": args.available_now, "observe_quality": args.observe_quality}
+    if args.progress:
+        spark.streams.addListener(ProgressLog(spark, args.progress))
     if args.source == "kafka":
-        records = kafka_stream(spark, cfg, min_partitions=args.min_partitions)
+        records = kafka_stream(
+            spark, cfg, min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets_per_trigger, exact_group_id=args.exact_group_id
+        )
     else:
-        records = json_lines_stream(spark, args.input)
+        records = json_lines_stream(spark, args.input, max_files_per_trigger=args.max_files_per_trigger)
     if args.sink == "jdbc":
         if not cfg.jdbc_url:
             raise SystemExit("POSTGRES_URL is not set")
         sink = JdbcUpsertSink(cfg.jdbc_url, cfg.summary_table, jdbc_properties(cfg.jdbc_user, cfg.jdbc_password), batch_size=cfg.jdbc_batch_size)
         sink.ensure_table(spark)
-        query = start_from_config(records, cfg, args.checkpoint, sink, available_now=args.available_now)
+        query = start_from_config(records, cfg, args.checkpoint, sink, **how)
     elif args.sink == "table":
-        table = KeyedSummaryTable(args.path, compact_every=args.compact_every)
-        query = start_from_config(records, cfg, args.checkpoint, table, available_now=args.available_now)
+        query = start_from_config(records, cfg, args.checkpoint, KeyedSummaryTable(args.path), **how)
     else:
-        query = start_from_config(records, cfg, args.checkpoint, "parquet", args.path, available_now=args.available_now)
+        query = start_from_config(records, cfg, args.checkpoint, "parquet", args.path, **how)
     query.awaitTermination()
 
 
@@ -84,7 +90,7 @@ def _report(args, spark) -> None:
     from .operators import formatted, last_period
 
     summary = _summary_source(args, spark)
-    report = last_period(summary, as_of=args.as_of, period=args.period, limit=args.limit)
+    report = last_period(summary, as_of=args.as_of, period=args.period, limit=args.limit or None)
     if args.out:
         # For dashboards: the rows and the one-row totals as tables.
         from .operators import totals
@@ -92,7 +98,8 @@ def _report(args, spark) -> None:
         report.write.mode("overwrite").parquet(f"{args.out}/rows")
         totals(report).write.mode("overwrite").parquet(f"{args.out}/totals")
         return
-    for row in formatted(report, args.limit or 100).orderBy("section", "line_no").collect():  # <= limit + 3 lines
+    title = REPORT_TITLE if args.period == REPORT_PERIOD else REPORT_TITLE.replace("60 Minutes", args.period)
+    for row in formatted(report, title).orderBy("section", "line_no").toLocalIterator():
         print(row["line"])
 
 
@@ -119,7 +126,11 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--path")
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--min-partitions", type=int)
-    s.add_argument("--compact-every", type=int, default=720)
+    s.add_argument("--exact-group-id", action="store_true", help="use KAFKA_GROUP_ID itself and not as a prefix")
+    s.add_argument("--max-offsets-per-trigger", type=int, help="records in a micro-batch at most (Kafka)")
+    s.add_argument("--max-files-per-trigger", type=int, help="files in a micro-batch at most (files)")
+    s.add_argument("--observe-quality", action="store_true", help="count rejected and weakened records in each micro-batch")
+    s.add_argument("--progress", help="append every progress update as parquet here")
     s.add_argument("--available-now", action="store_true", help="process what is available, then stop (backfill)")
     r = sub.add_parser("report")
     q = sub.add_parser("query")
@@ -131,7 +142,7 @@ def main(argv: list[str] | None = None) -> None:
         sp.add_argument("--jdbc-partitions", type=int, default=8)
     r.add_argument("--as-of")
     r.add_argument("--period", default="1 hour")
-    r.add_argument("--limit", type=int, default=100)
+    r.add_argument("--limit", type=int, default=REPORT_LIMIT, help="rows printed at most; 0 prints the whole period")
     r.add_argument("--out", help="write rows and totals as parquet here instead of printing")
     g = sub.add_parser("generate")
     g.add_argument("--events", type=int, required=True)

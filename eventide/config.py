@@ -1,5 +1,6 @@
-"""Job configuration, read from the environment with the same defaults as the
-original job. The sink password has no default on purpose."""
+"""Job configuration, read from the environment. Window, watermark, batch size
+and flush interval have the original job's defaults; broker address, topic and
+group id are this package's own. The sink password has no default on purpose."""
 
 from __future__ import annotations
 

@@ -39,6 +39,12 @@ DEFAULT_WINDOW_MINUTES = 1
 REPORT_PERIOD = "1 hour"
 REPORT_LIMIT = 100
 ADHOC_LIMIT = 10
+
+# Frame of the printed report.
+REPORT_TITLE = "  CLICKSTREAM ANALYTICS REPORT — Last 60 Minutes"
+NO_DATA = "  No data yet. The streaming job may still be warming up."
+DOUBLE_RULE = "=" * 75
+SINGLE_RULE = "-" * 75
 # -----------------------------------------------------------------------------
 
 PURCHASE = "purchase"

@@ -28,13 +28,10 @@ REJECT_EMPTY = "empty"
 REJECT_CORRUPT = "corrupt"
 
 # Exactly six fraction digits and an offset (Z or +hh:mm), as the job's
-# formatter requires; Spark's own parser would also take fewer digits.
-STRICT_TIME_SHAPE = r"\.\d{6}(Z|[+-]\d{2}:\d{2})$"
-
-# The same rule by position, for text the pattern parses (fixed-width fields,
-# so the fraction starts after character 20): "." at 20, then 6 digits and
-# "Z" (27 chars) or a sign at 27 and "hh:mm" (32 chars). About half the
-# per-row cost of the regular expression; tests check they agree.
+# formatter requires; Spark's own parser would also take fewer digits. Checked
+# by position, for text the pattern parses (fixed-width fields, so the fraction
+# starts after character 20): "." at 20, then 6 digits and "Z" (27 chars) or a
+# sign at 27 and "hh:mm" (32 chars).
 STRICT_TIME_POSITIONS_SQL = (
     "(substr({c}, 20, 1) = '.' AND ((length({c}) = 27 AND substr({c}, 27, 1) = 'Z') "
     "OR (length({c}) = 32 AND substr({c}, 27, 1) IN ('+', '-'))))"
@@ -58,14 +55,12 @@ def _strict_shape(text: Column) -> Column:
     )
 
 
-def parse_event_time(text: Column, strict: bool = True, by_regex: bool = False) -> Column:
-    """ISO-8601 text -> TIMESTAMP (instant), NULL when it does not parse.
-    ``by_regex`` states the strict rule as a regular expression (the
-    reference form; tests check that both forms agree)."""
+def parse_event_time(text: Column, strict: bool = True) -> Column:
+    """ISO-8601 text -> TIMESTAMP (instant), NULL when it does not parse."""
     if not strict:
         return text.try_cast("timestamp")
     parsed = F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN))
-    return F.when(text.rlike(STRICT_TIME_SHAPE) if by_regex else _strict_shape(text), parsed)
+    return F.when(_strict_shape(text), parsed)
 
 
 _DECODE_OPTIONS = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT_COLUMN}')"

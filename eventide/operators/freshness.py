@@ -23,8 +23,6 @@ def summary_freshness(
     return summary.agg(
         last_end.alias("last_window_end"),
         F.count(F.lit(1)).alias("summary_rows"),
-        F.count_distinct("window_start").alias("windows"),
-        F.count_distinct("category").alias("categories"),
         F.round(lag, 3).alias("lag_seconds"),
         F.coalesce(last_end < now - F.expr(f"INTERVAL {stale_after}"), F.lit(True)).alias("is_stale"),
     )

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.decode import REJECT_COLUMN, REJECT_CORRUPT, REJECT_EMPTY, parse_event_time
 
 
+def quality_counters(strict: bool = True) -> list[Column]:
+    """The seven counters as aggregates over ``decode_records`` output, for a
+    batch aggregate or for ``observe`` on a stream."""
+    accepted = F.col(REJECT_COLUMN).isNull()
+    amount = F.col("amount")
+    counters = {
+        "total_records": F.lit(True),
+        "accepted_records": accepted,
+        "corrupt_records": F.col(REJECT_COLUMN) == F.lit(REJECT_CORRUPT),
+        "empty_records": F.col(REJECT_COLUMN) == F.lit(REJECT_EMPTY),
+        "null_event_time": accepted & parse_event_time(F.col("timestamp"), strict).isNull(),
+        "null_category": accepted & F.col("category").isNull(),
+        "bad_amount": accepted & amount.isNotNull() & amount.try_cast("double").isNull(),
+    }
+    return [F.count_if(c).alias(name) for name, c in counters.items()]
+
+
 def decode_quality(decoded: DataFrame, strict: bool = True) -> DataFrame:
     """One row over all decoded records (output of ``decode_records``)."""
-    accepted = F.col(REJECT_COLUMN).isNull()
-    amount_text = F.col("amount")
-    return decoded.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(accepted).alias("accepted_records"),
-        F.count_if(F.col(REJECT_COLUMN) == F.lit(REJECT_CORRUPT)).alias("corrupt_records"),
-        F.count_if(F.col(REJECT_COLUMN) == F.lit(REJECT_EMPTY)).alias("empty_records"),
-        F.count_if(accepted & parse_event_time(F.col("timestamp"), strict).isNull()).alias("null_event_time"),
-        F.count_if(accepted & F.col("category").isNull()).alias("null_category"),
-        F.count_if(accepted & amount_text.isNotNull() & amount_text.try_cast("double").isNull()).alias("bad_amount"),
-    )
+    return decoded.agg(*quality_counters(strict))

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import ADHOC_LIMIT, REPORT_LIMIT, REPORT_PERIOD
+from ..constants import ADHOC_LIMIT, DOUBLE_RULE, NO_DATA, REPORT_LIMIT, REPORT_PERIOD, REPORT_TITLE, SINGLE_RULE
 from ..functions.text import fmt_int, fmt_money, pad_left, pad_right, ts19
 
 MONEY = "decimal(18,2)"
@@ -85,12 +85,17 @@ def last_period(
     period: str = REPORT_PERIOD,
     limit: int | None = REPORT_LIMIT,
 ) -> DataFrame:
-    """Rows with ``window_start >= as_of - period`` (inclusive), newest window
-    first, then highest rounded revenue (NULL first), then category.
-    ``as_of`` defaults to now; ``limit=None`` keeps the whole period."""
-    since = _as_of(as_of) - F.expr(f"INTERVAL {period}")
+    """Closed windows of the period up to ``as_of``: ``window_start >= as_of -
+    period`` and ``window_end <= as_of`` (both inclusive), newest window first,
+    then highest rounded revenue (NULL first), then category. ``as_of``
+    defaults to now; ``limit=None`` keeps the whole period. A ``window_date``
+    column, as the file sinks write it, prunes the scan to the period's dates."""
+    until = _as_of(as_of)
+    since = until - F.expr(f"INTERVAL {period}")
+    if "window_date" in summary.columns:
+        summary = summary.where(F.col("window_date").between(F.to_date(since), F.to_date(until)))
     rows = (
-        summary.where(F.col("window_start") >= since)
+        summary.where((F.col("window_start") >= since) & (F.col("window_end") <= until))
         .select(
             "window_start",
             "window_end",
@@ -108,16 +113,20 @@ def totals(report: DataFrame) -> DataFrame:
     """One row: totals of the report rows, conversion rate in percent (1 dp,
     NULL when there are no events) and average order value (revenue over
     purchases, at least 1). An empty report gives zeros and a NULL rate."""
+    return report.agg(*_totals())
+
+
+def _totals() -> list[Column]:
     events = F.coalesce(F.sum("event_count"), F.lit(0)).cast("bigint")
     purchases = F.coalesce(F.sum("purchase_count"), F.lit(0)).cast("bigint")
     revenue = F.coalesce(F.sum("total_revenue"), F.lit(0)).cast(MONEY)
-    return report.agg(
+    return [
         events.alias("total_events"),
         purchases.alias("total_purchases"),
         revenue.alias("total_revenue"),
         F.round(F.try_divide(purchases * F.lit(100), events), 1).alias("conversion_rate_pct"),
         money(revenue / F.greatest(purchases, F.lit(1))).alias("avg_order_value"),
-    )
+    ]
 
 
 def with_total(report: DataFrame) -> DataFrame:
@@ -141,28 +150,35 @@ def with_total(report: DataFrame) -> DataFrame:
     )
 
 
-def formatted(report: DataFrame, max_rows: int = REPORT_LIMIT) -> DataFrame:
-    """The printed report as (section, line_no, line): 0 header, 1 rows,
-    2 TOTAL, 3 rates.
+def numbered(report: DataFrame) -> DataFrame:
+    """``report`` with ``line_no`` 1, 2, ... in report order. Rows are numbered
+    within their date and shifted by the rows of later dates; only one count
+    per date meets in one task."""
+    dated = report.withColumn("_date", F.to_date("window_start"))
+    later = Window.orderBy(F.col("_date").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = dated.groupBy("_date").agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.select("_date", F.coalesce(F.sum("_rows").over(later), F.lit(0)).alias("_before"))
+    inside = dated.withColumn("_inside", F.row_number().over(Window.partitionBy("_date").orderBy(*report_order())))
+    a, b = inside.alias("a"), before.alias("b")
+    joined = a.join(b, F.col("a._date").eqNullSafe(F.col("b._date")))
+    return joined.select(*[F.col(f"a.{c}").alias(c) for c in report.columns], (F.col("_before") + F.col("_inside")).cast("bigint").alias("line_no"))
 
-    A printed report has a row cap (``REPORT_LIMIT`` in the original): the
-    first ``max_rows`` rows in report order are taken by a distributed top-k,
-    so numbering them with one ordered window is bounded by ``max_rows``
-    whatever the input size. TOTAL and rates cover the printed rows, as in the
-    original; ``totals`` / ``with_total`` give figures for a whole period."""
-    from pyspark.sql import Window
 
-    if max_rows is None or max_rows <= 0:
-        raise ValueError("a printed report needs a positive row cap; use totals/with_total for whole periods")
-    report = report.orderBy(*report_order()).limit(int(max_rows))
+def formatted(report: DataFrame, title: str = REPORT_TITLE) -> DataFrame:
+    """The printed report as (section, line_no, line), in that order: 0 title, 1
+    column heads, 2 one line per row of ``report``, 3 totals of exactly these
+    rows, 4 rates. An empty report has its title and one line that says so.
+
+    All rows that are passed in are printed; cut them beforehand with the
+    ``limit`` of ``last_period``."""
     header = (
         "Window Start".ljust(22) + " " + "Category".ljust(14) + " " + "Events".rjust(8)
         + " " + "Purchases".rjust(10) + " " + "Revenue ($)".rjust(12)
     )
-    order = Window.orderBy(*report_order())
-    rows = report.select(
-        F.lit(1).alias("section"),
-        F.row_number().over(order).cast("bigint").alias("line_no"),
+    double, single = F.lit(DOUBLE_RULE), F.lit(SINGLE_RULE)
+    rows = numbered(report).select(
+        F.lit(2).alias("section"),
+        "line_no",
         F.concat_ws(
             " ",
             pad_right(ts19(F.col("window_start")), 22),
@@ -180,23 +196,20 @@ def formatted(report: DataFrame, max_rows: int = REPORT_LIMIT) -> DataFrame:
         pad_left(fmt_int(F.col("total_purchases")), 10),
         pad_left(fmt_money(F.col("total_revenue")), 12),
     )
-    rate = F.coalesce(F.format_string("%.1f%%", F.col("conversion_rate_pct")), F.lit("n/a"))
+    percent = F.col("conversion_rate_pct")
     rates_line = F.concat(
         F.lit("  Conversion rate: "),
-        rate,
+        F.when(percent.isNotNull(), F.format_string("%.1f%%", percent)).otherwise("n/a"),
         F.lit("  |  Avg order value: $"),
         F.format_string("%.2f", F.col("avg_order_value").cast("double")),
     )
-    # Both trailing lines come from the one-row totals: one branch, not two.
-    tail = totals(report).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(2).alias("section"), F.lit(1).cast("bigint").alias("line_no"), total_line.alias("line")),
-                F.struct(F.lit(3).alias("section"), F.lit(1).cast("bigint").alias("line_no"), rates_line.alias("line")),
-            )
-        )
-    )
-    head = report.sparkSession.range(1).select(
-        F.lit(0).alias("section"), F.lit(1).cast("bigint").alias("line_no"), F.lit(header).alias("line")
-    )
-    return head.unionByName(rows).unionByName(tail)
+
+    def lines(*texts: tuple[int, int, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).cast("bigint").alias("line_no"), t.alias("line")) for s, n, t in texts])
+
+    # Everything but the rows comes from the one-row totals.
+    top = [(0, 1, double), (0, 2, F.lit(title)), (0, 3, double)]
+    full = lines(*top, (1, 1, F.lit(header)), (1, 2, single), (3, 1, single), (3, 2, total_line), (3, 3, double), (4, 1, rates_line), (4, 2, double))
+    empty = lines(*top, (1, 1, F.lit(NO_DATA)), (1, 2, double))
+    frame = report.agg(*_totals(), F.count(F.lit(1)).alias("rows")).select(F.inline(F.when(F.col("rows") > 0, full).otherwise(empty)))
+    return frame.unionByName(rows)

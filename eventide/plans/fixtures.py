@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..schema import WIRE_FIELDS
 
 DIRTY_MOD = 11
-REJECTED = (1, 5, 6, 8)
 
 
 def _json(**override: Column | None) -> Column:

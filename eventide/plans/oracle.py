@@ -8,18 +8,24 @@ buckets windows by epoch-microsecond arithmetic.
 
 from __future__ import annotations
 
-from ..constants import CATEGORIES, PRICE_RANGES, PRODUCTS
-from ..functions.hashing import hash_select_items
-from ..operators.generate import DEFAULT_SPACING_US, DEFAULT_START, SALTS
 from .registry import EMPTY_AS_OF, FRESHNESS_AS_OF, REPORT_AS_OF
 
+# Written out here and not imported, so that a wrong value shows.
+CATEGORIES = ("electronics", "clothing", "books", "sports", "home", "beauty", "toys")
+PRODUCTS = (
+    ("laptop", "smartphone", "headphones", "tablet", "smartwatch"), ("jacket", "jeans", "sneakers", "dress", "hoodie"),
+    ("novel", "textbook", "cookbook", "biography", "comic"), ("yoga_mat", "dumbbells", "bike_helmet", "running_shoes", "water_bottle"),
+    ("lamp", "pillow", "coffee_maker", "candle", "plant_pot"), ("moisturizer", "lipstick", "perfume", "shampoo", "serum"),
+    ("lego_set", "board_game", "action_figure", "puzzle", "rc_car"),
+)
+
 
 def _list(values) -> str:
     return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + "]"
 
 
 CATS = _list(CATEGORIES)
-PRODS = "[" + ", ".join(_list(PRODUCTS[c]) for c in CATEGORIES) + "]"
+PRODS = "[" + ", ".join(_list(p) for p in PRODUCTS) + "]"
 
 WIRE = f"""wire AS (
   SELECT e.event_id,
@@ -76,7 +82,7 @@ def _period(hours: int, as_of: str = REPORT_AS_OF, limit: int | None = 100) -> s
   SELECT window_start, window_end, category, event_count, purchase_count,
          CAST(ROUND(total_revenue, 2) AS DECIMAL(18,2)) AS total_revenue
   FROM summary
-  WHERE window_start >= TIMESTAMP '{as_of}' - INTERVAL {hours} HOUR
+  WHERE window_start >= TIMESTAMP '{as_of}' - INTERVAL {hours} HOUR AND window_end <= TIMESTAMP '{as_of}'
   ORDER BY window_start DESC, total_revenue DESC NULLS FIRST, category ASC NULLS FIRST{limit_sql}
 )"""
 
@@ -97,52 +103,36 @@ def _closed(src: str) -> str:
 )"""
 
 
-def _generated(id_source: str) -> str:
-    hash_items = ",\n       ".join(hash_select_items("event_id", SALTS, dialect="duckdb"))
-    lows = _list([PRICE_RANGES[c][0] * 100 for c in CATEGORIES])
-    spans = _list([(PRICE_RANGES[c][1] - PRICE_RANGES[c][0]) * 100 + 1 for c in CATEGORIES])
-    start_us = int(DEFAULT_START.timestamp() * 1_000_000)
-    return f"""hashed AS (
-  SELECT event_id,
-       {hash_items}
-  FROM ({id_source}) ids
-),
-gen AS (
-  SELECT event_id,
-         printf('user_%04d', h_user % 500 + 1) AS user_id,
-         printf('sess_%04d', h_session % 100 + 1) AS session_id,
-         h_category % 7 AS ci,
-         {CATS}[ci + 1] AS category,
-         printf('%s_%s_%03d', category, {PRODS}[ci + 1][h_product % 5 + 1], h_number % 50 + 1) AS product_id,
-         CASE WHEN h_type % 100 < 60 THEN 'view' WHEN h_type % 100 < 85 THEN 'cart' ELSE 'purchase' END AS event_type,
-         CASE WHEN event_type = 'purchase'
-              THEN CAST({lows}[ci + 1] + h_price % {spans}[ci + 1] AS DOUBLE) / 100
-              ELSE 0.0 END AS amount,
-         make_timestamp({start_us} + event_id * {DEFAULT_SPACING_US}) AS event_time,
-         strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS "timestamp"
-  FROM hashed
-)"""
-
-
-GEN_COLS = 'event_id, user_id, session_id, product_id, category, event_type, amount, "timestamp", event_time'
-
-
-def _fmt_rows() -> str:
-    return """SELECT 1 AS section,
-       ROW_NUMBER() OVER (ORDER BY window_start DESC, total_revenue DESC NULLS FIRST, category ASC NULLS FIRST) AS line_no,
-       format('{:<22}', strftime(window_start, '%Y-%m-%d %H:%M:%S')) || ' ' ||
-       format('{:<14}', COALESCE(category, '(null)')) || ' ' ||
-       format('{:>8}', format('{:,}', event_count)) || ' ' ||
-       format('{:>10}', format('{:,}', purchase_count)) || ' ' ||
-       format('{:>12}', COALESCE(format('{:,.2f}', total_revenue), '')) AS line
-FROM period"""
+def _printed(title: str) -> str:
+    """The printed report over ``period``, line by line."""
+    return f"""tot AS ({TOTALS}),
+size AS (SELECT COUNT(*) AS n FROM period)
+SELECT section, CAST(line_no AS BIGINT) AS line_no, line FROM (
+  SELECT 0 AS section, 1 AS line_no, repeat('=', 75) AS line
+  UNION ALL SELECT 0, 2, '  CLICKSTREAM ANALYTICS REPORT — {title}'
+  UNION ALL SELECT 0, 3, repeat('=', 75)
+  UNION ALL SELECT 1, 1, 'Window Start           Category         Events  Purchases  Revenue ($)' FROM size WHERE n > 0
+  UNION ALL SELECT 1, 1, '  No data yet. The streaming job may still be warming up.' FROM size WHERE n = 0
+  UNION ALL SELECT 1, 2, repeat(CASE WHEN n > 0 THEN '-' ELSE '=' END, 75) FROM size
+  UNION ALL SELECT 2, ROW_NUMBER() OVER (ORDER BY window_start DESC, total_revenue DESC NULLS FIRST, category ASC NULLS FIRST),
+       format('{{:<22}}', strftime(window_start, '%Y-%m-%d %H:%M:%S')) || ' ' ||
+       format('{{:<14}}', COALESCE(category, '(null)')) || ' ' ||
+       format('{{:>8}}', format('{{:,}}', event_count)) || ' ' ||
+       format('{{:>10}}', format('{{:,}}', purchase_count)) || ' ' ||
+       format('{{:>12}}', COALESCE(format('{{:,.2f}}', total_revenue), '')) FROM period
+  UNION ALL SELECT 3, 1, repeat('-', 75) FROM size WHERE n > 0
+  UNION ALL SELECT 3, 2, format('{{:<22}}', 'TOTAL') || ' ' || format('{{:<14}}', '') || ' ' ||
+       format('{{:>8}}', format('{{:,}}', total_events)) || ' ' ||
+       format('{{:>10}}', format('{{:,}}', total_purchases)) || ' ' ||
+       format('{{:>12}}', format('{{:,.2f}}', total_revenue)) FROM tot, size WHERE n > 0
+  UNION ALL SELECT 3, 3, repeat('=', 75) FROM size WHERE n > 0
+  UNION ALL SELECT 4, 1, '  Conversion rate: ' || COALESCE(printf('%.1f%%', conversion_rate_pct), 'n/a') ||
+       '  |  Avg order value: $' || printf('%.2f', avg_order_value) FROM tot, size WHERE n > 0
+  UNION ALL SELECT 4, 2, repeat('=', 75) FROM size WHERE n > 0
+) lines"""
 
 
 def oracle_sql() -> dict[str, str]:
-    header = (
-        "Window Start".ljust(22) + " " + "Category".ljust(14) + " " + "Events".rjust(8)
-        + " " + "Purchases".rjust(10) + " " + "Revenue ($)".rjust(12)
-    )
     w = f"WITH {WIRE}"
     ws = f"WITH {WIRE},\n{SUMMARY}"
     q = {
@@ -197,30 +187,52 @@ SELECT CASE WHEN GROUPING(window_start, category) = 0 THEN 'ROW' ELSE 'TOTAL' EN
        CAST(SUM(total_revenue) AS DECIMAL(18,2)) AS total_revenue
 FROM period GROUP BY GROUPING SETS ((window_start, category), ())""",
         "report_totals_empty": f"{ws},\n{_period(1, EMPTY_AS_OF)}\n{TOTALS}",
-        "report_formatted": f"""{ws},\n{_period(24)},
-tot AS ({TOTALS})
-SELECT 0 AS section, CAST(1 AS BIGINT) AS line_no, '{header}' AS line
-UNION ALL
-{_fmt_rows()}
-UNION ALL
-SELECT 2, 1, format('{{:<22}}', 'TOTAL') || ' ' || format('{{:<14}}', '') || ' ' ||
-       format('{{:>8}}', format('{{:,}}', total_events)) || ' ' ||
-       format('{{:>10}}', format('{{:,}}', total_purchases)) || ' ' ||
-       format('{{:>12}}', format('{{:,.2f}}', total_revenue))
-FROM tot
-UNION ALL
-SELECT 3, 1, '  Conversion rate: ' || COALESCE(printf('%.1f%%', conversion_rate_pct), 'n/a') ||
-       '  |  Avg order value: $' || printf('%.2f', avg_order_value)
-FROM tot""",
+        "report_formatted": f"{ws},\n{_period(24)},\n{_printed('Last 24 Hours')}",
+        "report_formatted_whole_period": f"{ws},\n{_period(24, limit=None)},\n{_printed('Last 24 Hours')}",
+        "report_formatted_empty": f"{ws},\n{_period(1, EMPTY_AS_OF)},\n{_printed('Last 60 Minutes')}",
         "summary_freshness": f"""{ws}
 SELECT MAX(window_end) AS last_window_end,
        COUNT(*) AS summary_rows,
-       COUNT(DISTINCT window_start) AS windows,
-       COUNT(DISTINCT category) AS categories,
        ROUND(epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(MAX(window_end)), 3) AS lag_seconds,
        COALESCE(MAX(window_end) < TIMESTAMP '{FRESHNESS_AS_OF}' - INTERVAL 5 MINUTE, TRUE) AS is_stale
 FROM summary""",
         "streaming_tumble_1m": f"{w},\n{_closed('wire')}\nSELECT {ROUNDED} FROM closed",
+        "streaming_late_rows": f"""{w},
+ends AS (
+  SELECT MIN(epoch_us(event_time)) AS lo, MAX(epoch_us(event_time)) AS hi,
+         MAX(event_time) - INTERVAL 10 SECOND AS last_mark
+  FROM wire
+),
+marks AS (
+  SELECT last_mark, (
+    -- A batch drops rows by the watermark that the batch before it began with: here that of the first two slices.
+    SELECT MAX(event_time) FROM wire WHERE event_id % 10 <> 3 AND epoch_us(event_time) < lo + (hi - lo) * 2 // 3
+  ) - INTERVAL 10 SECOND AS mark
+  FROM ends
+),
+seen AS (
+  SELECT wire.* FROM wire, marks
+  WHERE event_id % 10 <> 3
+     OR make_timestamp((epoch_us(event_time) // 60000000 + 1) * 60000000) > mark
+)
+SELECT {ROUNDED} FROM ({tumble('seen', 1)}) t, marks WHERE window_end <= last_mark""",
+        "upsert_resubmit": f"""{w},
+first_events AS (SELECT * FROM wire WHERE event_id % 3 <> 0 AND category <> 'books'),
+second_events AS (SELECT * FROM wire WHERE event_id % 2 = 0),
+first_run AS (
+  SELECT * FROM ({tumble('first_events', 1)}) t
+  WHERE window_end <= (SELECT MAX(event_time) FROM first_events) - INTERVAL 10 SECOND
+),
+second_run AS (
+  SELECT * FROM ({tumble('second_events', 1)}) t
+  WHERE window_end <= (SELECT MAX(event_time) FROM second_events) - INTERVAL 10 SECOND
+)
+SELECT {ROUNDED} FROM (
+  SELECT * FROM second_run
+  UNION ALL
+  SELECT * FROM first_run f WHERE NOT EXISTS (
+    SELECT 1 FROM second_run s WHERE s.window_start = f.window_start AND s.category = f.category)
+) u""",
         "upsert_replay": f"{w},\n{_closed('wire')}\nSELECT {ROUNDED} FROM closed",
         "summary_rejects": f"{w},\n{DIRTY},\n{_closed('dirty_valid')}\nSELECT {ROUNDED} FROM closed WHERE category IS NULL",
         "sample_events": f"""{w}
@@ -229,7 +241,7 @@ SELECT "partition", "offset",
                                 category := category, event_type := event_type, amount := amount,
                                 "timestamp" := "timestamp")) AS VARCHAR) AS value
 FROM wire ORDER BY "partition", "offset" LIMIT 5""",
-        "synthetic_events": f"WITH {_generated('SELECT event_id FROM events')}\nSELECT {GEN_COLS} FROM gen",
-        "encode_roundtrip": f"WITH {_generated('SELECT event_id FROM events')}\nSELECT {GEN_COLS} FROM gen",
+        "encode_roundtrip": f"""{w}
+SELECT event_id, user_id, session_id, product_id, category, event_type, amount, "timestamp", event_time FROM wire""",
     }
     return q

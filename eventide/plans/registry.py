@@ -4,14 +4,15 @@ the whole ``events`` table (or data Spark derives from it).
 Output conventions shared with the SQL oracle: timestamps as TIMESTAMP_NTZ
 (UTC wall clock), money as DECIMAL(18,2), summary revenue rounded to cents.
 
-Each query sets the session time zone to UTC (``use_utc``): window edges
-are epoch-aligned instants and the summary's timestamps are UTC, so results
-must not depend on the caller's zone. Streaming queries write their output
-and checkpoints under the session's ``spark.checkpoint.dir``.
+Each query makes its plan in UTC (``in_utc``) and gives the caller's zone
+back: window edges are epoch-aligned instants and the summary's timestamps are
+UTC, so results must not depend on the caller's zone. Streaming queries write
+below ``shared_dir`` and remove their folder when they are done.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -29,16 +30,15 @@ from ..operators import (
     latest,
     revenue_by_category,
     summary_freshness,
-    synthetic_events,
     totals,
     tumbling_summary,
     with_total,
 )
-from ..session import shared_dir, use_utc
-from ..sources.files import events_record_stream, events_stream
+from ..session import in_utc, kept, remove_folder, shared_dir
+from ..sources.files import events_record_stream, events_stream, parquet_stream
 from ..sources.kafka import sample_records
 from ..sources.testdata import events_as_records, events_to_typed, events_to_wire, read_table
-from ..streaming.job import start, summary_stream
+from ..streaming.job import read_summary, start, summary_stream
 from ..streaming.sinks import KeyedSummaryTable
 from .fixtures import dirty_records, null_amounts
 
@@ -46,6 +46,9 @@ from .fixtures import dirty_records, null_amounts
 REPORT_AS_OF = "2024-01-30 12:00:00"
 EMPTY_AS_OF = "2024-03-01 00:00:00"  # after the last event: empty period
 FRESHNESS_AS_OF = "2024-01-31 00:00:00"
+TITLE_24H = "  CLICKSTREAM ANALYTICS REPORT — Last 24 Hours"
+LATE_FILES = 4
+
 
 def ntz(df: DataFrame) -> DataFrame:
     """TIMESTAMP columns as TIMESTAMP_NTZ (UTC wall clock) for comparison."""
@@ -62,8 +65,7 @@ def rounded(summary: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_utc(spark)
-    return read_table(spark, sf_dir, "events", spread_scan=True)
+    return read_table(spark, sf_dir, "events")
 
 
 def _wire(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +78,17 @@ def _summary(spark: SparkSession, sf_dir: str, minutes: int = 1) -> DataFrame:
     return tumbling_summary(valid_events(decode_records(records)), minutes)
 
 
-def _report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _report_summary(spark: SparkSession, sf_dir: str, since: dt.datetime | None = None, until: dt.datetime | None = None) -> DataFrame:
     """Summary for the reports, from typed columns (reports read a summary
-    table in production; they never re-decode raw records)."""
-    return tumbling_summary(events_to_typed(_events(spark, sf_dir)), 1)
+    table in production; they never re-decode raw records). The bounds reach
+    the scan; windows are whole minutes, so the lower one goes back to a
+    minute's start and no window that counts is cut."""
+    events = _events(spark, sf_dir)
+    if since is not None:
+        events = events.where(F.col("ts") >= F.lit(since.replace(second=0, microsecond=0).isoformat(" ")).cast("timestamp_ntz"))
+    if until is not None:
+        events = events.where(F.col("ts") < F.lit(until.isoformat(" ")).cast("timestamp_ntz"))
+    return tumbling_summary(events_to_typed(events), 1)
 
 
 def _dirty_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +99,13 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/eventide/{name}/{uuid.uuid4().hex}"
 
 
+def _taken(spark: SparkSession, result: DataFrame, run: str) -> DataFrame:
+    """``result`` stored by Spark, so that the run's folder can go at once."""
+    result = kept(result)
+    remove_folder(spark, run)
+    return result
+
+
 # --- aggregates --------------------------------------------------------------
 
 def tumble(minutes: int) -> Callable[[SparkSession, str], DataFrame]:
@@ -139,7 +155,9 @@ def report_events_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _period(spark: SparkSession, sf_dir: str, hours: int, as_of: str = REPORT_AS_OF, limit: int | None = 100) -> DataFrame:
-    return last_period(_report_summary(spark, sf_dir), as_of=as_of, period=f"{hours} hours", limit=limit)
+    until = dt.datetime.fromisoformat(as_of)
+    summary = _report_summary(spark, sf_dir, until - dt.timedelta(hours=hours), until)
+    return last_period(summary, as_of=as_of, period=f"{hours} hours", limit=limit)
 
 
 def report_last_period(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +187,16 @@ def report_totals_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return formatted(_period(spark, sf_dir, 24))
+    return formatted(_period(spark, sf_dir, 24), TITLE_24H)
+
+
+def report_formatted_whole_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the period printed, with totals of exactly these rows."""
+    return formatted(_period(spark, sf_dir, 24, limit=None), TITLE_24H)
+
+
+def report_formatted_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatted(_period(spark, sf_dir, 1, as_of=EMPTY_AS_OF))
 
 
 def summary_freshness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,65 +205,94 @@ def summary_freshness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming ---------------------------------------------------------------
 
-def _stream_to_table(spark: SparkSession, records: DataFrame, table: KeyedSummaryTable, run: str) -> None:
-    q = start(summary_stream(records), f"{run}/checkpoint", sink=table, trigger={"availableNow": True})
-    q.awaitTermination()
+def _run_stream(summary: DataFrame, checkpoint: str, sink="parquet", path: str | None = None) -> None:
+    start(summary, checkpoint, sink=sink, path=path, trigger={"availableNow": True}).awaitTermination()
 
 
 def streaming_tumble_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File stream, watermark 10 s, append to parquet; closed windows only."""
-    use_utc(spark)
     run = _run_dir(spark, "streaming_tumble_1m")
-    q = start(
-        summary_stream(events_record_stream(spark, sf_dir)),
-        f"{run}/checkpoint",
-        sink="parquet",
-        path=f"{run}/summary",
-        trigger={"availableNow": True},
-    )
-    q.awaitTermination()
-    return ntz(rounded(spark.read.parquet(f"{run}/summary")))
+    _run_stream(summary_stream(events_record_stream(spark, sf_dir)), f"{run}/checkpoint", path=f"{run}/summary")
+    return _taken(spark, ntz(rounded(read_summary(spark, f"{run}/summary").drop("window_date"))), run)
+
+
+def streaming_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several micro-batches, the last one late: nine tenths of the events in
+    three slices of time, then the withheld tenth of all times at once. Each
+    slice is ``LATE_FILES`` files and a trigger takes as many, so the watermark
+    moves between slices. A batch drops the rows of windows that had ended by
+    the watermark of the batch before it: the withheld rows of the first two
+    slices' windows go, the others still join theirs."""
+    run = _run_dir(spark, "streaming_late_rows")
+    events = _events(spark, sf_dir)
+    at = F.expr("unix_micros(CAST(ts AS TIMESTAMP))")
+    lo, hi = (x or 0 for x in events.agg(F.min(at), F.max(at)).first())
+    late = F.col("event_id") % 10 == 3
+    for i in range(4):
+        bounds = (at >= lo + (hi - lo) * i // 3) & ((at < lo + (hi - lo) * (i + 1) // 3) if i < 2 else F.lit(True))
+        part = events.where(late) if i == 3 else events.where(~late & bounds)
+        part.repartition(LATE_FILES).write.mode("append").parquet(f"{run}/events")
+    stream = parquet_stream(spark, f"{run}/events", events.schema, max_files_per_trigger=LATE_FILES)
+    _run_stream(summary_stream(events_as_records(stream)), f"{run}/checkpoint", path=f"{run}/summary")
+    return _taken(spark, ntz(rounded(read_summary(spark, f"{run}/summary").drop("window_date"))), run)
 
 
 def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream into the keyed table, then replay the whole stream from a fresh
-    checkpoint into the same table: every key is written again (after the
-    first run was compacted into a snapshot), nothing is duplicated."""
-    use_utc(spark)
+    checkpoint into the same table: every key is written again, nothing is
+    duplicated, before and after compaction."""
     run = _run_dir(spark, "upsert_replay")
-    table = KeyedSummaryTable(f"{run}/table", compact_every=1)
     for attempt in range(2):
-        _stream_to_table(spark, events_record_stream(spark, sf_dir), table, f"{run}/attempt{attempt}")
-    return ntz(rounded(table.read(spark)))
+        table = KeyedSummaryTable(f"{run}/table")
+        _run_stream(summary_stream(events_record_stream(spark, sf_dir)), f"{run}/attempt{attempt}", sink=table)
+        if attempt == 0:
+            table.compact(spark, "2024-01-01", "2024-01-15")
+    return _taken(spark, ntz(rounded(table.read(spark).drop("window_date"))), run)
+
+
+def upsert_resubmit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A resubmitted job with a fresh checkpoint: batch ids begin at 0 again,
+    some keys come with other values, some are new, and the rest must stay.
+
+    The first run streams the events whose id is not divisible by 3 and leaves
+    out the category books; the second streams the events with an even id, in
+    all categories. The first run's older half is compacted in between."""
+    run = _run_dir(spark, "upsert_resubmit")
+    streams = (
+        events_to_wire(events_stream(spark, sf_dir)).where("event_id % 3 <> 0 AND category <> 'books'"),
+        events_to_wire(events_stream(spark, sf_dir)).where("event_id % 2 = 0"),
+    )
+    for i, wire in enumerate(streams):
+        table = KeyedSummaryTable(f"{run}/table")
+        _run_stream(summary_stream(encode_records(wire)), f"{run}/checkpoint{i}", sink=table)
+        if i == 0:
+            table.compact(spark, "2024-01-01", "2024-01-15")
+    return _taken(spark, ntz(rounded(table.read(spark).drop("window_date"))), run)
 
 
 def summary_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows whose key is NULL (category missing) land in rejects."""
-    use_utc(spark)
     run = _run_dir(spark, "summary_rejects")
     table = KeyedSummaryTable(f"{run}/table")
     records = dirty_records(events_to_wire(events_stream(spark, sf_dir)))
-    _stream_to_table(spark, records, table, run)
-    return ntz(rounded(table.read_rejects(spark).drop("batch_id")))
+    _run_stream(summary_stream(records), f"{run}/checkpoint", sink=table)
+    return _taken(spark, ntz(rounded(table.read_rejects(spark))), run)
 
 
-# --- sources, sinks, generator -------------------------------------------------
+# --- sources and sinks ---------------------------------------------------------
 
 def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_records(events_as_records(_events(spark, sf_dir)), 5)
-
-
-def synthetic_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ntz(synthetic_events(_events(spark, sf_dir).select("event_id"), "event_id"))
+    """The first five records: picked as typed rows, then encoded."""
+    return encode_records(sample_records(_wire(spark, sf_dir), 5))
 
 
 def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    generated = synthetic_events(_events(spark, sf_dir).select("event_id"), "event_id")
-    decoded = decode_records(encode_records(generated, keep=("event_id",)), keep=("event_id",))
+    """The events' own fields, written as JSON records and decoded again."""
+    decoded = decode_records(encode_records(_wire(spark, sf_dir), keep=("event_id",)), keep=("event_id",))
     return ntz(valid_events(decoded, keep=("event_id",)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_MADE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumble_1m": tumble(1),
     "tumble_7m": tumble(7),
     "tumble_1h": tumble(60),
@@ -255,11 +311,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_with_total": report_with_total,
     "report_totals_empty": report_totals_empty,
     "report_formatted": report_formatted,
+    "report_formatted_whole_period": report_formatted_whole_period,
+    "report_formatted_empty": report_formatted_empty,
     "summary_freshness": summary_freshness_query,
     "streaming_tumble_1m": streaming_tumble_1m,
+    "streaming_late_rows": streaming_late_rows,
     "upsert_replay": upsert_replay,
+    "upsert_resubmit": upsert_resubmit,
     "summary_rejects": summary_rejects,
     "sample_events": sample_events,
-    "synthetic_events": synthetic_events_query,
     "encode_roundtrip": encode_roundtrip,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: in_utc(make) for name, make in _MADE.items()}

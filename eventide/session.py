@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
+import functools
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -19,6 +21,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Stored intermediate results go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # A long-lived driver (a streaming job, a report service) keeps plan
     # graphs of past executions in its status store; keep that bounded.
     "spark.sql.ui.retainedExecutions": "50",
@@ -49,27 +53,56 @@ def build_session(
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Window edges and timestamp text are defined in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+TIME_ZONE = "spark.sql.session.timeZone"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Shared (cluster-visible) folder for sink output and stream checkpoints.
+@contextlib.contextmanager
+def utc(spark: SparkSession) -> Iterator[None]:
+    """The session's time zone is UTC inside, and the caller's again after.
 
-    Uses ``spark.checkpoint.dir`` of the session, then the context's checkpoint
-    directory; only when both are unset (local tests) a private folder is
-    created and registered as the checkpoint directory.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    Expressions take the zone when a DataFrame is made, so a plan made inside
+    keeps UTC wherever it runs later."""
+    before = spark.conf.get(TIME_ZONE)
+    spark.conf.set(TIME_ZONE, "UTC")
     try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: only the conf is visible
-        sc = None
-    if not root and sc is not None:
-        root = sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="eventide-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
+        yield
+    finally:
+        spark.conf.set(TIME_ZONE, before)
+
+
+def in_utc(make: Callable) -> Callable:
+    """A query function (spark, ...) that makes its plan in UTC."""
+
+    @functools.wraps(make)
+    def made(spark: SparkSession, *args, **kwargs):
+        with utc(spark):
+            return make(spark, *args, **kwargs)
+
+    return made
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share, for sink output, checkpoints and
+    stream state: ``spark.checkpoint.dir``, else the context's checkpoint
+    folder, else a folder below ``spark.sql.warehouse.dir``. It becomes the
+    context's checkpoint folder if that has none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = root or sc.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` stored once in the shared folder (``checkpoint``). Spark's cleaner
+    removes it with the last reference where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has made, on whatever file system it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

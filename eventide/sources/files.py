@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .testdata import events_as_records, spread_width
+from .testdata import events_as_records
 
 
 def json_lines_stream(
@@ -30,39 +30,24 @@ def json_lines_stream(
     return reader.load(path)
 
 
-def parquet_stream(
-    spark: SparkSession,
-    directory: str,
-    schema: T.StructType,
-    glob: str | None = None,
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A parquet table as a stream: ``path`` may be one file or a folder of
+    part files. ``max_files_per_trigger`` bounds a micro-batch.
+
+    The last character goes in as a pattern that matches only itself: as a
+    pattern, a path may be a file, where a plain path must be a folder."""
+    path = path.rstrip("/")
     reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(directory)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def events_stream(
-    spark: SparkSession,
-    sf_dir: str,
-    max_files_per_trigger: int | None = None,
-    partitions: int | str | None = "auto",
-) -> DataFrame:
-    """The driver's events table as a file stream.
-
-    ``partitions`` round-robins each micro-batch first, because a stream of a
-    few small files would otherwise decode on a few cores (Kafka sources use
-    ``minPartitions`` instead). "auto" does so only when a batch scan of the
-    same files has fewer splits than the cluster has cores, so a large input
-    is never shuffled whole."""
-    batch = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    if partitions == "auto":
-        partitions = spread_width(batch)
-    stream = parquet_stream(spark, sf_dir, batch.schema, glob="events.parquet", max_files_per_trigger=max_files_per_trigger)
-    return stream.repartition(partitions) if partitions else stream
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = 64) -> DataFrame:
+    """The driver's events table as a file stream, at most 64 files a
+    micro-batch unless told otherwise."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    return parquet_stream(spark, path, spark.read.parquet(path).schema, max_files_per_trigger)
 
 
 def events_record_stream(spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:

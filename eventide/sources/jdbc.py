@@ -21,7 +21,7 @@ def jdbc_properties(user: str, password: str | None, driver: str | None = None,
 
 def window_bounds(spark: SparkSession, url: str, table: str, properties: dict[str, str]) -> tuple[str | None, str | None]:
     """min/max window_start, computed by the database (one row comes back)."""
-    q = f"(SELECT MIN(window_start) AS lo, MAX(window_start) AS hi FROM {table}) bounds"
+    q = f'(SELECT MIN("window_start") AS "lo", MAX("window_start") AS "hi" FROM {table}) bounds'
     row = spark.read.jdbc(url, q, properties=properties).first()
     if row is None or row["lo"] is None:
         return None, None

@@ -1,11 +1,13 @@
 """Structured Streaming: the windowed job, sinks and progress."""
 
-from .job import start, start_from_config, summary_stream
-from .progress import progress_frame, progress_rows
-from .sinks import JdbcUpsertSink, KeyedSummaryTable, start_record_sink, summary_ddl, upsert_sql, write_json_lines
+from .job import read_summary, start, start_from_config, summary_stream
+from .progress import ProgressLog, progress_frame, progress_rows
+from .sinks import JdbcUpsertSink, KeyedSummaryTable, start_record_sink, summary_ddl, table_ddl, upsert_sql, write_json_lines
 
 __all__ = [
     "start",
+    "read_summary",
+    "ProgressLog",
     "start_from_config",
     "summary_stream",
     "progress_frame",
@@ -15,5 +17,6 @@ __all__ = [
     "upsert_sql",
     "start_record_sink",
     "summary_ddl",
+    "table_ddl",
     "write_json_lines",
 ]

@@ -1,6 +1,9 @@
-"""Progress of a live query as a DataFrame (batch id, input rows, rates,
-watermark, state rows, rows dropped as late). ``recentProgress`` is bounded
-by ``spark.sql.streaming.numRecentProgressUpdates``, so this stays small."""
+"""Progress of streaming queries as a DataFrame (batch id, input rows, rates,
+watermark, state rows, rows dropped as late).
+
+``progress_frame`` shows what a query still remembers: its last
+``spark.sql.streaming.numRecentProgressUpdates`` updates. ``ProgressLog`` is a
+listener and misses none: it appends every update to a Parquet folder."""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 PROGRESS_SCHEMA = T.StructType(
     [
@@ -30,25 +34,48 @@ def _as_dict(p) -> dict:
     return json.loads(p.json)
 
 
+def progress_row(progress) -> tuple:
+    d = _as_dict(progress)
+    ops = d.get("stateOperators") or []
+    return (
+        d.get("batchId"),
+        d.get("timestamp"),
+        d.get("numInputRows"),
+        float(d.get("inputRowsPerSecond") or 0.0),
+        float(d.get("processedRowsPerSecond") or 0.0),
+        (d.get("eventTime") or {}).get("watermark"),
+        sum(o.get("numRowsTotal", 0) for o in ops),
+        sum(o.get("numRowsDroppedByWatermark", 0) for o in ops),
+    )
+
+
 def progress_rows(query: StreamingQuery) -> list[tuple]:
-    rows = []
-    for p in query.recentProgress:
-        d = _as_dict(p)
-        ops = d.get("stateOperators") or []
-        rows.append(
-            (
-                d.get("batchId"),
-                d.get("timestamp"),
-                d.get("numInputRows"),
-                float(d.get("inputRowsPerSecond") or 0.0),
-                float(d.get("processedRowsPerSecond") or 0.0),
-                (d.get("eventTime") or {}).get("watermark"),
-                sum(o.get("numRowsTotal", 0) for o in ops),
-                sum(o.get("numRowsDroppedByWatermark", 0) for o in ops),
-            )
-        )
-    return rows
+    return [progress_row(p) for p in query.recentProgress]
 
 
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(progress_rows(query), PROGRESS_SCHEMA)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Register with ``spark.streams.addListener``. Every ``every`` updates, and
+    when a query ends, the rows held are appended to Parquet at ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every, self.held = spark, path, every, []
+
+    def flush(self) -> None:
+        rows, self.held = self.held, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.held.append(progress_row(event.progress))
+        if len(self.held) >= self.every:
+            self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()

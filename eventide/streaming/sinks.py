@@ -1,29 +1,33 @@
 """Summary sinks.
 
-``KeyedSummaryTable`` — the summary as files with upsert-by-key semantics.
-Each micro-batch is written to its own ``batch_id=N`` partition with dynamic
-partition overwrite, so a replayed batch replaces exactly what its first
-attempt wrote (effectively-once over an at-least-once ``foreachBatch``).
-Readers resolve every key ``(window_start, category)`` to the row of its
-highest batch id (``max_by``), so a later write of a key wins. Rows with a NULL
-key cannot enter the keyed table; they go to a rejects folder instead.
-
-``JdbcUpsertSink`` — the same contract against a database: executors write
-the batch to a per-batch staging table in parallel, then one transaction runs
-a server-side upsert (``INSERT .. ON CONFLICT`` on PostgreSQL, ``MERGE``
-elsewhere). The driver sends statements, never rows.
+``KeyedSummaryTable`` is the summary as plain Parquet with upsert-by-key
+semantics: every micro-batch appends its rows, partitioned by window date and
+tagged with a version, and a read takes the newest row of each key with one
+``max_by``. A version is (run, batch id); a run is the moment its writer was
+made, so what a resubmitted job writes from a fresh checkpoint, whose batch
+ids begin at 0 again, is newer than all before it, key by key. A replayed
+batch appends the same rows again and changes nothing. Rows whose key is NULL
+are kept beside the others and read as rejects.
+
+``JdbcUpsertSink`` has the same contract against a database: executors write
+the batch to staging tables in parallel, then one transaction upserts the rows
+(``INSERT .. ON CONFLICT`` on PostgreSQL, ``MERGE`` elsewhere) and replaces the
+batch's rejects. The driver sends statements, never rows.
 """
 
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import SUMMARY_KEY, SUMMARY_SCHEMA
+from ..session import kept, utc
 
 VALUE_COLUMNS = tuple(f.name for f in SUMMARY_SCHEMA.fields if f.name not in SUMMARY_KEY)
 ALL_COLUMNS = tuple(f.name for f in SUMMARY_SCHEMA.fields)
@@ -48,172 +52,67 @@ def key_is_valid(key: Sequence[str] = SUMMARY_KEY):
     return cond
 
 
-def assert_unique_keys(batch: DataFrame, key: Sequence[str] = SUMMARY_KEY) -> None:
-    dup = batch.groupBy(*key).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"batch has duplicate summary keys, e.g. {dup[0].asDict()}")
+class KeyedSummaryTable:
+    """Parquet below ``path``, partitioned by ``window_date``; usable directly as
+    a ``foreachBatch`` function.
 
+    ``run`` orders writers: by default the time of making this object, in
+    microseconds. Jobs that write one table follow one another; their clocks
+    must not go back between them."""
 
-class KeyedSummaryTable:
-    """Layout under ``path``::
-
-        log/kind=rows/batch_id=N/      rows written by micro-batch N
-        log/kind=rejects/batch_id=N/   NULL-key rows of micro-batch N
-        snapshots/upto=B/              resolved table over batches <= B
-        rejects_snapshots/upto=B/      all rejects of batches <= B
-
-    A micro-batch is one write job: rows and rejects are partitions of the
-    same dynamic-overwrite write, so a retry replaces both. Reads resolve the
-    newest complete snapshot plus the batches from it on. ``compact_every``
-    folds the batches into a new snapshot every k batches so listing stays
-    bounded on a long-running stream; folders are removed one compaction
-    late, so a reader that picked the previous snapshot still finds every
-    batch it needs, and a retried batch (rewritten after it was folded into a
-    snapshot) still wins over the snapshot.
-    """
-
-    _stored = T.StructType(list(SUMMARY_SCHEMA.fields) + [T.StructField("batch_id", T.LongType(), True)])
-
-    def __init__(self, path: str, compact_every: int | None = None):
+    stored = T.StructType([
+        *(T.StructField(f.name, f.dataType, True) for f in SUMMARY_SCHEMA.fields),
+        T.StructField("run", T.LongType(), True), T.StructField("batch_id", T.LongType(), True), T.StructField("window_date", T.DateType(), True),
+    ])
+
+    def __init__(self, path: str, run: int | None = None):
         self.path = path.rstrip("/")
-        self.log_path = f"{self.path}/log"
-        self.batches_path = f"{self.log_path}/kind=rows"
-        self.rejects_path = f"{self.log_path}/kind=rejects"
-        self.snapshots_path = f"{self.path}/snapshots"
-        self.rejects_snapshots_path = f"{self.path}/rejects_snapshots"
-        self.compact_every = compact_every
-
-    # -- write ----------------------------------------------------------------
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            assert_unique_keys(batch.where(key_is_valid()))
-            kind = F.when(key_is_valid(), F.lit("rows")).otherwise(F.lit("rejects"))
-            (
-                with_defaults(batch)
-                .withColumn("kind", kind)
-                .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("kind", "batch_id")
-                .parquet(self.log_path)
-            )
-        finally:
-            batch.unpersist()
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.compact(batch.sparkSession, batch_id)
+        self.run = time.time_ns() // 1000 if run is None else run
 
-    __call__ = write_batch  # usable directly as a foreachBatch function
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with utc(batch.sparkSession):
+            rows = with_defaults(batch).select(
+                "*",
+                F.lit(int(self.run)).cast("bigint").alias("run"),
+                F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
+                F.to_date("window_start").alias("window_date"),
+            )
+            # One file a date at most: a micro-batch holds a handful of closed windows.
+            rows.repartition("window_date").write.mode("append").partitionBy("window_date").parquet(self.path)
 
-    # -- folders (Hadoop FileSystem: works on any cluster file system) ---------
-    @staticmethod
-    def _fs(spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _children(self, spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
-        fs, p = self._fs(spark, path)
-        if not fs.exists(p):
-            return {}
-        out = {}
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(prefix):
-                try:
-                    out[int(name[len(prefix):])] = st.getPath().toString()
-                except ValueError:
-                    pass
-        return out
-
-    def _latest(self, spark: SparkSession, path: str) -> int | None:
-        """Newest snapshot under ``path`` whose write committed (_SUCCESS)."""
-        for upto in sorted(self._children(spark, path, "upto="), reverse=True):
-            fs, p = self._fs(spark, f"{path}/upto={upto}/_SUCCESS")
-            if fs.exists(p):
-                return upto
-        return None
-
-    def _snapshot(self, spark: SparkSession) -> int | None:
-        return self._latest(spark, self.snapshots_path)
-
-    def _delete(self, spark: SparkSession, path: str) -> None:
-        fs, p = self._fs(spark, path)
-        fs.delete(p, True)
-
-    # -- read -----------------------------------------------------------------
-    def _read_raw(self, spark: SparkSession, path: str) -> DataFrame:
-        fs, p = self._fs(spark, path)
-        if not fs.exists(p):
-            return spark.createDataFrame([], self._stored)
-        return spark.read.schema(self._stored).parquet(path)
-
-    def _rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        """Snapshot rows (rank 0) and batch rows (rank 1) from the snapshot's
-        batch on; a rewritten (retried) batch therefore wins over the
-        snapshot that already folded it in."""
-        snap = self._snapshot(spark)
-        rows = self._read_raw(spark, self.batches_path).withColumn("_rank", F.lit(1))
-        if snap is not None:
-            base = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{self.snapshots_path}/upto={snap}")
-            base = base.withColumn("batch_id", F.lit(snap).cast("bigint")).withColumn("_rank", F.lit(0))
-            rows = rows.where(F.col("batch_id") >= snap).unionByName(base)
-        if upto is not None:
-            rows = rows.where(F.col("batch_id") <= upto)
-        return rows
-
-    @staticmethod
-    def _resolve(rows: DataFrame) -> DataFrame:
-        newest = F.max_by(F.struct(*[F.col(c) for c in VALUE_COLUMNS]), F.struct("batch_id", "_rank"))
-        return rows.groupBy(*SUMMARY_KEY).agg(newest.alias("_row")).select(
-            "window_start", "_row.window_end", "category", "_row.event_count", "_row.purchase_count", "_row.total_revenue"
-        )
+    def versions(self, spark: SparkSession) -> DataFrame:
+        """All rows ever written; none before the first write."""
+        try:
+            return spark.read.schema(self.stored).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self.stored)
+
+    def newest(self, spark: SparkSession) -> DataFrame:
+        """The newest row of every key (NULL is a key here), with its version.
+        The date belongs to the key, so a filter on it prunes the scan."""
+        values = F.struct(*VALUE_COLUMNS, "run", "batch_id")
+        rows = self.versions(spark).groupBy("window_date", *SUMMARY_KEY).agg(F.max_by(values, F.struct("run", "batch_id")).alias("_row"))
+        row = {c: F.col(f"_row.{c}").alias(c) for c in (*VALUE_COLUMNS, "run", "batch_id")}
+        return rows.select(*[row.get(c, F.col(c)) for c in (*ALL_COLUMNS, "run", "batch_id", "window_date")])
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Current table: the newest row of every key."""
-        return self._resolve(self._rows(spark))
-
-    def _reject_rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        """Rejects are not keyed: a rejects snapshot keeps every row with its
-        batch id; readers take its rows of earlier batches and the folders
-        from its batch on (so a retried batch is never counted twice)."""
-        snap = self._latest(spark, self.rejects_snapshots_path)
-        rows = self._read_raw(spark, self.rejects_path)
-        if snap is not None:
-            base = spark.read.schema(self._stored).parquet(f"{self.rejects_snapshots_path}/upto={snap}")
-            rows = rows.where(F.col("batch_id") >= snap).unionByName(base.where(F.col("batch_id") < snap))
-        if upto is not None:
-            rows = rows.where(F.col("batch_id") <= upto)
-        return rows
+        """The current table, with ``window_date`` to filter by."""
+        return self.newest(spark).where(key_is_valid()).select(*ALL_COLUMNS, "window_date")
 
     def read_rejects(self, spark: SparkSession) -> DataFrame:
-        return self._reject_rows(spark)
-
-    # -- compaction -----------------------------------------------------------
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """Write the resolved table (and the rejects) over batches <= upto as
-        new snapshots, then drop the folders that readers of the *previous*
-        snapshots no longer need (batches before them, older snapshots)."""
-        previous = self._snapshot(spark)
-        if previous is None or previous < upto:
-            self._resolve(self._rows(spark, upto)).write.mode("overwrite").parquet(f"{self.snapshots_path}/upto={upto}")
-            if previous is not None:
-                self._drop_before(spark, previous, self.batches_path, self.snapshots_path)
-        previous_rej = self._latest(spark, self.rejects_snapshots_path)
-        if previous_rej is None and not self._children(spark, self.rejects_path, "batch_id="):
-            return  # no rejects written yet: nothing to fold
-        if previous_rej is None or previous_rej < upto:
-            self._reject_rows(spark, upto).write.mode("overwrite").parquet(f"{self.rejects_snapshots_path}/upto={upto}")
-            if previous_rej is not None:
-                self._drop_before(spark, previous_rej, self.rejects_path, self.rejects_snapshots_path)
-
-    def _drop_before(self, spark: SparkSession, previous: int, folders: str, snapshots: str) -> None:
-        for bid, folder in self._children(spark, folders, "batch_id=").items():
-            if bid < previous:
-                self._delete(spark, folder)
-        for old, folder in self._children(spark, snapshots, "upto=").items():
-            if old < previous:
-                self._delete(spark, folder)
+        return self.newest(spark).where(~key_is_valid()).select(*ALL_COLUMNS)
+
+    def compact(self, spark: SparkSession, since: str, until: str) -> None:
+        """Keep only the newest rows of the dates from ``since`` to ``until``
+        (inclusive): their partitions, and no others, are overwritten. Run it
+        for dates that no job is writing to."""
+        rows = kept(self.newest(spark).where(F.col("window_date").between(F.lit(since).cast("date"), F.lit(until).cast("date"))))
+        (
+            rows.repartition("window_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("window_date").parquet(self.path)
+        )
 
 
 # ---------------------------------------------------------------------------
@@ -253,6 +152,12 @@ def upsert_sql(url: str, table: str, staging: str, key: Sequence[str] = SUMMARY_
 def summary_ddl(url: str, table: str) -> str:
     """CREATE TABLE for the summary: NOT NULL key columns, zero defaults and
     the (window_start, category) primary key the upsert relies on."""
+    return table_ddl(url, table)[0]
+
+
+def table_ddl(url: str, table: str) -> list[str]:
+    """The summary table, its indexes on window_start and on category, and the
+    table of rejects (NULL keys, tagged with the run and batch they came in)."""
     if not _IDENT.match(table):
         raise ValueError(f"bad table name {table!r}")
     pg = url.startswith("jdbc:postgresql:")
@@ -265,7 +170,14 @@ def summary_ddl(url: str, table: str) -> str:
         'PRIMARY KEY ("window_start", "category")'
     )
     exists = "IF NOT EXISTS " if pg else ""
-    return f"CREATE TABLE {exists}{table} ({cols})"
+    plain = table.replace(".", "_")
+    rejected = cols.split(", PRIMARY KEY")[0].replace(" NOT NULL", "")
+    return [
+        f"CREATE TABLE {exists}{table} ({cols})",
+        f'CREATE INDEX {exists}idx_{plain}_window ON {table} ("window_start" DESC)',
+        f'CREATE INDEX {exists}idx_{plain}_category ON {table} ("category")',
+        f'CREATE TABLE {exists}{table}_rejects ({rejected}, "run" {text}, "batch_id" BIGINT)',
+    ]
 
 
 def jvm_executor(spark: SparkSession, url: str, properties: dict[str, str]) -> Callable[[Sequence[str]], None]:
@@ -303,18 +215,33 @@ class JdbcUpsertSink:
         execute: Callable[[Sequence[str]], None] | None = None,
         max_connections: int = 8,
     ):
+        if not _IDENT.match(query_tag):
+            raise ValueError(f"bad query tag {query_tag!r}")
         self.url, self.table, self.properties = url, table, dict(properties)
         self.query_tag, self.batch_size, self._execute = query_tag, batch_size, execute
         self.max_connections = max_connections
 
     def ensure_table(self, spark: SparkSession) -> None:
-        """Create the summary table if the database does not have it yet."""
+        """Create tables and indexes if the database does not have them yet."""
         execute = self._execute or jvm_executor(spark, self.url, self.properties)
-        execute([summary_ddl(self.url, self.table)])
+        execute(table_ddl(self.url, self.table))
 
     def staging_table(self, batch_id: int) -> str:
         return f"{self.table}_stage_{self.query_tag}_{int(batch_id)}"
 
+    def statements(self, batch_id: int) -> list[str]:
+        """One transaction: the upsert, and the batch's rejects in place of
+        those that an earlier attempt at it has left."""
+        staging, rejects = self.staging_table(batch_id), f"{self.table}_rejects"
+        columns = ", ".join(_q(c) for c in (*ALL_COLUMNS, "run", "batch_id"))
+        return [
+            upsert_sql(self.url, self.table, staging),
+            f"DELETE FROM {rejects} WHERE \"run\" = '{self.query_tag}' AND \"batch_id\" = {int(batch_id)}",
+            f"INSERT INTO {rejects} ({columns}) SELECT {columns} FROM {staging}_rejects",
+            f"DROP TABLE {staging}",
+            f"DROP TABLE {staging}_rejects",
+        ]
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         execute = self._execute or jvm_executor(batch.sparkSession, self.url, self.properties)
         # numPartitions caps concurrent connections: the staging write is
@@ -324,11 +251,10 @@ class JdbcUpsertSink:
         batch = batch.persist()
         try:
             valid = with_defaults(batch.where(key_is_valid()))
-            assert_unique_keys(valid)
             valid.write.jdbc(self.url, staging, mode="overwrite", properties=write_props)
-            execute([upsert_sql(self.url, self.table, staging), f"DROP TABLE {staging}"])
-            bad = batch.where(~key_is_valid()).select(*ALL_COLUMNS).withColumn("batch_id", F.lit(int(batch_id)))
-            bad.write.jdbc(self.url, f"{self.table}_rejects", mode="append", properties=write_props)
+            bad = batch.where(~key_is_valid()).select(*ALL_COLUMNS, F.lit(self.query_tag).alias("run"), F.lit(int(batch_id)).cast("bigint").alias("batch_id"))
+            bad.write.jdbc(self.url, f"{staging}_rejects", mode="overwrite", properties=write_props)
+            execute(self.statements(batch_id))
         finally:
             batch.unpersist()
 

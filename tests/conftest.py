@@ -17,16 +17,13 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from eventide.session import build_session
 
-    s = build_session("local[4]", app_name="eventide-tests", shuffle_partitions=4)
+    own = tmp_path_factory.mktemp("shared")
+    extra = {"spark.checkpoint.dir": str(own / "checkpoints"), "spark.sql.warehouse.dir": str(own / "warehouse")}
+    s = build_session("local[4]", app_name="eventide-tests", shuffle_partitions=4, extra=extra)
     s.sparkContext.setLogLevel("ERROR")
-    # The session's spark.checkpoint.dir is used when set; only where it is
-    # unset does shared_dir() create and register a private folder.
-    from eventide.session import shared_dir
-
-    shared_dir(s)
     yield s
 
 

@@ -115,7 +115,7 @@ def test_positional_strict_rule_equals_the_regex(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     out = df.select(
         "t",
-        parse_event_time(F.col("t"), by_regex=True).alias("regex"),
+        _by_regex(F.col("t")).alias("regex"),
         parse_event_time(F.col("t")).alias("positional"),
         F.expr(event_time_sql("t")).alias("sql"),
     ).collect()
@@ -124,3 +124,10 @@ def test_positional_strict_rule_equals_the_regex(spark):
         assert r["regex"] == r["positional"] == r["sql"], r["t"]
         accepted += r["regex"] is not None
     assert accepted == 3  # six digits with Z, +00:00 and -05:30
+
+
+def _by_regex(text):
+    """The strict rule as a regular expression: six fraction digits and an offset."""
+    from eventide.constants import EVENT_TIME_PATTERN
+
+    return F.when(text.rlike(r"\.\d{6}(Z|[+-]\d{2}:\d{2})$"), F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN)))

@@ -35,7 +35,7 @@ def test_distribution_and_bounds(spark):
 
 def test_rows_depend_only_on_id(spark):
     full = generate_events(spark, 1000).where("event_id = 777").first()
-    from eventide.operators import synthetic_events
+    from eventide.operators.generate import synthetic_events
 
     one = synthetic_events(spark.range(777, 778), "id").first()
     assert full == one

@@ -68,41 +68,65 @@ def test_empty_report(spark):
     assert t["avg_order_value"] == Decimal("0.00")
 
 
+def _lines(report):
+    return [r["line"] for r in formatted(report).orderBy("section", "line_no").collect()]
+
+
 def test_formatted_lines(spark):
     rep = last_period(_summary(spark), as_of=T0 + dt.timedelta(minutes=30), period="1 hour")
-    lines = [r["line"] for r in formatted(rep).orderBy("section", "line_no").collect()]
-    assert lines[0].startswith("Window Start")
-    assert lines[1] == f"{'2024-01-01 12:01:00':<22} {'home':<14} {4:>8,} {1:>10,} {'':>12}"
-    assert lines[2] == f"{'2024-01-01 12:01:00':<22} {'books':<14} {3:>8,} {0:>10,} {0.0:>12,.2f}"
-    assert lines[-2].startswith("TOTAL")
-    assert lines[-1] == "  Conversion rate: 18.2%  |  Avg order value: $5.67"
+    lines = _lines(rep)
+    assert lines[0] == lines[2] == "=" * 75 and lines[1].startswith("  CLICKSTREAM ANALYTICS REPORT")
+    assert lines[3].startswith("Window Start") and lines[4] == "-" * 75
+    assert lines[5] == f"{'2024-01-01 12:01:00':<22} {'home':<14} {4:>8,} {1:>10,} {'':>12}"
+    assert lines[6] == f"{'2024-01-01 12:01:00':<22} {'books':<14} {3:>8,} {0:>10,} {0.0:>12,.2f}"
+    assert lines[-5] == "-" * 75 and lines[-4].startswith("TOTAL") and lines[-3] == "=" * 75
+    assert lines[-2:] == ["  Conversion rate: 18.2%  |  Avg order value: $5.67", "=" * 75]
 
 
-def test_period_filter_is_pushed_to_parquet(spark, workdir):
-    _summary(spark).write.parquet(f"{workdir}/s")
-    rep = last_period(spark.read.parquet(f"{workdir}/s"), as_of=T0, period="1 hour")
-    plan = physical_plan(rep)
-    assert "PushedFilters: [IsNotNull(window_start), GreaterThanOrEqual(window_start" in plan
+def test_empty_report_says_so(spark):
+    rep = last_period(_summary(spark), as_of=dt.datetime(2030, 1, 1), period="1 hour")
+    lines = _lines(rep)
+    assert len(lines) == 5 and lines[3].startswith("  No data yet.")
+
+
+def test_no_events_give_no_rate(spark):
+    summary = spark.createDataFrame([(T0, T0 + dt.timedelta(minutes=1), "a", 0, 0, 0.0)], SCHEMA)
+    lines = _lines(last_period(summary, as_of=T0 + dt.timedelta(minutes=5)))
+    assert lines[-2] == "  Conversion rate: n/a  |  Avg order value: $0.00"
+
+
+def test_windows_after_as_of_are_not_reported(spark):
+    rep = last_period(_summary(spark), as_of=T0 + dt.timedelta(seconds=90), period="1 hour")
+    assert [r["category"] for r in rep.collect()] == ["books", "toys"]  # the 12:01 window is still open
 
 
-def test_sql_text_matches_the_dataframe_operators(spark):
-    from eventide.operators import sql
+def test_formatted_prints_all_rows_over_several_dates(spark):
+    day, minute = dt.timedelta(days=1), dt.timedelta(minutes=1)
+    rows = [(T0 - i * 7 * minute, T0 - i * 7 * minute + minute, f"c{i % 3}", i, 1, float(i % 5)) for i in range(500)]
+    summary = spark.createDataFrame(rows, SCHEMA)
+    rep = last_period(summary, as_of=T0 + day, period="30 days", limit=None)
+    out = formatted(rep)
+    body = [r["line"] for r in out.where("section = 2").orderBy("line_no").collect()]
+    expected = sorted(rows, key=lambda r: (-r[0].timestamp(), -r[5], r[2]))
+    assert [line[:19] for line in body] == [str(r[0]) for r in expected]
+    total = out.where("section = 3 and line_no = 2").first()["line"]
+    assert total.split()[1] == f"{totals(rep).first()['total_events']:,}" == f"{sum(r[3] for r in rows):,}"
 
-    summary = _summary(spark)
-    sql.register(summary)
 
-    def same(a, b):
-        assert a.columns == b.columns
-        assert a.collect() == b.collect()
+def test_window_dates_prune_the_scan(spark, workdir):
+    from pyspark.sql import functions as F
 
-    same(sql.run(spark, sql.LATEST), latest(summary))
-    same(sql.run(spark, sql.REVENUE_BY_CATEGORY), revenue_by_category(summary))
-    same(sql.run(spark, sql.EVENTS_PER_WINDOW), events_per_window(summary))
-    as_of = "2024-01-01 12:30:00"
-    same(
-        sql.run(spark, sql.last_period_sql(as_of, "1 hour", 100)),
-        last_period(summary, as_of=as_of, period="1 hour"),
-    )
+    _summary(spark).withColumn("window_date", F.to_date("window_start")).write.partitionBy("window_date").parquet(f"{workdir}/d")
+    plan = physical_plan(last_period(spark.read.parquet(f"{workdir}/d"), as_of=T0, period="1 hour"))
+    assert "PartitionFilters: [isnotnull(window_date" in plan
+
+
+def test_period_filter_is_pushed_to_parquet(spark, workdir):
+    _summary(spark).write.parquet(f"{workdir}/s")
+    rep = last_period(spark.read.parquet(f"{workdir}/s"), as_of=T0, period="1 hour")
+    plan = physical_plan(rep)
+    pushed = plan.split("PushedFilters: ")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(window_start" in pushed and "LessThanOrEqual(window_end" in pushed
 
 
 def test_cli_report_prints_and_writes(spark, workdir, capsys):
@@ -111,7 +135,9 @@ def test_cli_report_prints_and_writes(spark, workdir, capsys):
     _summary(spark).write.parquet(f"{workdir}/s")
     main(["report", "--table", f"{workdir}/s", "--as-of", "2024-01-01 12:30:00", "--limit", "2"])
     lines = capsys.readouterr().out.strip().splitlines()
-    assert lines[0].startswith("Window Start") and lines[-2].startswith("TOTAL") and len(lines) == 5
+    assert lines[3].startswith("Window Start") and lines[-4].startswith("TOTAL") and len(lines) == 12
+    main(["report", "--table", f"{workdir}/s", "--as-of", "2024-01-01 12:30:00", "--limit", "0"])
+    assert len(capsys.readouterr().out.strip().splitlines()) == 14
     main(["report", "--table", f"{workdir}/s", "--as-of", "2024-01-01 12:30:00", "--out", f"{workdir}/r"])
     assert spark.read.parquet(f"{workdir}/r/rows").count() == 4
     assert spark.read.parquet(f"{workdir}/r/totals").first()["total_events"] == 22
@@ -127,19 +153,3 @@ def test_cli_adhoc_queries(spark, workdir, capsys):
     main(["query", "revenue", "--table", f"{workdir}/s"])
     out = capsys.readouterr().out
     assert "Revenue by category" in out and "Latest 10 rows" not in out and "72.68" in out
-
-
-def test_formatted_caps_printed_rows_with_a_distributed_top_k(spark):
-    import pytest
-
-    from eventide.plans.inspect import physical_plan
-
-    rep = last_period(_summary(spark), as_of=T0 + dt.timedelta(minutes=30), period="1 hour", limit=None)
-    out = formatted(rep, max_rows=2)
-    rows = out.where("section = 1").orderBy("line_no").collect()
-    assert [r["line_no"] for r in rows] == [1, 2] and "home" in rows[0]["line"]
-    assert "TakeOrderedAndProject" in physical_plan(out)
-    total = out.where("section = 2").first()["line"]
-    assert total.split()[1:3] == ["7", "1"]  # TOTAL covers the printed rows only
-    with pytest.raises(ValueError):
-        formatted(rep, max_rows=None)

@@ -59,33 +59,24 @@ def test_jdbc_sink_staging_names():
 
 
 def test_sample_is_first_records_by_partition_offset(spark):
-    from eventide.sources.testdata import event_records
+    from eventide.functions.encode import encode_records
+    from eventide.sources.testdata import events_to_wire, read_table
 
-    out = sample_records(event_records(spark, SF001), 5).collect()
+    out = encode_records(sample_records(events_to_wire(read_table(spark, SF001, "events")), 5)).collect()
     assert [(r["partition"], r["offset"]) for r in out] == [(0, i) for i in range(5)]
     assert all(r["value"].startswith('{"user_id":"user_') for r in out)
 
 
 def test_wire_round_trip_keeps_every_row(spark):
     from eventide.functions.decode import decode_records, valid_events
-    from eventide.sources.testdata import event_records, read_table
+    from eventide.sources.testdata import events_as_records, read_table
 
     n = read_table(spark, SF001, "events").count()
-    v = valid_events(decode_records(event_records(spark, SF001)))
+    v = valid_events(decode_records(events_as_records(read_table(spark, SF001, "events"))))
     assert v.count() == n
     assert v.where("event_time IS NULL OR category IS NULL OR amount IS NULL").count() == 0
 
 
-def test_spread_only_widens_narrow_scans(spark, workdir):
-    from eventide.sources.testdata import spread, spread_width
-
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread_width(narrow) == spark.sparkContext.defaultParallelism
-    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread_width(wide) is None and spread(wide) is wide
-
-
 def test_freshness_flags_a_stale_summary(spark):
     import datetime as dt
 
@@ -108,14 +99,14 @@ def test_declared_schemas_match_the_frames(spark):
     from eventide.functions.decode import decode_records, valid_events
     from eventide.operators import tumbling_summary
     from eventide.schema import EVENT_SCHEMA, SUMMARY_SCHEMA, WIRE_RECORD_SCHEMA
-    from eventide.sources.testdata import event_records, events_to_wire, read_table
+    from eventide.sources.testdata import events_as_records, events_to_wire, read_table
 
     def shape(schema):
         return [(f.name, f.dataType) for f in schema.fields]
 
     wire = events_to_wire(read_table(spark, SF001, "events")).drop("partition", "offset", "event_id")
     assert shape(wire.schema) == shape(WIRE_RECORD_SCHEMA)
-    events = valid_events(decode_records(event_records(spark, SF001)))
+    events = valid_events(decode_records(events_as_records(read_table(spark, SF001, "events"))))
     assert shape(events.schema) == shape(EVENT_SCHEMA)
     assert shape(tumbling_summary(events).schema) == shape(SUMMARY_SCHEMA)
 
@@ -149,9 +140,16 @@ def test_jdbc_upsert_sink_flow_without_a_database(spark, monkeypatch):
     sink(batch, 5)
     assert writes[0][:2] == ("analytics_summary_stage_q_5", "overwrite") and writes[0][3] == 1
     assert writes[0][2]["batchsize"] == "100" and writes[0][2]["numPartitions"] == "8"
-    assert writes[1][:2] == ("analytics_summary_rejects", "append") and writes[1][3] == 1
+    assert writes[1][:2] == ("analytics_summary_stage_q_5_rejects", "overwrite") and writes[1][3] == 1
     assert statements[0].startswith("INSERT INTO analytics_summary") and "FROM analytics_summary_stage_q_5" in statements[0]
-    assert statements[1] == "DROP TABLE analytics_summary_stage_q_5"
+    assert statements[1] == "DELETE FROM analytics_summary_rejects WHERE \"run\" = 'q' AND \"batch_id\" = 5"
+    assert statements[2].startswith("INSERT INTO analytics_summary_rejects") and statements[2].endswith("FROM analytics_summary_stage_q_5_rejects")
+    assert statements[3:] == ["DROP TABLE analytics_summary_stage_q_5", "DROP TABLE analytics_summary_stage_q_5_rejects"]
+    first = list(statements)
+    sink(batch, 5)  # replayed: the same statements, which replace what the first attempt left
+    assert statements == first * 2 and all(w[1] == "overwrite" for w in writes)
+    with pytest.raises(ValueError):
+        JdbcUpsertSink("jdbc:postgresql://h/db", "t", {}, query_tag="q'; --")
 
 
 def test_jdbc_scan_derives_partition_bounds(spark, monkeypatch):
@@ -163,13 +161,13 @@ def test_jdbc_scan_derives_partition_bounds(spark, monkeypatch):
 
     def fake_jdbc(self, url, table, column=None, lowerBound=None, upperBound=None, numPartitions=None, properties=None, **kw):
         calls.append((table, column, lowerBound, upperBound, numPartitions))
-        if "MIN(window_start)" in table:
+        if "MIN(\"window_start\")" in table:
             return spark.createDataFrame([("2024-01-01 00:00:00", "2024-01-30 23:59:00")], "lo string, hi string")
         return spark.range(1)
 
     monkeypatch.setattr(DataFrameReader, "jdbc", fake_jdbc)
     read_summary_jdbc(spark, "jdbc:postgresql://h/db", "analytics_summary", {"user": "u"}, num_partitions=16)
-    assert calls[0][0].startswith("(SELECT MIN(window_start)")
+    assert calls[0][0] == '(SELECT MIN("window_start") AS "lo", MAX("window_start") AS "hi" FROM analytics_summary) bounds'
     assert calls[1] == ("analytics_summary", "window_start", "2024-01-01 00:00:00", "2024-01-30 23:59:00", 16)
     calls.clear()
     read_summary_jdbc(spark, "jdbc:postgresql://h/db", "analytics_summary", {"user": "u"})
@@ -188,7 +186,10 @@ def test_summary_ddl(spark):
     assert other.startswith("CREATE TABLE S (") and '"window_start" TIMESTAMP NOT NULL' in other
     statements = []
     JdbcUpsertSink("jdbc:postgresql://h/db", "analytics_summary", {}, execute=statements.extend).ensure_table(spark)
-    assert statements == [pg]
+    assert statements[0] == pg
+    assert statements[1] == 'CREATE INDEX IF NOT EXISTS idx_analytics_summary_window ON analytics_summary ("window_start" DESC)'
+    assert statements[2] == 'CREATE INDEX IF NOT EXISTS idx_analytics_summary_category ON analytics_summary ("category")'
+    assert statements[3].startswith("CREATE TABLE IF NOT EXISTS analytics_summary_rejects (") and "NOT NULL" not in statements[3]
 
 
 class _Recorder:
@@ -225,6 +226,9 @@ def test_kafka_readers_and_writer_use_the_option_maps(spark, monkeypatch):
     opts = rec.calls[1][1]
     assert rec.calls[0] == ("format", "kafka") and opts["startingOffsets"] == "earliest" and opts["endingOffsets"] == "latest"
 
+    kafka.kafka_batch(spark, cfg, end={1: 5, 0: 7})
+    assert rec.calls[4][1]["endingOffsets"] == '{"t": {"0": 7, "1": 5}}'
+
     srec = _Recorder(result="stream")
     monkeypatch.setattr(SparkSession, "readStream", property(lambda self: srec))
     assert kafka.kafka_stream(spark, cfg, min_partitions=64) == "stream"

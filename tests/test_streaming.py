@@ -6,9 +6,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import time
 
 from eventide.sources.files import json_lines_stream
-from eventide.streaming import KeyedSummaryTable, progress_frame, start, summary_stream
+from eventide.streaming import KeyedSummaryTable, progress_frame, read_summary, start, summary_stream
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -38,7 +39,7 @@ class FileFeed:
 
 
 def _rows(spark, path):
-    df = spark.read.parquet(path)
+    df = read_summary(spark, path)
     return sorted((r["window_start"], r["category"], r["event_count"], r["total_revenue"]) for r in df.collect())
 
 
@@ -102,49 +103,82 @@ def test_restart_completes_half_filled_window_and_upserts(spark, workdir):
     assert [(r["category"], r["event_count"]) for r in rej] == [(None, 1)]
 
 
-def test_replayed_batch_is_idempotent_and_changes_replace(spark, workdir):
-    table = KeyedSummaryTable(f"{workdir}/t")
-    rows = [(T0, T0 + dt.timedelta(minutes=1), "a", 2, 1, 3.0), (T0, T0 + dt.timedelta(minutes=1), "b", 1, 0, 0.0)]
-    schema = "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double"
-    batch = spark.createDataFrame(rows, schema)
-    table.write_batch(batch, 7)
-    table.write_batch(batch, 7)  # replay of the same batch id
-    assert table.read(spark).count() == 2
-    changed = spark.createDataFrame([(r[0], r[1], r[2], r[3] + 100, r[4], r[5]) for r in rows[:1]], schema)
-    table.write_batch(changed, 8)
-    got = {r["category"]: r["event_count"] for r in table.read(spark).collect()}
-    assert got == {"a": 102, "b": 1}
+SUMMARY = "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double"
+M = dt.timedelta(minutes=1)
+
+
+def _batch(spark, *rows):
+    return spark.createDataFrame([(T0 + m * M, T0 + (m + 1) * M, c, n, 0, 0.0) for m, c, n in rows], SUMMARY)
 
 
-def test_duplicate_keys_in_a_batch_are_refused(spark, workdir):
-    import pytest
+def _table(table, spark):
+    return {((r["window_start"] - T0) // M, r["category"]): r["event_count"] for r in table.read(spark).collect()}
 
+
+def test_replayed_batch_is_idempotent_and_changes_replace(spark, workdir):
     table = KeyedSummaryTable(f"{workdir}/t")
-    schema = "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double"
-    dup = spark.createDataFrame([(T0, T0, "a", 1, 0, 0.0), (T0, T0, "a", 2, 0, 0.0)], schema)
-    with pytest.raises(ValueError):
-        table.write_batch(dup, 0)
-
-
-def test_compaction_keeps_the_table_and_bounds_folders(spark, workdir):
-    import os
-
-    table = KeyedSummaryTable(f"{workdir}/c", compact_every=3)
-    schema = "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double"
-    m = dt.timedelta(minutes=1)
-    for b in range(10):
-        rows = [(T0 + b * m, T0 + (b + 1) * m, "a", b, 0, 0.0), (T0, T0 + m, "z", 100 + b, 0, 0.0)]  # "z" rewritten every batch
-        table.write_batch(spark.createDataFrame(rows, schema), b)
-    got = {(r["window_start"], r["category"]): r["event_count"] for r in table.read(spark).collect()}
-    assert got[(T0, "z")] == 109
-    assert len(got) == 11 and all(got[(T0 + b * m, "a")] == b for b in range(1, 10))
-    assert got[(T0, "a")] == 0
-    snaps = sorted(os.listdir(f"{workdir}/c/snapshots"))
-    assert snaps == ["upto=6", "upto=9"]
-    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{workdir}/c/log/kind=rows") if d.startswith("batch_id="))
-    assert left == [6, 7, 8, 9]
-    table.write_batch(spark.createDataFrame([(T0, T0 + m, "z", 1, 0, 0.0)], schema), 9)  # retried last batch
-    assert {r["category"]: r["event_count"] for r in table.read(spark).where("window_start = '2024-01-01 00:00:00'").collect()}["z"] == 1
+    assert _table(table, spark) == {}
+    for _ in range(2):  # replay of the same batch id
+        table(_batch(spark, (0, "a", 2), (0, "b", 1), (0, None, 5)), 7)
+    assert _table(table, spark) == {(0, "a"): 2, (0, "b"): 1}
+    assert [r["event_count"] for r in table.read_rejects(spark).collect()] == [5]
+    table(_batch(spark, (0, "a", 102)), 8)
+    assert _table(table, spark) == {(0, "a"): 102, (0, "b"): 1}
+
+
+def test_a_new_run_wins_at_lower_and_equal_batch_ids(spark, workdir):
+    for compacted in (False, True):
+        path = f"{workdir}/t{compacted}"
+        first = KeyedSummaryTable(path)
+        for b in range(4):
+            first(_batch(spark, (b, "a", b), (0, "z", 100 + b), (b, None, 1)), b)
+        if compacted:
+            first.compact(spark, "2024-01-01", "2024-01-01")
+        second = KeyedSummaryTable(path)
+        assert second.run > first.run
+        second(_batch(spark, (1, "a", 11), (9, "new", 1), (1, None, 7)), 0)
+        second(_batch(spark, (0, "z", 7), (8, "new", 2)), 3)
+        expected = {(0, "a"): 0, (1, "a"): 11, (2, "a"): 2, (3, "a"): 3, (0, "z"): 7, (9, "new"): 1, (8, "new"): 2}
+        assert _table(second, spark) == expected
+        assert sorted(r["event_count"] for r in second.read_rejects(spark).collect()) == [1, 1, 1, 7]
+        if compacted:
+            second.compact(spark, "2024-01-01", "2024-01-01")
+            assert _table(second, spark) == expected
+            assert second.versions(spark).count() == len(expected) + 4
+
+
+def test_compaction_rewrites_only_the_dates_given(spark, workdir):
+    table = KeyedSummaryTable(f"{workdir}/c")
+    days = 24 * 60
+    for b in range(3):
+        table(_batch(spark, (0, "a", b), (days, "a", 10 + b), (2 * days, "a", 20 + b)), b)
+    before = set(os.listdir(f"{workdir}/c/window_date=2024-01-03"))
+    table.compact(spark, "2024-01-01", "2024-01-02")
+    assert set(os.listdir(f"{workdir}/c/window_date=2024-01-03")) == before
+    assert table.versions(spark).count() == 1 + 1 + 3
+    assert _table(table, spark) == {(0, "a"): 2, (days, "a"): 12, (2 * days, "a"): 22}
+
+
+def test_progress_log_misses_nothing(spark, workdir):
+    from eventide.streaming import ProgressLog
+
+    feed = FileFeed(workdir)
+    for i in range(5):
+        feed.push(_record(60 * i, "a", 1))
+    log = ProgressLog(spark, f"{workdir}/progress", every=2)
+    spark.streams.addListener(log)
+    try:
+        q = start(summary_stream(json_lines_stream(spark, feed.dir, max_files_per_trigger=1)), f"{workdir}/chk", path=f"{workdir}/out", trigger={"availableNow": True})
+        q.awaitTermination()
+        for _ in range(100):  # listeners are told a little later
+            if os.path.exists(f"{workdir}/progress") and not log.held and spark.read.parquet(f"{workdir}/progress").count() >= 5:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    log.flush()
+    rows = spark.read.parquet(f"{workdir}/progress")
+    assert rows.where("num_input_rows = 1").count() == 5
 
 
 def test_observed_decode_counters(spark, workdir):
@@ -159,7 +193,8 @@ def test_observed_decode_counters(spark, workdir):
     )
     q.awaitTermination()
     metrics = [p["observedMetrics"].get("decode_quality") for p in q.recentProgress if p["numInputRows"]]
-    assert metrics and metrics[0]["records"] == 4 and metrics[0]["rejected"] == 2
+    assert metrics and metrics[0]["total_records"] == 4 and metrics[0]["accepted_records"] == 2
+    assert metrics[0]["corrupt_records"] == 1 and metrics[0]["empty_records"] == 1
 
 
 def test_generate_cli_writes_decodable_json_lines(spark, workdir):
@@ -212,19 +247,3 @@ def test_cli_stream_backfill_into_keyed_table(spark, workdir):
     assert t.groupBy().sum("event_count").first()[0] == 1800
     main(args)  # rerun on the same checkpoint: nothing new, nothing duplicated
     assert KeyedSummaryTable(f"{workdir}/table").read(spark).groupBy().sum("event_count").first()[0] == 1800
-
-
-def test_compaction_also_bounds_reject_folders(spark, workdir):
-    table = KeyedSummaryTable(f"{workdir}/r", compact_every=3)
-    schema = "window_start timestamp, window_end timestamp, category string, event_count long, purchase_count long, total_revenue double"
-    m = dt.timedelta(minutes=1)
-    for b in range(10):
-        rows = [(T0 + b * m, T0 + (b + 1) * m, "a", 1, 0, 0.0), (T0 + b * m, T0 + (b + 1) * m, None, b, 0, 0.0)]
-        table.write_batch(spark.createDataFrame(rows, schema), b)
-    table.write_batch(spark.createDataFrame([(T0 + 9 * m, T0 + 10 * m, None, 9, 0, 0.0)], schema), 9)  # retried
-    rej = table.read_rejects(spark)
-    assert sorted(r["event_count"] for r in rej.collect()) == list(range(10))  # each batch once
-    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{workdir}/r/log/kind=rejects") if d.startswith("batch_id="))
-    assert left == [6, 7, 8, 9]
-    assert sorted(os.listdir(f"{workdir}/r/rejects_snapshots")) == ["upto=6", "upto=9"]
-    assert table.read(spark).count() == 10
