@@ -14,13 +14,13 @@ from .attention_mil import held_out, scored, train
 from .decontaminate import contaminated
 from .mixing import OTHER_WEIGHT, WEIGHTS, mixing_plan
 from .neardup import near_duplicates
+from .oracle import ORACLE_SQL, SHARDS
 from .pii import BASE_KINDS, digest, joined, personal_data
 from .rules import quality_rules
 from .shared import kept
 from .sharding import sharded
 from .tokencount import token_counts
 
-SHARDS = 24
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -106,4 +106,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_transducer_token_counts": op10_transducer_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]

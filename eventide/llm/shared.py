@@ -6,32 +6,15 @@ import sys
 import types
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import kept, shared_dir
+
 #: Rows a side may have to be broadcast; a wider side is joined by shuffle.
 BROADCAST_ROWS = 50_000
 
 
-def ready(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``, the context's checkpoint
-    folder, or else one below the warehouse. Makes it the checkpoint folder."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` stored once in the shared folder (``checkpoint``): later steps
-    read it any number of times, and a lost executor costs no recomputation.
-    Spark's cleaner removes it with the last reference."""
-    ready(df.sparkSession)
-    return df.checkpoint()
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if ``df`` has at most ``rows`` rows, else ``df``."""
     return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).collect()) <= rows else df
@@ -65,3 +48,6 @@ def worker_cache() -> dict:
         sys.modules[name] = types.ModuleType(name)
         sys.modules[name].items = {}
     return sys.modules[name].items
+
+
+__all__ = ["kept", "numbered", "shared_dir", "small", "worker_cache"]
