@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from .words import SEPARATOR, Hasher, Texts, blocks, row_of, words_of
 
 PASSAGE_WORDS = 64
-PER_CLASS = 1500
+PER_CLASS = 2500
 WORD_BUCKETS = 64
-TRUST_WORDS = 12
+TRUST_WORDS = 64
 LENGTHS = 16
 HIDDEN, ATTENTION = 24, 12
 STEPS, RATE, DECAY = 200, 0.02, 1e-4
