@@ -10,15 +10,16 @@
    pair is looked at only in the first coordinate it shares. Collisions over
    the whole signature are counted, and pairs below ``MATCHES`` go: a pair at
    the bound expects 96 of 128 with deviation 4.9; fewer than 72 has a chance
-   of 5e-7.
+   of 1.2e-6.
 4. The rest is confirmed on full shingle sets, so no false link survives. Only
    rows that take part in a surviving pair have their sets built and shuffled.
    A list answers with links to the roots of its confirmed groups, never with
    all pairs: a list of m texts gives m - 1 links at most.
 5. Links meet in a distributed component search (large-star, small-star).
 
-Lists over ``LIST_ROWS`` texts are dealt in blocks: each pair of blocks is a
-group of its own, so that no list is one task's work and no pair is lost.
+Lists over ``LIST_ROWS`` texts are dealt in blocks: each block, and each pair
+of blocks, is a group of its own, so that no list is one task's work and no
+pair is lost. In a group of two blocks only pairs across them are looked at.
 
 Definitions: null and empty texts have an empty set and link with nothing;
 they are their own component. Texts with fewer words than a shingle have one
@@ -46,7 +47,7 @@ SIMILARITY = (75, 100)  # 100 * |A and B| >= 75 * |A or B|
 COORDINATES = 128
 MATCHES = 72
 PREFIX = 12
-LIST_ROWS = 2048
+LIST_ROWS = 1024
 #: A quick look at the first coordinates of the signature: 32 of them, 24 expected at the bound.
 QUICK, QUICK_MATCHES = 32, 10
 #: Ids that may be broadcast to pick the rows whose sets are needed; else they are joined by shuffle.
@@ -148,9 +149,9 @@ def set_table(docs: DataFrame, text: str, width: int) -> DataFrame:
     return rows.mapInArrow(run, "_id long, hashes binary")
 
 
-def partners(sig: np.ndarray, i: int, place: int) -> np.ndarray:
-    """Rows after i whose signature has enough collisions with row i's, and none before coordinate ``place``."""
-    near = np.flatnonzero((sig[i + 1 :, :QUICK] == sig[i, :QUICK]).sum(axis=1) >= QUICK_MATCHES) + i + 1
+def partners(sig: np.ndarray, i: int, place: int, first: int) -> np.ndarray:
+    """Rows from ``first`` on whose signature has enough collisions with row i's, and none before coordinate ``place``."""
+    near = np.flatnonzero((sig[first:, :QUICK] == sig[i, :QUICK]).sum(axis=1) >= QUICK_MATCHES) + first
     same = sig[near] == sig[i]
     fit = same.sum(axis=1) >= MATCHES
     if place:
@@ -158,6 +159,16 @@ def partners(sig: np.ndarray, i: int, place: int) -> np.ndarray:
     return near[fit]
 
 
+def laid_out(group: pa.Table) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Order of a group's rows by block, then id; their signatures in that
+    order; the coordinate; the rows of the first block if there are two, else 0."""
+    block, ids = group.column("block").to_numpy(), group.column("_id").to_numpy()
+    order = np.lexsort((ids, block))
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)[order]
+    mine = int((block == block[order[0]]).sum())
+    return order, sig, group.column("place")[0].as_py(), mine if mine < len(order) else 0
+
+
 def groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
     """The runs of equal ``column`` in batches sorted by it, each whole."""
     held: list[pa.RecordBatch] = []
@@ -181,13 +192,12 @@ def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in groups(batches, "list"):
         if group.num_rows < 2:
             continue
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)
-        place = group.column("place")[0].as_py()
+        order, sig, place, mine = laid_out(group)
         hit = np.zeros(len(sig), bool)
-        for i in range(len(sig) - 1):
-            js = partners(sig, i, place)
+        for i in range(mine or len(sig) - 1):
+            js = partners(sig, i, place, mine or i + 1)
             if len(js):
-                hit[i] = hit[js] = True
+                hit[order[i]] = hit[order[js]] = True
         if hit.any():
             yield from group.filter(pa.array(hit)).combine_chunks().to_batches()
 
@@ -196,11 +206,8 @@ def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each list: links (member, root) of the groups that full sets confirm."""
     top, bottom = SIMILARITY
     for group in groups(batches, "list"):
-        ids = group.column("_id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)[order]
-        place = group.column("place")[0].as_py()
+        order, sig, place, mine = laid_out(group)
+        ids = group.column("_id").to_numpy()[order]
         cells = group.column("hashes").to_pylist()
         sets = [np.frombuffer(cells[o], U64) for o in order]
         sizes = np.array([len(s) for s in sets])
@@ -208,8 +215,8 @@ def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = np.unique(np.concatenate(sets), return_inverse=True)[1].ravel()
         seen = np.zeros(int(local.max()) + 1 if len(local) else 1, bool)
         root = np.arange(len(ids))
-        for i in range(len(ids) - 1):
-            js = partners(sig, i, place)
+        for i in range(mine or len(ids) - 1):
+            js = partners(sig, i, place, mine or i + 1)
             js = js[root[js] != root[i]]
             # The sizes alone rule out some: the smaller set bounds the intersection.
             few, many = np.minimum(sizes[js], sizes[i]), np.maximum(sizes[js], sizes[i])
@@ -282,17 +289,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     block = F.pmod(F.xxhash64("_id"), F.col("n")).cast("int")
     pairs = shared.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
-    parts = pairs.select("_id", "place", F.when(F.col("n") > 1, F.xxhash64("list", lo, hi)).otherwise(F.col("list")).alias("list"))
+    parts = pairs.select("_id", "place", "block", F.when(F.col("n") > 1, F.xxhash64("list", lo, hi)).otherwise(F.col("list")).alias("list"))
 
-    schema = "list long, _id long, place int, sig binary"
+    schema = "list long, _id long, place int, block int, sig binary"
     width_ = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    members = parts.join(reps.select("_id", "sig"), "_id").select("list", "_id", "place", "sig")
+    members = parts.join(reps.select("_id", "sig"), "_id").select("list", "_id", "place", "block", "sig")
     members = members.repartition(width_, "list").sortWithinPartitions("list")
     hits = stored(members.mapInArrow(involved, schema))
 
     picked = small(hits.select("_id").distinct(), PICKED_ROWS)
     sets = set_table(docs.join(picked, "_id", "left_semi"), "_text", width).dropDuplicates(["_id"])
-    whole = hits.join(sets, "_id").select("list", "_id", "place", "sig", "hashes")
+    whole = hits.join(sets, "_id").select("list", "_id", "place", "block", "sig", "hashes")
     whole = whole.repartition(width_, "list").sortWithinPartitions("list")
     links = stored(whole.mapInArrow(confirmed, "a long, b long"))
 
