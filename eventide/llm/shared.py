@@ -17,7 +17,7 @@ BROADCAST_ROWS = 50_000
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if ``df`` has at most ``rows`` rows, else ``df``."""
-    return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).collect()) <= rows else df
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def numbered(df: DataFrame, key: Sequence[str], place: str, limit: int, ties: Sequence[str], name: str) -> DataFrame:
