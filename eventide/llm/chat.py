@@ -38,6 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 PACK_TOKENS = 1 << 16
 LEARNED_ROLE = "assistant"
@@ -124,15 +126,17 @@ class Packer:
 
 
 def conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, key, path (a hash per turn), turns: one row per conversation."""
+    """conv (the id as text, "none" without one), conv_id, key, path (a hash per
+    turn), turns: one row per conversation."""
     turns = rows.select(
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("conv"),
         "conv_id",
         F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"),
     )
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    whole = turns.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list("t")).alias("turns"))
     one = lambda t: F.md5(F.concat(F.length(t["role"]).cast("string"), F.lit(":"), t["role"], t["text"]).cast("binary"))
     whole = whole.withColumn("path", F.transform("turns", one))
-    return whole.select("conv_id", F.md5(F.concat_ws(",", "path").cast("binary")).alias("key"), "path", "turns")
+    return whole.select("conv", "conv_id", F.md5(F.concat_ws(",", "path").cast("binary")).alias("key"), "path", "turns")
 
 
 def packed(paths: DataFrame, pack_tokens: int = PACK_TOKENS) -> DataFrame:
@@ -207,8 +211,13 @@ def read_back(nodes: DataFrame) -> DataFrame:
     return nodes.mapInArrow(run, "key string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
-def distinct_paths(whole: DataFrame) -> DataFrame:
-    """One row per key: the conversation with the least id stands for its copies."""
-    first = whole.groupBy("key").agg(F.min(F.struct(F.col("conv_id").isNull().alias("no"), "conv_id")).alias("f"))
-    a, b = whole.alias("a"), first.alias("b")
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & F.col("a.conv_id").eqNullSafe(F.col("b.f.conv_id"))).select("a.key", "path", "turns")
+def formatted(rows: DataFrame, pack_tokens: int = PACK_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """(owners, nodes): conv_id and key of every conversation, and the packs.
+
+    Of equal conversations one goes into the trees. Only ids and keys are
+    stored to find it; the turns are grouped again beside it, where they lie."""
+    whole = conversations(rows)
+    owners = kept(whole.select("conv", "conv_id", "key"))
+    one = owners.groupBy("key").agg(F.min("conv").alias("conv"))
+    paths = whole.join(one.select("conv"), "conv", "left_semi").select("key", "path", "turns")
+    return owners.select("conv_id", "key"), packed(paths, pack_tokens)

@@ -17,7 +17,7 @@ from .neardup import near_duplicates
 from .oracle import ORACLE_SQL, SHARDS
 from .pii import BASE_KINDS, digest, joined, personal_data
 from .rules import quality_rules
-from .shared import kept
+from .shared import lean
 from .sharding import sharded
 from .tokencount import token_counts
 
@@ -25,6 +25,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -74,9 +75,9 @@ def op7_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"),
     )
-    whole = kept(chat.conversations(rows.union(planted)))
-    found = chat.read_back(chat.packed(chat.distinct_paths(whole)))
-    return whole.select("conv_id", "key").join(found, "key").select("conv_id", *[c for c in found.columns if c != "key"])
+    owners, nodes = chat.formatted(rows.union(planted))
+    found = chat.read_back(nodes)
+    return owners.join(found, "key").select("conv_id", *[c for c in found.columns if c != "key"])
 
 
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,9 +190,19 @@ def quality_rules(docs: DataFrame, text: str = "text", spread: float = SPREAD, m
 
 def passing_rows(docs: DataFrame, text: str = "text", spread: float = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns. Thresholds come from a
-    first pass; the second measures the rows again beside their columns, so
-    that no text is shuffled to meet its verdict."""
+    first pass; the second measures the texts again beside their rows: only
+    texts go to Python, and no text is shuffled to meet its verdict."""
     fences = thresholds(stored(measured(docs, text)), spread, min_group)
+    result = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
+
+    @F.arrow_udf(result)
+    def counted(column: pa.Array) -> pa.Array:
+        hasher = Hasher()
+        parts = [measure(texts, hasher) for _, texts in blocks(pa.RecordBatch.from_arrays([column], names=["_text"]), "_text")]
+        arrays = [pa.array(np.concatenate([p[c] for p in parts]) if parts else np.empty(0, np.int64)) for c in COUNTS]
+        return pa.StructArray.from_arrays(arrays, names=list(COUNTS))
+
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    rows = measured(docs.select(row, "lang", "source", F.col(text).alias("_body")), "_body", ("_row", "lang", "source"))
+    rows = docs.select(row, counted(F.col(text).cast("string")).alias("_counts"))
+    rows = rows.select("_row", F.col("_row.lang").alias("lang"), F.col("_row.source").alias("source"), "_counts.*")
     return judged(rows, fences).where("kept").select("_row.*")

@@ -6,13 +6,22 @@ import sys
 import types
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import kept, shared_dir
 
 #: Rows a side may have to be broadcast; a wider side is joined by shuffle.
 BROADCAST_ROWS = 50_000
+ARROW_BYTES = str(8 << 20)
+
+
+def lean(spark: SparkSession) -> None:
+    """Arrow batches of ``ARROW_BYTES`` where the session has no setting of its
+    own: whole texts are wide rows, and each task holds a batch on either
+    side. No result depends on it."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -50,4 +59,4 @@ def worker_cache() -> dict:
     return sys.modules[name].items
 
 
-__all__ = ["kept", "numbered", "shared_dir", "small", "worker_cache"]
+__all__ = ["kept", "lean", "numbered", "shared_dir", "small", "worker_cache"]

@@ -101,11 +101,13 @@ def texts_of(column: pa.Array) -> Texts:
     """Null texts become empty ones."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    if offsets is None:
+        return Texts(np.empty(0, np.uint8), np.zeros(1, np.int64))
+    offsets = np.frombuffer(offsets, width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     return Texts(data[offsets[0] : offsets[-1]], offsets - offsets[0])
 

@@ -18,9 +18,8 @@ def digest(turns):
 
 
 def read(frame, pack_tokens=chat.PACK_TOKENS):
-    whole = chat.conversations(frame)
-    nodes = chat.packed(chat.distinct_paths(whole), pack_tokens)
-    found = whole.select("conv_id", "key").join(chat.read_back(nodes), "key")
+    owners, nodes = chat.formatted(frame, pack_tokens)
+    found = owners.join(chat.read_back(nodes), "key").select("conv_id", "key", *("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"))
     return {r.conv_id: tuple(r)[2:] for r in found.collect()}, nodes
 
 
