@@ -10,10 +10,10 @@ conditional log-probabilities of all its tokens.
   counts over the whole corpus give the most frequent cells an entry of their
   own, the others share ``SHARED`` entries by hash.
 * Training is data-parallel over all documents: in each round every partition
-  starts from the common parameters, trains on a seventh of its positions
-  (another seventh in each round), and the results are averaged, weighted by
-  tokens, in groups of ``FAN_IN`` models until few are left. The driver holds
-  the parameters of one network, never text.
+  starts from the common parameters, trains on a slice of its positions, and
+  the results are averaged, weighted by tokens, in groups of ``FAN_IN`` models
+  until few are left. There are as many slices as rounds, so that every token
+  is predicted once. The driver holds the parameters, never text.
 * Scoring runs the network over every position of every whole text.
 
 Null and empty texts have no tokens, a sum of 0 and a mean of 0. An empty corpus
@@ -42,7 +42,6 @@ CELLS = 1 << CELL_BITS
 WINDOW = 2
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS = 2
-PARTS = 7
 MINIBATCH = 4096
 RATE = 0.1
 FAN_IN = 64
@@ -213,7 +212,7 @@ def averaged(models: DataFrame) -> dict[str, np.ndarray] | None:
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> dict:
-    """The network and its vocabulary, from all documents."""
+    """The network and its vocabulary, from all documents: round ``turn`` trains on slice ``turn`` of ``rounds``."""
     rows = text_rows(docs, id_column, text)
     entry, params = vocabulary(rows), start()
     sc = docs.sparkSession.sparkContext
@@ -226,7 +225,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rounds
             for batch in batches:
                 for _, texts in blocks(batch, "_text"):
                     ids, place, _ = laid_out(texts, entry, hasher)
-                    place = place[mix(np.arange(len(place), dtype=U64)) % U64(PARTS) == U64(turn % PARTS)]
+                    place = place[mix(np.arange(len(place), dtype=U64)) % U64(rounds) == U64(turn)]
                     for lo in range(0, len(place), MINIBATCH):
                         trainer.learn(ids, place[lo : lo + MINIBATCH])
                     seen += len(place)

@@ -69,6 +69,19 @@ def test_training_helps_on_real_texts(spark):
     assert mean(model) > mean(plain) + 0.2
 
 
+def test_every_token_is_trained_on(monkeypatch, odd):
+    seen, averaged = [], M.averaged
+
+    def counted(models, *rest):
+        seen.append(models.agg({"n": "sum"}).first()[0])
+        return averaged(models, *rest)
+
+    monkeypatch.setattr(M, "averaged", counted)
+    model = M.train(odd)
+    assert len(seen) == M.ROUNDS
+    assert sum(seen) == M.scored(odd, model).agg({"n_tokens": "sum"}).first()[0]
+
+
 def test_rows(odd, clashing, empty):
     model = {"entry": np.zeros(M.CELLS, np.int32), "params": M.start()}
     rows = M.scored(odd, model).collect()
