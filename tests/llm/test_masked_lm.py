@@ -82,6 +82,28 @@ def test_every_token_is_trained_on(monkeypatch, odd):
     assert sum(seen) == M.scored(odd, model).agg({"n_tokens": "sum"}).first()[0]
 
 
+def test_probabilities_of_all_words_sum_to_one(spark, monkeypatch):
+    """More words than entries, and more than the tasks know."""
+    monkeypatch.setattr(M, "KNOWN", 2)
+    rows = [(i, f"w{i}") for i in range(6000) for _ in range(1 + i % 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = M.train(docs)
+    chance = {r.doc_id: np.exp(r.log_likelihood) for r in M.scored(docs, model).collect()}
+    assert len(chance) == 6000 and abs(sum(chance.values()) - 1) < 1e-3
+    counts = {r.word: r.n for r in model["counts"].collect()}
+    assert len(counts) == 6000 and sum(counts.values()) == len(rows)
+    # A text that the corpus never had, beside its most frequent words and a word seen once.
+    others = spark.createDataFrame([(1, "w2 zzqx w0"), (2, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_tokens) for r in M.scored(others, model).collect()) == [(1, 3), (2, 0)]
+
+
+def test_entries_grow_with_the_corpus():
+    assert M.size_of(0) == M.size_of(10**6) == M.SIZE < M.size_of(10**8) < M.size_of(10**12)
+    p = M.start(size=4 * M.SIZE)
+    assert len(p["E"]) == 4 * M.SIZE + 1 and p["t"].shape == (2 * M.CLASSES, 2 * M.SIZE // M.CLASSES)
+    assert all(np.array_equal(v, p[k]) for k, v in M.unflat(M.flat(p), 4 * M.SIZE).items())
+
+
 def test_rows(odd, clashing, empty):
     model = {"entry": np.zeros(M.CELLS, np.int32), "params": M.start()}
     rows = M.scored(odd, model).collect()
