@@ -6,12 +6,16 @@ are built map-side and merged, and a text is rejected where a ratio lies
 beyond a robust upper fence of its own group. The group's thresholds are then
 joined back and filter the rows.
 
-Fence of a ratio: ``median + slack + SPREAD * (q75 - q25)``. ``slack`` is the
-distance a ratio may have from its group's median whatever the group's spread
-(a group whose texts all have no symbols has spread 0). Groups with fewer than
+Fence of a ratio: ``q25 + slack + 2 * SPREAD * (q25 - q05)``: junk lies above
+and can't widen it, up to three quarters of a group. ``slack`` is the distance a
+ratio may have from its group's lower quartile whatever the group's spread (a
+group whose texts all have no symbols has spread 0). Groups with fewer than
 ``min_group`` texts take the thresholds of their language, and those of a
 small language the thresholds of all texts: sketches merge, so the wider
 levels come from the sketches of the groups and not from the rows again.
+No fence is beyond the loose one of its language (of all texts for a small
+language), ``median + LOOSE * slack + SPREAD * (q75 - q25)``, which holds a
+source that is nothing but junk.
 
 Nulls: a null text counts as empty (0 words, fails the base rule); null lang
 or source form groups of their own. Repeated rows are measured one by one.
@@ -36,7 +40,7 @@ SYMBOLS = b"#*$%&|<>"
 MARKS = b"!?;:=\\/{}[]()_^~+\"'@`"
 MIN_WORDS = 50
 
-#: Ratio of two counts, and the slack that a text always has above its group's median.
+#: Ratio of two counts, and the slack that a text always has above its group's lower quartile.
 RATIOS = {
     "symbol_ratio": ("n_symbols", "n_words", 0.10),
     "mark_ratio": ("n_marks", "n_words", 0.15),
@@ -46,7 +50,8 @@ RATIOS = {
     "word_length": ("word_chars", "n_words", 3.0),
 }
 SPREAD = 4.0
-QUANTILES = (0.25, 0.5, 0.75)
+LOOSE = 6.0
+QUANTILES = (0.05, 0.25, 0.5, 0.75)
 MIN_GROUP = 50
 #: Size parameter of the sketches: rank errors near 0.2 %, some 10 KB each at most.
 SKETCH_K = 1024
@@ -156,17 +161,21 @@ def thresholds(counts: DataFrame, spread: float = SPREAD, min_group: int = MIN_G
         merged = sketches.groupBy(*keys).agg(F.sum("n").alias(f"n{suffix}"), *[F.kll_merge_agg_double(r, SKETCH_K).alias(r) for r in RATIOS])
         fences = []
         for r, (_, _, slack) in RATIOS.items():
-            low, mid, high = (F.kll_sketch_get_quantile_double(r, F.lit(q)) for q in QUANTILES)
-            fences.append(F.when(F.col(f"n{suffix}") > 0, mid + slack + spread * (high - low)).alias(f"{r}{suffix}"))
+            least, low, mid, high = (F.kll_sketch_get_quantile_double(r, F.lit(q)) for q in QUANTILES)
+            some = F.col(f"n{suffix}") > 0
+            fences.append(F.when(some, low + slack + 2 * spread * (low - least)).alias(f"{r}{suffix}"))
+            fences.append(F.when(some, mid + LOOSE * slack + spread * (high - low)).alias(f"{r}_loose{suffix}"))
         return merged.select(*[F.col(k).alias(f"{k}{suffix}") for k in keys], f"n{suffix}", *fences)
 
     own, lang, every = level(["lang", "source"], ""), level(["lang"], "_1"), level([], "_2").first()
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_1")), "left")
 
     def chosen(r: str) -> Column:
-        wide = F.when(F.col("n_1") >= min_group, F.col(f"{r}_1")).otherwise(F.lit(every[f"{r}_2"]).cast("double"))
-        fence = F.when(F.col("n") >= min_group, F.col(r)).otherwise(wide)
-        return F.coalesce(fence, F.lit(float("inf"))).alias(f"max_{r}")
+        def wide(x: str) -> Column:
+            return F.when(F.col("n_1") >= min_group, F.col(f"{x}_1")).otherwise(F.lit(every[f"{x}_2"]).cast("double"))
+
+        fence = F.when(F.col("n") >= min_group, F.col(r)).otherwise(wide(r))
+        return F.coalesce(F.least(fence, wide(f"{r}_loose")), F.lit(float("inf"))).alias(f"max_{r}")
 
     return joined.select("lang", "source", *[chosen(r) for r in RATIOS])
 

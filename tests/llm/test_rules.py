@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import pytest
+
 from eventide.llm import rules
 
 from .conftest import as_set
@@ -52,6 +54,19 @@ def test_thresholds_follow_their_group(spark):
     assert gone == {200: "symbol_ratio"}
 
 
+@pytest.mark.parametrize("junk", [30, 45, 60, 100])
+def test_junk_does_not_widen_its_own_fence(spark, junk):
+    """A source that is partly junk, alone in its language; one that is nothing else, beside clean ones."""
+    base = [" ".join(f"w{i}x{j}" + "#" * (j % 40 == i % 40) for j in range(100)) for i in range(100)]
+    noise = [" ".join(f"w{i}x{j}##" + "*" * (i % 2) for j in range(100)) for i in range(100)]
+    rows = [(i, noise[i] if i < junk else base[i], "xx", "hot") for i in range(100)]
+    if junk == 100:
+        rows += [(1000 + i, base[i % 100], "xx", f"s{i % 4}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    gone = {r.doc_id for r in rules.quality_rules(docs).where("not kept").collect()}
+    assert gone == set(range(junk))
+
+
 def test_rows(odd, clashing, empty):
     found = rules.quality_rules(odd)
     assert found.count() == odd.count()
