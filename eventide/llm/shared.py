@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import kept, shared_dir
+from ..session import kept, remove_folder, shared_dir
 
 #: Rows a side may have to be broadcast; a wider side is joined by shuffle.
 BROADCAST_ROWS = 50_000
@@ -50,6 +51,27 @@ def numbered(df: DataFrame, key: Sequence[str], place: str, limit: int, ties: Se
     return inside.join(offsets, cell).select(*df.columns, number)
 
 
+class Scratch:
+    """A folder of its own below the shared one for tables that only live inside a
+    ``with`` block. Unlike a checkpoint, writing one runs its plan once."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.tables = spark, f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}", 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove_folder(self.spark, self.path)
+
+    def written(self, df: DataFrame) -> DataFrame:
+        """``df``, written as Parquet and read again."""
+        self.tables += 1
+        path = f"{self.path}/{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python process (worker or driver)."""
     name = "eventide_llm_worker_cache"
@@ -59,4 +81,4 @@ def worker_cache() -> dict:
     return sys.modules[name].items
 
 
-__all__ = ["kept", "lean", "numbered", "shared_dir", "small", "worker_cache"]
+__all__ = ["Scratch", "kept", "lean", "numbered", "shared_dir", "small", "worker_cache"]
