@@ -166,10 +166,127 @@ judged AS (SELECT rated.*, {reason} AS reason FROM rated JOIN own USING (lang, s
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason IS NULL AS kept, reason FROM judged"""
 
 
+def resampling() -> str:
+    upper = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    found = f"regexp_extract_all(coalesce({upper}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""WITH tab AS MATERIALIZED (SELECT {_crc_table()} AS t),
+texts AS (
+  SELECT row_number() OVER () AS row, doc_id, {found} AS w FROM documents
+  UNION ALL SELECT NULL, NULL, {found} FROM benchmark
+),
+used AS (SELECT row, unnest(w) AS word FROM texts),
+bytes AS (
+  SELECT word, list_transform(range(1, 2 * strlen(word), 2), lambda i: CAST('0x' || substr(hex(encode(word)), i, 2) AS BIGINT)) AS b
+  FROM (SELECT DISTINCT word FROM used) d
+),
+buckets AS (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+         lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) % 10000 AS bucket FROM bytes, tab
+),
+cells AS (SELECT row, bucket, count(*) AS n FROM used JOIN buckets USING (word) GROUP BY ALL),
+totals AS (
+  SELECT CAST(coalesce(sum(n) FILTER (WHERE row IS NOT NULL), 0) AS DOUBLE) AS s_all, CAST(coalesce(sum(n) FILTER (WHERE row IS NULL), 0) AS DOUBLE) AS t_all
+  FROM cells
+),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT bucket, CAST(coalesce(sum(n) FILTER (WHERE row IS NOT NULL), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (WHERE row IS NULL), 0) AS DOUBLE) AS t
+        FROM cells GROUP BY bucket) b, totals
+),
+weights AS (SELECT row, CAST(sum(n * gain) AS BIGINT) AS weight FROM cells JOIN gains USING (bucket) WHERE row IS NOT NULL GROUP BY row),
+noise AS (
+  SELECT row, doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) AS h
+  FROM texts LEFT JOIN weights USING (row) WHERE row IS NOT NULL
+),
+scores AS (
+  SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM noise
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id, n_features) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scores
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ranked"""
+
+
+def repairs() -> str:
+    return f"""WITH RECURSIVE tab AS MATERIALIZED (SELECT {_crc_table()} AS t),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+),
+faulty AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, 2 * strlen(name), 2),
+         lambda i: CAST('0x' || substr(hex(encode(name)), i, 2) AS BIGINT))), lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) % 20 AS f
+  FROM named, tab
+),
+damaged AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM faulty
+),
+keyed AS (
+  SELECT *, md5(strlen(role) || ':' || role || strlen(text) || ':' || text) AS same,
+         md5(coalesce(length(CAST(conv_id AS VARCHAR)) || ':' || conv_id, 'null') || coalesce(length(CAST(turn AS VARCHAR)) || ':' || turn, 'null') || '32:' || upper(same)) AS key
+  FROM damaged
+),
+sorted AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key, copy) AS i FROM keyed),
+marked AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ \\t\\n\\x0B\\f\\r]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][ \\t\\n\\x0B\\f\\r]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS earlier
+  FROM sorted
+),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE i > 1 AND substr(earlier, 1, 1) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id
+),
+follows(a, b, role) AS (VALUES ('', 's', NULL), ('', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+inserts AS (
+  SELECT DISTINCT a, a AS b, '' AS letters, 0 AS cost, []::VARCHAR[] AS lines FROM (SELECT a FROM follows UNION ALL SELECT b FROM follows)
+  UNION ALL SELECT a, b, 'I', 5, [role || ':'] FROM follows WHERE role IS NOT NULL
+  UNION ALL SELECT x.a, y.b, 'II', 10, [x.role || ':', y.role || ':'] FROM follows x JOIN follows y ON x.b = y.a WHERE x.role IS NOT NULL
+),
+edits AS (
+  SELECT conv_id, i, x.a, x.b, 'D' AS letter, 2 AS cost, []::VARCHAR[] AS lines FROM marked, (SELECT DISTINCT b AS a, b FROM inserts) x
+  UNION ALL SELECT conv_id, i, a, b, 'K', CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, [marked.role || ':' || text]
+            FROM marked JOIN follows ON substr(marked.role, 1, 1) = b WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, i, a, b, 'R', CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, [follows.role || ':' || text]
+            FROM marked JOIN follows ON follows.role IS NOT NULL WHERE fault NOT IN ('blank', 'duplicate')
+),
+steps AS (
+  SELECT conv_id, i, x.a, y.b, min(struct_pack(cost := x.cost + y.cost, letters := x.letters || y.letter, lines := x.lines || y.lines)) AS s
+  FROM inserts x JOIN edits y ON x.b = y.a GROUP BY ALL
+),
+best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '' AS st, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM counted
+  UNION ALL
+  SELECT conv_id, i, b, w.cost, w.audit, w.lines FROM (
+    SELECT steps.conv_id, steps.i, steps.b, min(struct_pack(cost := best.cost + s.cost, audit := best.audit || s.letters, lines := best.lines || s.lines)) AS w
+    FROM best JOIN steps ON best.conv_id IS NOT DISTINCT FROM steps.conv_id AND steps.i = best.i + 1 AND steps.a = best.st GROUP BY ALL
+  ) x
+),
+ended AS (
+  SELECT best.conv_id, min(struct_pack(cost := best.cost + x.cost, audit := best.audit || x.letters, lines := best.lines || x.lines)) AS w
+  FROM best JOIN counted ON best.conv_id IS NOT DISTINCT FROM counted.conv_id AND i = n
+  JOIN inserts x ON x.a = st AND (x.b = 'a' OR x.b = '') GROUP BY ALL
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(w.cost, 0) AS BIGINT) AS cost, coalesce(w.audit, '') AS audit,
+       sha256(coalesce(array_to_string(w.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 ORACLE_SQL = {
     "op3_rendezvous_sharding": sharding(),
     "op5_minhash_near_dedup": near_duplicates(),
     "op7_prefix_tree_chat": chat(),
     "op8_pfair_mixing": mixing(),
     "op9_quality_rules": rules(),
+    "op11_importance_resampling": resampling(),
+    "op12_hirschberg_repair": repairs(),
 }

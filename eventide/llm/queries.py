@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, masked_lm
+from . import bpe, chat, masked_lm, repair
 from .attention_mil import held_out, scored, train
 from .decontaminate import contaminated
 from .mixing import OTHER_WEIGHT, WEIGHTS, mixing_plan
 from .neardup import near_duplicates
 from .oracle import ORACLE_SQL, SHARDS
 from .pii import BASE_KINDS, digest, joined, personal_data
+from .resample import resampled
 from .rules import quality_rules
 from .shared import lean
 from .sharding import sharded
 from .tokencount import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,9 +92,27 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20)
+
+
+def op12_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.audited(repair.damaged(rows), rows)
+
+
+def op13_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    file = public_tokenizers.path(WORD_TOKENIZER)
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), file), file)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_mil_quality": op1_attention_mil_quality,
     "op2_anchor_pii": op2_anchor_pii,
@@ -105,6 +124,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_transducer_token_counts": op10_transducer_token_counts,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_hirschberg_repair": op12_hirschberg_repair,
+    "op13_trie_bpe": op13_trie_bpe,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
