@@ -27,10 +27,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
+from functools import cached_property
 from itertools import chain
 from math import inf
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +45,17 @@ from .shared import worker_cache
 from .words import blocks
 
 PIECE_CHARS = 1 << 20
-HELD_WORDS = 1 << 18
+HELD_WORDS = 1 << 19
 LONG_WORD = 64  # longer ones are not held
 HELD_PAIRS = 1 << 20
+PAIR_BITS = 32
 BLANK = regex.compile(r"[ \n]")
 
+# The word pattern of such files, and the same for texts of these letters only.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NOT_PLAIN = re.compile("[^\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+PLAIN_WORDS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9\xdf-\xf6\xf8-\xff]+")
+
 
 def byte_symbols() -> dict[str, int]:
     """Byte of each symbol of byte-level files: printable Latin-1 characters stand for themselves, the others follow from 256 on."""
@@ -64,7 +73,7 @@ class Merges:
         self.inside: dict[bytes, int] = {}  # tokens that end before the word's last byte
         self.final: dict[bytes, int] = {}  # tokens that end a word
         self.rank: dict[tuple[int, int], int] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         parts: list[tuple[int, int] | None] = [None] * size
         formed = {a + b for a, b in merges}
         if len(formed) < len(merges):
@@ -88,7 +97,7 @@ class Merges:
         self.runs: list[bytes] = [b""]
         self.state: dict[bytes, int] = {b"": 0}
         self.ends: list[list[tuple[int, int]]] = [[]]  # of a state: tokens that end here, and their sizes
-        self.moves: dict[tuple[int, int], int] = {}
+        self.moves: dict[int, int] = {}
         self.last_ones: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.left_spine = [self.spine(parts, t, 0) for t in range(size)]
         self.right_spine = [self.spine(parts, t, 1) for t in range(size)]
@@ -102,11 +111,10 @@ class Merges:
             until, token = self.rank[parts[token]], parts[token][side]
         return [*out, (token, until)][::-1]
 
-    def compatible(self, a: int, b: int) -> bool:
-        """Whether the bytes of ``a`` and ``b`` in a row stay these two tokens: over the
-        time of merging, no two neighbours at the border merge before one of them is
+    def compatible(self, pair: int) -> bool:
+        """Whether the bytes of two tokens in a row stay these tokens: over the time of merging, no two neighbours at the border merge before one of them is
         taken in on its own side. Of equal ranks the left one goes first."""
-        left, right, i, j = self.right_spine[a], self.left_spine[b], 0, 0
+        left, right, i, j = self.right_spine[pair >> PAIR_BITS], self.left_spine[pair & (1 << PAIR_BITS) - 1], 0, 0
         known = True
         while known:
             (x, x_until), (y, y_until) = left[i], right[j]
@@ -120,7 +128,7 @@ class Merges:
                 j += 1
         if len(self.pairs) >= HELD_PAIRS:
             self.pairs.clear()
-        self.pairs[a, b] = known
+        self.pairs[pair] = known
         return known
 
     def move(self, state: int, byte: int) -> int:
@@ -132,7 +140,7 @@ class Merges:
             to = self.state[run] = len(self.runs)
             self.runs.append(run)
             self.ends.append(self.suffixes(run, self.inside))
-        self.moves[state, byte] = to
+        self.moves[state << 8 | byte] = to
         return to
 
     @staticmethod
@@ -145,14 +153,6 @@ class Merges:
             found = self.last_ones[state, byte] = self.suffixes(self.runs[state] + bytes([byte]), self.final)
         return found
 
-    def last(self, found: list[tuple[int, int]], end: int, states: list[int]) -> int:
-        """The last token of the first ``end`` bytes of a word, one of ``found``; ``states[i]`` is that of its first i."""
-        for token, size in found:
-            known = size == end or self.pairs.get((states[end - size], token))
-            if known or (known is None and self.compatible(states[end - size], token)):
-                return token
-        raise ValueError("no token for a byte")
-
 
 class Node:
     """A run of bytes from a depth on, the nodes below, and the last bytes of the
@@ -206,22 +206,34 @@ class Trie:
         """Each word and its tokens, depth first. ``states`` holds the last token of
         each prefix on the way down to the node at hand, ``places`` the automaton's."""
         path, states, places, left = b"", [-1], [0], [self.root]
-        moves, ends = merges.moves, merges.ends
+        moves, ends, pairs, content, compatible = merges.moves, merges.ends, merges.pairs, merges.content, merges.compatible
+
+        def last(found: list[tuple[int, int]], end: int) -> int:
+            """The one token of ``found`` that the first ``end`` bytes end in."""
+            for token, size in found:
+                if size == end:
+                    return token
+                pair = states[end - size] << PAIR_BITS | token
+                known = pairs.get(pair)
+                if compatible(pair) if known is None else known:
+                    return token
+            raise ValueError("no token for a byte")
+
         while left:
             node = left.pop()
             path = path[: node.depth] + node.run
             del states[node.depth + 1 :], places[node.depth + 1 :]
             place = places[-1]
             for end, byte in enumerate(node.run, node.depth + 1):
-                to = moves.get((place, byte))
+                to = moves.get(place << 8 | byte)
                 place = merges.move(place, byte) if to is None else to
                 places.append(place)
-                states.append(merges.last(ends[place], end, states))
+                states.append(last(ends[place], end))
             for byte in node.finals:
                 end = len(path) + 1
-                token = merges.last(merges.finals(place, byte), end, states)
+                token = last(merges.finals(place, byte), end)
                 ids = [token]
-                while end := end - len(merges.content[token]):
+                while end := end - len(content[token]):
                     token = states[end]
                     ids.append(token)
                 yield path + bytes([byte]), ids[::-1]
@@ -229,25 +241,34 @@ class Trie:
 
 
 class Tokenizer:
-    """Encodes and decodes texts as the file says; made once per Python process."""
+    """Encodes and decodes texts as the file says; made once per Python process.
+    What only encoding needs is made with the first text to encode."""
 
     def __init__(self, content: str):
-        from tokenizers import Tokenizer as Library
-
         file = json.loads(content)
-        model, split = file["model"], file["pre_tokenizer"]["pretokenizers"]
+        self.model, split = file["model"], file["pre_tokenizer"]["pretokenizers"]
         steps = [s["type"] for s in file["normalizer"]["normalizers"]]
         if steps != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in split] != ["Split", "ByteLevel"] or file["decoder"]:
             raise ValueError("not a file of lower-case byte-level words")
-        self.library = Library.from_str(content)
-        self.merges = Merges(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
+        self.content = content
         self.words = regex.compile(split[0]["pattern"]["Regex"])
         self.byte = byte_symbols()
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.text = {i: t for t, i in {**model["vocab"], **self.special}.items()}
+        self.text = {i: t for t, i in {**self.model["vocab"], **self.special}.items()}
+        self.decimal = {i: str(i) for i in self.text}
         self.alike: dict[str, bool] = {}
-        self.held: dict[str, list[int]] = {}
+        self.held: dict[str, bytes] = {}  # ids of four bytes
+
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer as Library
+
+        return Library.from_str(self.content)
+
+    @cached_property
+    def merges(self) -> Merges:
+        return Merges(self.model["vocab"], [tuple(m) for m in self.model["merges"]], self.model["end_of_word_suffix"])
 
     def same(self, char: str) -> bool:
         """Whether Python normalizes and splits at this character as the library does."""
@@ -276,7 +297,9 @@ class Tokenizer:
         for i, part in enumerate(self.specials.split(text)):
             if i % 2:
                 out.append(part)
-            elif part.isascii() or all(map(self.same, set(part))):
+            elif self.words.pattern == PATTERN and not NOT_PLAIN.search(part):
+                out += PLAIN_WORDS.findall(part.lower())
+            elif all(map(self.same, set(part))):
                 out += self.words.findall(self.lower(part))
             else:
                 out += self.library_words(part)
@@ -287,9 +310,9 @@ class Tokenizer:
         if len(self.held) > HELD_WORDS:
             self.held.clear()
         new = words - self.held.keys()
-        self.held.update((w, [self.special[w]]) for w in new if w in self.special)
+        self.held.update((w, pack("=i", self.special[w])) for w in new if w in self.special)
         for word, ids in Trie(w.encode() for w in new if w not in self.special).encodings(self.merges):
-            self.held[word.decode()] = ids
+            self.held[word.decode()] = pack(f"={len(ids)}i", *ids)
 
     def forget(self, words: set[str]) -> None:
         for word in words:
@@ -313,11 +336,27 @@ class Tokenizer:
         words = set(chain.from_iterable(w for _, w in waiting))
         self.learn(words)
         for i, found in waiting:
-            out[i].append(np.fromiter(chain.from_iterable(map(self.held.__getitem__, found)), np.int32))
+            out[i].append(np.frombuffer(b"".join(map(self.held.__getitem__, found)), np.int32))
         self.forget(words)
 
     def decode(self, ids: Sequence[int]) -> str:
-        return " ".join(self.text[i] for i in ids if i in self.text)
+        try:
+            return " ".join(map(self.text.__getitem__, ids))
+        except KeyError:  # ids that no token has are passed over
+            return " ".join(self.text[i] for i in ids if i in self.text)
+
+    def decimals(self, ids: Sequence[int]) -> str:
+        try:
+            return " ".join(map(self.decimal.__getitem__, ids))
+        except KeyError:
+            return " ".join(map(str, ids))
+
+
+def lists_of(column: pa.ListArray) -> Iterator[list[int]]:
+    """The cells of a column of lists (null: empty), one at a time."""
+    values, offsets = column.values, column.offsets.to_pylist()
+    for i, full in enumerate(column.is_valid().to_pylist()):
+        yield values.slice(offsets[i], offsets[i + 1] - offsets[i]).to_numpy(zero_copy_only=False).tolist() if full else []
 
 
 def pieces(text: str) -> Iterator[str]:
@@ -367,7 +406,7 @@ def decoded(rows: DataFrame, tokenizer_file: str, id_column: str = "doc_id", ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = tokenizer(content.value)
         for batch in batches:
-            texts = [machine.decode(i.as_py() or []) for i in batch.column(1)]
+            texts = [machine.decode(ids) for ids in lists_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["_id", "text"])
 
     narrow = rows.select(F.col(id_column).cast("long").alias("_id"), F.col(ids).alias("_ids"))
@@ -381,10 +420,9 @@ def digests(rows: DataFrame, tokenizer_file: str, id_column: str = "doc_id", ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = tokenizer(content.value)
         for batch in batches:
-            rows = [i.as_py() or [] for i in batch.column(1)]
-            sha = [pa.array([hashlib.sha256(f(r).encode()).hexdigest() for r in rows]) for f in (lambda r: " ".join(map(str, r)), machine.decode)]
-            n = pa.array(list(map(len, rows)), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, *sha], names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            rows = [(len(ids), *[hashlib.sha256(f(ids).encode()).hexdigest() for f in (machine.decimals, machine.decode)]) for ids in lists_of(batch.column(1))]
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     narrow = rows.select(F.col(id_column).cast("long").alias("_id"), F.col(ids).alias("_ids"))
     found = narrow.mapInArrow(run, "_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
