@@ -235,6 +235,37 @@ SELECT {ROUNDED} FROM (
 ) u""",
         "upsert_replay": f"{w},\n{_closed('wire')}\nSELECT {ROUNDED} FROM closed",
         "summary_rejects": f"{w},\n{DIRTY},\n{_closed('dirty_valid')}\nSELECT {ROUNDED} FROM closed WHERE category IS NULL",
+        "streaming_split_watermark": f"""{w},
+arrived AS (
+  SELECT wire.* FROM wire, (SELECT MAX(event_time) AS hi FROM wire) ends
+  WHERE "partition" <> 2 OR event_time <= hi - INTERVAL 30 MINUTE
+),
+mark AS (SELECT MIN(hi) - INTERVAL 10 SECOND AS mark FROM (SELECT MAX(event_time) AS hi FROM arrived GROUP BY "partition") p)
+SELECT {ROUNDED} FROM ({tumble('arrived', 1)}) t, mark WHERE window_end <= mark""",
+        "open_windows": f"""{w}
+SELECT {ROUNDED} FROM ({tumble('wire', 1)}) t
+WHERE window_end > (SELECT MAX(event_time) FROM wire) - INTERVAL 10 SECOND""",
+        "streaming_restart": f"{w},\n{_closed('wire')}\nSELECT {ROUNDED} FROM closed",
+        "streaming_rejects": f"""{w},\n{DIRTY}
+SELECT "partition", "offset",
+       CASE m WHEN 1 THEN '{{bad json ' || CAST(event_id AS VARCHAR) WHEN 5 THEN '' WHEN 6 THEN '[]' ELSE 'null' END AS value,
+       CASE WHEN m = 5 THEN 'empty' ELSE 'corrupt' END AS reason
+FROM dirty WHERE m IN (1, 5, 6, 8)""",
+        "upsert_duplicate_keys": f"""{w},\n{_closed('wire')}
+SELECT {ROUNDED}, CASE WHEN category = 'books' THEN 'duplicate key' END AS reason FROM (
+  SELECT * FROM closed
+  UNION ALL
+  SELECT window_start, window_end, category, event_count + 1, purchase_count, total_revenue FROM closed WHERE category = 'books'
+) u""",
+        "latest_from_table": f"""{ws}
+SELECT window_start, window_end, category, event_count, purchase_count,
+       CAST(ROUND(total_revenue, 2) AS DECIMAL(18,2)) AS revenue
+FROM summary ORDER BY window_start DESC, category ASC NULLS FIRST LIMIT 10""",
+        "revenue_rollup": f"""{ws}
+SELECT category, CAST(SUM(event_count) AS BIGINT) AS total_events,
+       CAST(SUM(purchase_count) AS BIGINT) AS total_purchases,
+       CAST(ROUND(SUM(total_revenue), 2) AS DECIMAL(18,2)) AS total_revenue
+FROM summary GROUP BY category""",
         "sample_events": f"""{w}
 SELECT "partition", "offset",
        CAST(to_json(struct_pack(user_id := user_id, session_id := session_id, product_id := product_id,

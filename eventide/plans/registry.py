@@ -34,12 +34,12 @@ from ..operators import (
     tumbling_summary,
     with_total,
 )
-from ..session import in_utc, kept, remove_folder, shared_dir
+from ..session import in_utc, kept, listed, move_into, remove_folder, shared_dir
 from ..sources.files import events_record_stream, events_stream, parquet_stream
 from ..sources.kafka import sample_records
-from ..sources.testdata import events_as_records, events_to_typed, events_to_wire, read_table
-from ..streaming.job import read_summary, start, summary_stream
-from ..streaming.sinks import KeyedSummaryTable
+from ..sources.testdata import TOPIC_PARTITIONS, events_as_records, events_to_typed, events_to_wire, read_table
+from ..streaming.job import open_windows, read_summary, split_summary_stream, start, start_rejects, summary_stream
+from ..streaming.sinks import KeyedSummaryTable, RejectLog, RevenueRollup
 from .fixtures import dirty_records, null_amounts
 
 # Fixed report parameters of the registered queries (as_of replaces NOW()).
@@ -48,6 +48,9 @@ EMPTY_AS_OF = "2024-03-01 00:00:00"  # after the last event: empty period
 FRESHNESS_AS_OF = "2024-01-31 00:00:00"
 TITLE_24H = "  CLICKSTREAM ANALYTICS REPORT — Last 24 Hours"
 LATE_FILES = 4
+LAG_MINUTES = 30
+OLD_DATE = "2024-01-05"
+MICROS = "unix_micros(CAST(ts AS TIMESTAMP))"
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -276,7 +279,117 @@ def summary_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = KeyedSummaryTable(f"{run}/table")
     records = dirty_records(events_to_wire(events_stream(spark, sf_dir)))
     _run_stream(summary_stream(records), f"{run}/checkpoint", sink=table)
-    return _taken(spark, ntz(rounded(table.read_rejects(spark))), run)
+    return _taken(spark, ntz(rounded(table.read_rejects(spark).drop("reason"))), run)
+
+
+def _slices(spark: SparkSession, sf_dir: str, n: int) -> list[tuple[int, int]]:
+    """The events' whole time in ``n`` equal parts: (from, before), in microseconds."""
+    lo, hi = (x or 0 for x in _events(spark, sf_dir).agg(F.min(F.expr(MICROS)), F.max(F.expr(MICROS))).first())
+    return [(lo + (hi - lo) * i // n, lo + (hi - lo) * (i + 1) // n + (i == n - 1)) for i in range(n)]
+
+
+def streaming_split_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A watermark per topic partition: each partition is a folder of its own, four
+    micro-batches bring a quarter of the time each, and the last partition's
+    rows come ``LAG_MINUTES`` late. Under the least watermark none of them is
+    too late; windows close when all partitions have passed them."""
+    run = _run_dir(spark, "streaming_split_watermark")
+    events, partition = _events(spark, sf_dir), F.col("event_id") % TOPIC_PARTITIONS
+    lag = LAG_MINUTES * 60_000_000
+    for lo, hi in _slices(spark, sf_dir, 4):
+        for p in range(TOPIC_PARTITIONS):
+            late = lag if p == TOPIC_PARTITIONS - 1 else 0
+            rows = events.where((partition == p) & (F.expr(MICROS) >= lo - late) & (F.expr(MICROS) < hi - late))
+            rows.repartition(LATE_FILES).write.mode("append").parquet(f"{run}/events/partition={p}")
+    splits = [
+        events_as_records(parquet_stream(spark, f"{run}/events/partition={p}", events.schema, max_files_per_trigger=LATE_FILES)) for p in range(TOPIC_PARTITIONS)
+    ]
+    _run_stream(split_summary_stream(splits), f"{run}/checkpoint", path=f"{run}/summary")
+    return _taken(spark, ntz(rounded(read_summary(spark, f"{run}/summary").drop("window_date"))), run)
+
+
+def open_windows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a finished run still holds in its state: the windows not closed yet."""
+    run = _run_dir(spark, "open_windows")
+    _run_stream(summary_stream(events_record_stream(spark, sf_dir)), f"{run}/checkpoint", path=f"{run}/summary")
+    return _taken(spark, ntz(rounded(open_windows(spark, f"{run}/checkpoint"))), run)
+
+
+def streaming_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one checkpoint: the older half of the events, then a part file
+    that no run has committed lands in the output, then the rest. The sink's
+    own log says what counts, and each closed window is there once."""
+    run = _run_dir(spark, "streaming_restart")
+    events = _events(spark, sf_dir)
+    for i, (lo, hi) in enumerate(_slices(spark, sf_dir, 2)):
+        events.where((F.expr(MICROS) >= lo) & (F.expr(MICROS) < hi)).repartition(LATE_FILES).write.mode("append").parquet(f"{run}/events")
+        stream = events_as_records(parquet_stream(spark, f"{run}/events", events.schema))
+        _run_stream(summary_stream(stream), f"{run}/checkpoint", path=f"{run}/summary")
+        if i == 0:
+            stray = read_summary(spark, f"{run}/summary").withColumn("event_count", F.col("event_count") + 1)
+            stray.write.partitionBy("window_date").parquet(f"{run}/stray")
+            move_into(spark, f"{run}/stray", f"{run}/summary")
+    return _taken(spark, ntz(rounded(read_summary(spark, f"{run}/summary").drop("window_date"))), run)
+
+
+def streaming_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that the decoder skips, from a stream. Its last batch runs three
+    times: its commit is taken back twice, as if the driver had been lost
+    between the sink's write and the commit."""
+    run = _run_dir(spark, "streaming_rejects")
+    events = _events(spark, sf_dir)
+    for lo, hi in _slices(spark, sf_dir, 2):
+        events.where((F.expr(MICROS) >= lo) & (F.expr(MICROS) < hi)).repartition(LATE_FILES).write.mode("append").parquet(f"{run}/events")
+    for _ in range(3):
+        stream = parquet_stream(spark, f"{run}/events", events.schema, max_files_per_trigger=LATE_FILES)
+        records = dirty_records(events_to_wire(stream))
+        start_rejects(records, f"{run}/checkpoint", f"{run}/rejects", trigger={"availableNow": True}).awaitTermination()
+        commits = [n for n in listed(spark, f"{run}/checkpoint/commits") if n.isdigit()]
+        remove_folder(spark, f"{run}/checkpoint/commits/{max(commits, key=int)}")
+    found = RejectLog(f"{run}/rejects").read(spark).select("partition", "offset", "value", "reason")
+    return _taken(spark, found, run)
+
+
+def upsert_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that breaks the table's key: the windows of books come twice with
+    different counts. Both rows are rejects with a reason, all others stay."""
+    run = _run_dir(spark, "upsert_duplicate_keys")
+    table = KeyedSummaryTable(f"{run}/table")
+
+    def doubled(batch: DataFrame, batch_id: int) -> None:
+        again = batch.where("category = 'books'").withColumn("event_count", F.col("event_count") + 1)
+        for _ in range(2):  # a replay appends the same rows
+            table(batch.unionByName(again), batch_id)
+
+    _run_stream(summary_stream(events_record_stream(spark, sf_dir)), f"{run}/checkpoint", sink=doubled)
+    rows = table.read(spark).drop("window_date").withColumn("reason", F.lit(None).cast("string"))
+    return _taken(spark, ntz(rounded(rows.unionByName(table.read_rejects(spark)))), run)
+
+
+# --- reports over the stored table ---------------------------------------------
+
+def latest_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``report_latest`` over the stored table: only the newest dates are read."""
+    run = _run_dir(spark, "latest_from_table")
+    table = KeyedSummaryTable(f"{run}/table")
+    table(_report_summary(spark, sf_dir), 0)
+    return _taken(spark, ntz(latest(table.latest(spark, 10))), run)
+
+
+def revenue_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``revenue_by_category`` from sums by date, after keys of an old date were
+    replaced: the first batch has wrong counts for a day, the second mends them."""
+    run = _run_dir(spark, "revenue_rollup")
+    table = KeyedSummaryTable(f"{run}/table")
+    rollup = RevenueRollup(f"{run}/rollup", table)
+    summary = kept(_report_summary(spark, sf_dir))
+    old = F.to_date("window_start") == F.lit(OLD_DATE).cast("date")
+    table(summary.withColumn("event_count", F.when(old, 7 * F.col("event_count")).otherwise(F.col("event_count"))), 0)
+    rollup.refresh(spark)
+    table(summary.where(old), 1)
+    table.compact(spark, OLD_DATE, OLD_DATE)
+    rollup.refresh(spark)
+    return _taken(spark, revenue_by_category(rollup.read(spark)), run)
 
 
 # --- sources and sinks ---------------------------------------------------------
@@ -319,6 +432,13 @@ _MADE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_replay": upsert_replay,
     "upsert_resubmit": upsert_resubmit,
     "summary_rejects": summary_rejects,
+    "streaming_split_watermark": streaming_split_watermark,
+    "open_windows": open_windows_query,
+    "streaming_restart": streaming_restart,
+    "streaming_rejects": streaming_rejects,
+    "upsert_duplicate_keys": upsert_duplicate_keys,
+    "latest_from_table": latest_from_table,
+    "revenue_rollup": revenue_rollup,
     "sample_events": sample_events,
     "encode_roundtrip": encode_roundtrip,
 }

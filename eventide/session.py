@@ -56,18 +56,28 @@ def build_session(
 TIME_ZONE = "spark.sql.session.timeZone"
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting that holds inside, and is what it was after."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @contextlib.contextmanager
 def utc(spark: SparkSession) -> Iterator[None]:
     """The session's time zone is UTC inside, and the caller's again after.
 
     Expressions take the zone when a DataFrame is made, so a plan made inside
     keeps UTC wherever it runs later."""
-    before = spark.conf.get(TIME_ZONE)
-    spark.conf.set(TIME_ZONE, "UTC")
-    try:
+    with setting(spark, TIME_ZONE, "UTC"):
         yield
-    finally:
-        spark.conf.set(TIME_ZONE, before)
 
 
 def in_utc(make: Callable) -> Callable:
@@ -106,3 +116,21 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this package has made, on whatever file system it is."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder on whatever file system it is; none if it isn't there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def move_into(spark: SparkSession, source: str, target: str) -> None:
+    """Move the files of the folders in ``source`` into the same folders of ``target``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in listed(spark, source):
+        for name in listed(spark, f"{source}/{folder}"):
+            if folder[:1] not in "._" and name[:1] not in "._":
+                fs.mkdirs(path(f"{target}/{folder}"))
+                fs.rename(path(f"{source}/{folder}/{name}"), path(f"{target}/{folder}/{name}"))

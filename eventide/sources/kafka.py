@@ -20,6 +20,8 @@ def source_options(
     exact_group_id: bool = False,
     min_partitions: int | None = None,
     fail_on_data_loss: bool | None = None,
+    flush_records: int | None = None,
+    flush_delay: str = "5s",
 ) -> dict[str, str]:
     opts = {
         "kafka.bootstrap.servers": cfg.kafka_bootstrap,
@@ -32,6 +34,11 @@ def source_options(
         opts["kafka.group.id" if exact_group_id else "groupIdPrefix"] = cfg.kafka_group_id
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if flush_records:
+        # A micro-batch starts with so many new records, or when ``flush_delay``
+        # has passed since the last one: use it with a short trigger interval.
+        opts["minOffsetsPerTrigger"] = str(flush_records)
+        opts["maxTriggerDelay"] = flush_delay
     if min_partitions:
         # Split each topic partition's offset range over several tasks so the
         # JSON decode is not limited to one core per topic partition.

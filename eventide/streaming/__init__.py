@@ -1,8 +1,18 @@
 """Structured Streaming: the windowed job, sinks and progress."""
 
-from .job import read_summary, start, start_from_config, summary_stream
+from .job import open_windows, read_summary, split_summary_stream, start, start_from_config, start_rejects, summary_stream
 from .progress import ProgressLog, progress_frame, progress_rows
-from .sinks import JdbcUpsertSink, KeyedSummaryTable, start_record_sink, summary_ddl, table_ddl, upsert_sql, write_json_lines
+from .sinks import (
+    JdbcUpsertSink,
+    KeyedSummaryTable,
+    RejectLog,
+    RevenueRollup,
+    start_record_sink,
+    summary_ddl,
+    table_ddl,
+    upsert_sql,
+    write_json_lines,
+)
 
 __all__ = [
     "start",
@@ -14,6 +24,11 @@ __all__ = [
     "progress_rows",
     "JdbcUpsertSink",
     "KeyedSummaryTable",
+    "RejectLog",
+    "RevenueRollup",
+    "open_windows",
+    "split_summary_stream",
+    "start_rejects",
     "upsert_sql",
     "start_record_sink",
     "summary_ddl",

@@ -6,8 +6,9 @@ tagged with a version, and a read takes the newest row of each key with one
 ``max_by``. A version is (run, batch id); a run is the moment its writer was
 made, so what a resubmitted job writes from a fresh checkpoint, whose batch
 ids begin at 0 again, is newer than all before it, key by key. A replayed
-batch appends the same rows again and changes nothing. Rows whose key is NULL
-are kept beside the others and read as rejects.
+batch appends the same rows again and changes nothing. Rows whose key is NULL,
+or occurs twice in a batch, are kept beside the others with the reason and
+read as rejects.
 
 ``JdbcUpsertSink`` has the same contract against a database: executors write
 the batch to staging tables in parallel, then one transaction upserts the rows
@@ -17,20 +18,23 @@ batch's rejects. The driver sends statements, never rows.
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import re
 import time
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import SUMMARY_KEY, SUMMARY_SCHEMA
-from ..session import kept, utc
+from ..session import listed, remove_folder, utc
 
 VALUE_COLUMNS = tuple(f.name for f in SUMMARY_SCHEMA.fields if f.name not in SUMMARY_KEY)
 ALL_COLUMNS = tuple(f.name for f in SUMMARY_SCHEMA.fields)
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def with_defaults(batch: DataFrame) -> DataFrame:
@@ -52,6 +56,32 @@ def key_is_valid(key: Sequence[str] = SUMMARY_KEY):
     return cond
 
 
+NULL_KEY, DUPLICATE_KEY = "null key", "duplicate key"
+
+
+def with_reasons(batch: DataFrame, key: Sequence[str] = SUMMARY_KEY) -> DataFrame:
+    """``batch`` with ``reason``: why a row breaks the key's constraints, else NULL.
+    A key that a batch has more than once is as good as none, so all its
+    rows break the constraint; a batch has one row a key by its aggregate."""
+    times = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    return batch.withColumn("reason", F.when(~key_is_valid(key), NULL_KEY).when(times > 1, DUPLICATE_KEY))
+
+
+class RejectLog:
+    """Rejected records as Parquet below ``path``, in one folder a batch; usable
+    directly as a ``foreachBatch`` function. A batch that runs again replaces
+    its folder. One log belongs to one checkpoint, which numbers its batches."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.option("basePath", self.path).parquet(self.path)
+
+
 class KeyedSummaryTable:
     """Parquet below ``path``, partitioned by ``window_date``; usable directly as
     a ``foreachBatch`` function.
@@ -62,6 +92,7 @@ class KeyedSummaryTable:
 
     stored = T.StructType([
         *(T.StructField(f.name, f.dataType, True) for f in SUMMARY_SCHEMA.fields),
+        T.StructField("reason", T.StringType(), True),
         T.StructField("run", T.LongType(), True), T.StructField("batch_id", T.LongType(), True), T.StructField("window_date", T.DateType(), True),
     ])
 
@@ -71,7 +102,7 @@ class KeyedSummaryTable:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with utc(batch.sparkSession):
-            rows = with_defaults(batch).select(
+            rows = with_reasons(with_defaults(batch)).select(
                 "*",
                 F.lit(int(self.run)).cast("bigint").alias("run"),
                 F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
@@ -89,30 +120,104 @@ class KeyedSummaryTable:
                 raise
             return spark.createDataFrame([], self.stored)
 
-    def newest(self, spark: SparkSession) -> DataFrame:
-        """The newest row of every key (NULL is a key here), with its version.
-        The date belongs to the key, so a filter on it prunes the scan."""
+    def newest(self, spark: SparkSession, dates: Sequence[str] | None = None) -> DataFrame:
+        """The newest row of every key, with its version. The date belongs to the
+        key, so a filter on it prunes the scan; ``dates`` is one such filter."""
+        rows = self.versions(spark).where(F.col("reason").isNull() & key_is_valid())
+        if dates is not None:
+            rows = rows.where(F.col("window_date").isin([dt.date.fromisoformat(d) for d in dates]))
         values = F.struct(*VALUE_COLUMNS, "run", "batch_id")
-        rows = self.versions(spark).groupBy("window_date", *SUMMARY_KEY).agg(F.max_by(values, F.struct("run", "batch_id")).alias("_row"))
+        rows = rows.groupBy("window_date", *SUMMARY_KEY).agg(F.max_by(values, F.struct("run", "batch_id")).alias("_row"))
         row = {c: F.col(f"_row.{c}").alias(c) for c in (*VALUE_COLUMNS, "run", "batch_id")}
         return rows.select(*[row.get(c, F.col(c)) for c in (*ALL_COLUMNS, "run", "batch_id", "window_date")])
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def newest_rejects(self, spark: SparkSession) -> DataFrame:
+        """Rows that broke the key's constraints: of each key those of the newest batch, once each."""
+        reason = F.coalesce("reason", F.when(~key_is_valid(), NULL_KEY)).alias("reason")
+        rows = self.versions(spark).select(*ALL_COLUMNS, reason, "run", "batch_id", "window_date").where("reason is not null")
+        order = Window.partitionBy("window_date", *SUMMARY_KEY).orderBy(F.desc("run"), F.desc("batch_id"))
+        return rows.dropDuplicates().withColumn("_age", F.rank().over(order)).where("_age = 1").drop("_age")
+
+    def read(self, spark: SparkSession, dates: Sequence[str] | None = None) -> DataFrame:
         """The current table, with ``window_date`` to filter by."""
-        return self.newest(spark).where(key_is_valid()).select(*ALL_COLUMNS, "window_date")
+        return self.newest(spark, dates).select(*ALL_COLUMNS, "window_date")
 
     def read_rejects(self, spark: SparkSession) -> DataFrame:
-        return self.newest(spark).where(~key_is_valid()).select(*ALL_COLUMNS)
+        return self.newest_rejects(spark).select(*ALL_COLUMNS, "reason")
+
+    def dates(self, spark: SparkSession) -> list[str]:
+        """The dates that have rows, newest first, from the folder's listing alone."""
+        names = [n.partition("=")[2] for n in listed(spark, self.path) if n.startswith("window_date=")]
+        return sorted((n for n in names if n != NO_DATE), reverse=True)
+
+    def files(self, spark: SparkSession, date: str) -> list[str]:
+        return [n for n in listed(spark, f"{self.path}/window_date={date}") if not n.startswith((".", "_"))]
+
+    def latest(self, spark: SparkSession, n: int = 10) -> DataFrame:
+        """The rows of the newest dates that hold the ``n`` newest rows: dates are
+        added newest first, twice as many each time, until they have ``n``.
+        Rows of other dates are older than all of these, so no other file is read."""
+        dates, taken = self.dates(spark), 0
+        while True:
+            taken = min(len(dates), max(1, 2 * taken))
+            rows = self.read(spark, dates[:taken])
+            if taken == len(dates) or rows.limit(n).count() >= n:
+                return rows.drop("window_date")
 
     def compact(self, spark: SparkSession, since: str, until: str) -> None:
         """Keep only the newest rows of the dates from ``since`` to ``until``
-        (inclusive): their partitions, and no others, are overwritten. Run it
-        for dates that no job is writing to."""
-        rows = kept(self.newest(spark).where(F.col("window_date").between(F.lit(since).cast("date"), F.lit(until).cast("date"))))
-        (
-            rows.repartition("window_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("window_date").parquet(self.path)
-        )
+        (inclusive). They are appended with their own versions first, then the
+        files they came from are removed: a read is right at every moment,
+        and a compaction that is lost half way has done no harm. Run it for
+        dates that no job is writing to."""
+        dates = [d for d in self.dates(spark) if since <= d <= until]
+        old = [f"{self.path}/window_date={d}/{f}" for d in dates for f in self.files(spark, d)]
+        self.append_newest(spark, dates)
+        for path in old:
+            remove_folder(spark, path)
+
+    def append_newest(self, spark: SparkSession, dates: Sequence[str]) -> None:
+        rejected = self.newest_rejects(spark).where(F.col("window_date").isin([dt.date.fromisoformat(d) for d in dates]))
+        rows = self.newest(spark, dates).withColumn("reason", F.lit(None).cast("string")).unionByName(rejected)
+        rows = rows.select(*self.stored.names).repartition("window_date")
+        rows.write.mode("append").partitionBy("window_date").parquet(self.path)
+
+
+class RevenueRollup:
+    """Totals by date and category of a ``KeyedSummaryTable``, kept as Parquet below
+    ``path``, partitioned by date. ``refresh`` rebuilds the dates whose files have
+    changed since (a batch or a compaction touched them) and no others. Totals
+    over all time add up these rows, a few a date."""
+
+    def __init__(self, path: str, table: KeyedSummaryTable):
+        self.path, self.table = path.rstrip("/"), table
+
+    stored = "category string, event_count long, purchase_count long, total_revenue double, files string, window_date date"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        if not listed(spark, self.path):
+            return spark.createDataFrame([], self.stored)
+        return spark.read.schema(self.stored).parquet(self.path)
+
+    def stale(self, spark: SparkSession) -> dict[str, str]:
+        """Date -> mark of its files, where the rollup has another mark or none."""
+        marks = {d: hashlib.md5("\n".join(self.table.files(spark, d)).encode()).hexdigest() for d in self.table.dates(spark)}
+        built = {str(r["window_date"]): r["files"] for r in self.read(spark).select("window_date", "files").distinct().collect()}  # one row a date
+        return {d: m for d, m in marks.items() if built.get(d) != m}
+
+    def refresh(self, spark: SparkSession) -> list[str]:
+        """Bring the rollup up to date; returns the dates that were rebuilt."""
+        stale = self.stale(spark)
+        if stale:
+            rows = self.table.read(spark, list(stale)).groupBy("window_date", "category").agg(
+                *[F.sum(c).alias(c) for c in ("event_count", "purchase_count", "total_revenue")]
+            )
+            marks = spark.createDataFrame([(dt.date.fromisoformat(d), m) for d, m in stale.items()], "window_date date, files string")
+            (
+                rows.join(F.broadcast(marks), "window_date").repartition("window_date").select("category", "event_count", "purchase_count", "total_revenue", "files", "window_date")
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(self.path)
+            )
+        return sorted(stale)
 
 
 # ---------------------------------------------------------------------------
