@@ -10,7 +10,8 @@ up to 255), ``card`` (13 to 19 digits, Luhn), ``phone`` (9 to 15 digits). A
 candidate that fails validation is dropped and its text is not tried again.
 Kinds that the anchors add: ``url`` (scheme, optional user part, host),
 ``account`` (the value after a cue such as "password" or "IBAN"; an IBAN must
-pass its mod-97 check) and ``address`` (house number, capitalised names, street
+pass its mod-97 check; other values run to a blank, quote, bracket, comma or
+semicolon and have a digit) and ``address`` (house number, capitalised names, street
 word). Offsets are code points, ends exclusive.
 
 Null and empty texts have no spans. Repeated rows are searched one by one;
@@ -38,18 +39,20 @@ CUES = ("iban", "account", "acct", "passport", "ssn", "password", "passwd", "sec
 STREETS = ("street", "avenue", "road", "lane", "boulevard", "square")
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "mailto:")
 
+ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
 DIGITS = re.compile(r"[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+LEAD = re.compile(r"(?i:\s{0,2}(?:no\.|(?:no|number|id|is)(?![a-z0-9])|[:=#])){0,3}\s{0,2}[\"']?")
+VALUE = re.compile(r"[A-Za-z0-9](?:[^\s\"'<>,;()]*[^\s\"'<>,;().!?:])?")
+LEAST_VALUE = 6
 URL = re.compile(r"(?:[A-Za-z0-9._~%!$&'*+,;=:-]{1,256}@)?[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*(?::[0-9]{1,5})?(?:[/?#][^\s\"'<>]*)?")
 MAILTO = re.compile(r"[A-Za-z0-9._%+-]{1,256}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+")
-LEAD = r"(?:\s?(?:no\.?|number|id|is|[:=#]))?\s{0,2}[\"']?"
-VALUE = re.compile(LEAD + r"([A-Za-z0-9][A-Za-z0-9_-]{5,128})")
-IBAN = re.compile(LEAD + r"([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
-NUMBER_AND_NAMES = re.compile(r"[0-9]{1,5}[a-zA-Z]?\s(?:[A-Z][\w'-]{0,30}\s){1,3}$")
+IBAN = re.compile(r"([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+NUMBER_AND_NAMES = re.compile(r"[0-9]{1,5}[a-zA-Z]?\s(?:[A-Z][\w'-]{0,30}\s){1,5}$")
 
 
 def automaton():
@@ -63,8 +66,7 @@ def automaton():
                 found.add_word(word, (kind, len(word)))
         for kind, words in (("account", CUES), ("address", STREETS)):
             for word in words:
-                for spelled in {word, word.capitalize(), word.upper()}:
-                    found.add_word(spelled, (kind, len(spelled)))
+                found.add_word(word, (kind, len(word)))
         found.make_automaton()
         worker_cache()[("pii",)] = found
     return found
@@ -87,14 +89,16 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end), ordered by kind as in KINDS, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     after = dict.fromkeys((*KINDS, "digits"), 0)  # where the next search of a kind begins
-    for last, (kind, size) in automaton().iter(text):
+    dead = 0  # up to here stands a value that was no account
+    lower = text.lower() if text.isascii() else text.translate(ASCII_LOWER)  # as long as the text
+    for last, (kind, size) in automaton().iter(lower):
         at = last - size + 1
         if kind == "digit":
             if at >= after["ip"]:
                 m = IP.match(text, at)
                 if m:
                     after["ip"] = m.end()
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                    if all(len(p) <= 3 and int(p or 0) <= 255 for p in (p.lstrip("0") for p in m[0].split("."))):
                         found["ip"].append(m.span())
                 else:  # no start inside this run of digits can match either
                     after["ip"] = DIGITS.match(text, at).end()
@@ -127,13 +131,17 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
                 after["url"] = m.end()
                 found["url"].append((at, m.end()))
         elif kind == "account":
-            numbered = text[at : last + 1].lower() == "iban"
-            m = (IBAN if numbered else VALUE).match(text, last + 1)
-            if m and (at == 0 or not text[at - 1].isalnum()) and (iban(m[1]) if numbered else any(c.isdigit() for c in m[1])):
-                after["account"] = m.end(1)
-                found["account"].append(m.span(1))
+            if at and text[at - 1].isalnum():
+                continue
+            numbered, begin = lower[at : last + 1] == "iban", LEAD.match(text, last + 1).end()
+            m = (IBAN if numbered else VALUE).match(text, begin) if numbered or begin >= dead else None
+            if m and (iban(m[0]) if numbered else len(m[0]) >= LEAST_VALUE and any(c.isdigit() for c in m[0])):
+                after["account"] = m.end()
+                found["account"].append(m.span())
+            elif m and not numbered:
+                dead = m.end()  # any value that begins inside lacks the same
         else:
-            left = max(after["address"], at - 110)
+            left = max(after["address"], at - 170)
             m = NUMBER_AND_NAMES.search(text[left:at])
             if m and not text[last + 1 : last + 2].isalnum():
                 after["address"] = last + 1

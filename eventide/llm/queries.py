@@ -43,10 +43,11 @@ def op2_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows = [[(s["kind"], s["start"], s["end"]) for s in spans] for spans in batch.column(1).to_pylist()]
             counts = [pa.array([sum(s[0] == k for s in spans) for spans in rows], pa.int64()) for k in BASE_KINDS]
             texts = [pa.array([f(spans) for spans in rows], pa.string()) for f in (digest, joined)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, *texts], names=names)
+            total = pa.array(list(map(len, rows)), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, *texts, total], names=names)
 
-    names = ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"]
-    schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string"
+    names = ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_spans"]
+    schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string, n_spans long"
     return personal_data(table(spark, sf_dir, "documents")).mapInArrow(digests, schema)
 
 

@@ -9,7 +9,7 @@ from .conftest import as_set
 def base(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(int(p.lstrip("0")[:9] or 0) <= 255 for p in m[0].split(".")):
             out.append(("ip", *m.span()))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
         d = re.sub(r"\D", "", m[0])
@@ -56,3 +56,36 @@ def test_rows(odd, clashing, empty, odd_rows):
     assert all(list(r.spans) == [] for r in rows if r.doc_id in (3, 4, 5))
     assert as_set(pii.personal_data(clashing)) == as_set(pii.personal_data(odd))
     assert pii.personal_data(empty).collect() == []
+
+
+def test_digit_runs_of_any_length():
+    zeros, many = "0" * 5000, "1" * 100_000
+    for t in ("1.2." + zeros + ".4", f"{zeros}.{zeros}.{zeros}.{zeros}7", many, "+" + many, f"1.{many}.2.3", "4 " * 50_000, many + "@" + many + ".x"):
+        assert found(t) == (base(t) if len(t) < 30_000 else [x for x in found(t) if x[0] == "email"])
+    assert [k for k, *_ in found("1.2." + zeros + ".4")] == ["ip"]
+
+
+def accounts(t):
+    return [t[s:e] for k, s, e in pii.spans_of(t) if k == "account"]
+
+
+def test_whole_account_values():
+    long = "a1" * 100
+    cases = {
+        "password=Tr0ub4dor&3xyz": "Tr0ub4dor&3xyz", f"token: {long}.": long, "passport number: X12345678, issued": "X12345678", "API key: ab12cd34ef56": "ab12cd34ef56",
+        "Account No.: 00123456": "00123456", "account number: 12345678901": "12345678901", "Account Number 12345678": "12345678",
+        "İ SECRET is \"s3cr3t-value\"": "s3cr3t-value", "IBAN: DE89 3704 0044 0532 0130 00": "DE89 3704 0044 0532 0130 00",
+    }
+    for t, value in cases.items():
+        assert accounts(t) == [value], t
+    assert accounts("the password is hidden, tokens 123456 secretary 1234567 token password: x1y2z3w4") == ["x1y2z3w4"]
+    assert accounts("iban DE89 3704 0044 0532 0130 01") == []
+
+
+def test_many_cues_in_one_run_cost_little():
+    import time
+
+    begin = time.time()
+    for t in ("token-" * 30_000, "token:" * 30_000, "password " * 30_000, "1 A " * 30_000 + "street"):
+        pii.spans_of(t)
+    assert time.time() - begin < 10
