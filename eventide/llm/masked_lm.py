@@ -254,9 +254,11 @@ class Trainer:
         self.p = {k: v.copy() for k, v in p.items()}
         self.seen = {k: np.full_like(v, 1e-4) for k, v in p.items()}
 
-    def move(self, k: str, g: np.ndarray, where=...) -> None:
-        self.seen[k][where] += g * g
-        self.p[k][where] -= RATE * g / np.sqrt(self.seen[k][where])
+    def move(self, k: str, g: np.ndarray) -> None:
+        """A gradient of zero moves nothing."""
+        seen = self.seen[k]
+        seen += g * g
+        self.p[k] -= RATE * g / np.sqrt(seen)
 
     def learn(self, ids: np.ndarray, at: np.ndarray) -> None:
         p, n = self.p, np.float32(len(at))
@@ -267,6 +269,7 @@ class Trainer:
         g /= n
         d_h = g @ p["C"].T
         d_c = (h.T @ g, g.sum(axis=0))
+        d_t = (np.zeros_like(p["T"]), np.zeros_like(p["t"]))
         for k in range(len(p["c"])):
             i, j = runs[k], runs[k + 1]
             if i < j:
@@ -274,15 +277,18 @@ class Trainer:
                 q[np.arange(j - i), inner[i:j]] -= 1
                 q /= n
                 d_h[i:j] += q @ p["T"][k].T
-                self.move("T", h[i:j].T @ q, k)
-                self.move("t", q.sum(axis=0), k)
+                np.matmul(h[i:j].T, q, out=d_t[0][k])
+                q.sum(axis=0, out=d_t[1][k])
         d = d_h * (1 - h * h)
         d_x = (d @ p["W"].T).reshape(-1, EMBEDDING)
         d_e = np.zeros_like(p["E"])
         met = around.ravel()
-        by = np.argsort(met, kind="stable")
+        # Numbers of 16 bits are sorted by radix.
+        by = np.argsort(met.astype(np.uint16) if len(p["E"]) <= 1 << 16 else met, kind="stable")
         first = np.flatnonzero(np.diff(met[by], prepend=-1))
         d_e[met[by][first]] = np.add.reduceat(d_x[by], first, axis=0)
+        self.move("T", d_t[0])
+        self.move("t", d_t[1])
         self.move("C", d_c[0])
         self.move("c", d_c[1])
         self.move("W", x.T @ d)
