@@ -7,7 +7,8 @@
    ``PREFIX`` coordinates, with the full value. A pair at the similarity bound
    misses all postings with probability (1 - bound)**PREFIX: 6e-8.
 3. Skip merging: postings that stand alone are dropped, and within a list a
-   pair is looked at only in the first coordinate it shares. Collisions over
+   pair is looked at only in the first coordinate it shares (of the posted
+   coordinates, the signature has all 32 bits). Collisions over
    the whole signature are counted, and pairs below ``MATCHES`` go: a pair at
    the bound expects 96 of 128 with deviation 4.9; fewer than 72 has a chance
    of 1.2e-6.
@@ -52,6 +53,8 @@ LIST_ROWS = 1024
 QUICK, QUICK_MATCHES = 32, 10
 #: Ids that may be broadcast to pick the rows whose sets are needed; else they are joined by shuffle.
 PICKED_ROWS = 500_000
+#: Ids of ``without_copies`` for rows that have none of their own; others are taken to be less.
+OTHER_IDS = 1 << 62
 
 
 def shingles(texts: Texts, hasher: Hasher, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,12 +113,12 @@ def sketched(docs: DataFrame, text: str, width: int) -> DataFrame:
                 posts, sigs = [None] * texts.n, [None] * texts.n
                 if len(full):
                     starts = at[:-1][full]
-                    key_a[full] = np.add.reduceat(mix(sets), starts)
-                    key_b[full] = np.add.reduceat(mix(sets ^ U64(0x5851F42D4C957F2D)), starts)
+                    key_a[full], key_b[full] = set_keys(sets, starts)
                     sig = signatures(sets, np.append(starts, len(sets)))
                     place = np.arange(PREFIX, dtype=U64) << U64(32)
                     post = mix(sig[:, :PREFIX].astype(U64) | place).view(np.int64)
-                    cut = sig.astype(np.uint16)
+                    high = (sig[:, :PREFIX] >> np.uint32(16)).astype(np.uint16)
+                    cut = np.concatenate([sig.astype(np.uint16), high], axis=1)
                     for i, r in enumerate(full):
                         posts[r], sigs[r] = post[i], cut[i].tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -134,37 +137,44 @@ def sketched(docs: DataFrame, text: str, width: int) -> DataFrame:
     return rows.mapInArrow(run, "_id long, n_shingles long, same_a long, same_b long, posts array<long>, sig binary")
 
 
+def set_keys(sets: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 128-bit key of each set, none of them empty."""
+    return np.add.reduceat(mix(sets), starts), np.add.reduceat(mix(sets ^ U64(0x5851F42D4C957F2D)), starts)
+
+
 def set_table(docs: DataFrame, text: str, width: int) -> DataFrame:
-    """_id, hashes (the set as little-endian 64-bit numbers, rising)."""
+    """same_a, same_b, hashes (the set as little-endian 64-bit numbers, rising) of the texts with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(lower=True)
         for batch in batches:
-            for rows, texts in blocks(batch, "_text"):
+            for _, texts in blocks(batch, "_text"):
                 sets, at = shingles(texts, hasher, width)
-                cells = [sets[at[i] : at[i + 1]].tobytes() for i in range(texts.n)]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(cells, pa.binary())], names=["_id", "hashes"])
+                full = np.flatnonzero(np.diff(at))
+                if len(full):
+                    cells = pa.array([sets[at[i] : at[i + 1]].tobytes() for i in full], pa.binary())
+                    keys = [pa.array(k.view(np.int64)) for k in set_keys(sets, at[:-1][full])]
+                    yield pa.RecordBatch.from_arrays([*keys, cells], names=["same_a", "same_b", "hashes"])
 
-    rows = docs.select("_id", F.col(text).cast("string").alias("_text"))
-    return rows.mapInArrow(run, "_id long, hashes binary")
+    return docs.select(F.col(text).cast("string").alias("_text")).mapInArrow(run, "same_a long, same_b long, hashes binary")
 
 
 def partners(sig: np.ndarray, i: int, place: int, first: int) -> np.ndarray:
     """Rows from ``first`` on whose signature has enough collisions with row i's, and none before coordinate ``place``."""
     near = np.flatnonzero((sig[first:, :QUICK] == sig[i, :QUICK]).sum(axis=1) >= QUICK_MATCHES) + first
     same = sig[near] == sig[i]
-    fit = same.sum(axis=1) >= MATCHES
-    if place:
-        fit &= ~same[:, :place].any(axis=1)
+    fit = same[:, :COORDINATES].sum(axis=1) >= MATCHES
+    if place:  # in full, as they were posted
+        fit &= ~(same[:, :place] & same[:, COORDINATES : COORDINATES + place]).any(axis=1)
     return near[fit]
 
 
 def laid_out(group: pa.Table) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Order of a group's rows by block, then id; their signatures in that
     order; the coordinate; the rows of the first block if there are two, else 0."""
-    block, ids = group.column("block").to_numpy(), group.column("_id").to_numpy()
-    order = np.lexsort((ids, block))
-    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)[order]
+    block, *key = (group.column(c).to_numpy() for c in ("block", "same_b", "same_a", "_id"))
+    order = np.lexsort((*key, block))
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES + PREFIX)[order]
     mine = int((block == block[order[0]]).sum())
     return order, sig, group.column("place")[0].as_py(), mine if mine < len(order) else 0
 
@@ -279,27 +289,29 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     full = sketches.where("n_shingles > 0 and _id is not null")
     same = full.groupBy("same_a", "same_b", "n_shingles").agg(F.min("_id").alias("rep"))
     # Equal sets, and rows that repeat an id, are links to their representative.
-    equal = full.join(same, ["same_a", "same_b", "n_shingles"]).select(F.col("_id").alias("a"), F.col("rep").alias("b"), "posts", "sig")
+    equal = full.join(same, ["same_a", "same_b", "n_shingles"]).select(F.col("_id").alias("a"), F.col("rep").alias("b"), "same_a", "same_b", "posts", "sig")
     equal = stored(equal)
-    reps = equal.where("a = b").dropDuplicates(["a", "sig"]).select(F.col("a").alias("_id"), "posts", "sig")
+    # A set is known by its key and not by its id, which may have other sets too.
+    key = ["same_a", "same_b"]
+    reps = equal.where("a = b").dropDuplicates(key).select(F.col("a").alias("_id"), *key, "posts", "sig")
 
-    posts = reps.select("_id", F.posexplode("posts").alias("place", "list"))
+    posts = reps.select("_id", *key, F.posexplode("posts").alias("place", "list"))
     lists = posts.groupBy("list").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    shared = posts.join(lists, "list").select("_id", "place", "list", F.ceil(F.col("rows") / LIST_ROWS).cast("int").alias("n"))
-    block = F.pmod(F.xxhash64("_id"), F.col("n")).cast("int")
+    shared = posts.join(lists, "list").select("_id", *key, "place", "list", F.ceil(F.col("rows") / LIST_ROWS).cast("int").alias("n"))
+    block = F.pmod(F.xxhash64(*key), F.col("n")).cast("int")
     pairs = shared.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
-    parts = pairs.select("_id", "place", "block", F.when(F.col("n") > 1, F.xxhash64("list", lo, hi)).otherwise(F.col("list")).alias("list"))
+    parts = pairs.select("_id", *key, "place", "block", F.when(F.col("n") > 1, F.xxhash64("list", lo, hi)).otherwise(F.col("list")).alias("list"))
 
-    schema = "list long, _id long, place int, block int, sig binary"
+    schema = "list long, _id long, same_a long, same_b long, place int, block int, sig binary"
     width_ = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    members = parts.join(reps.select("_id", "sig"), "_id").select("list", "_id", "place", "block", "sig")
+    members = parts.join(reps.select(*key, "sig"), key).select("list", "_id", *key, "place", "block", "sig")
     members = members.repartition(width_, "list").sortWithinPartitions("list")
     hits = stored(members.mapInArrow(involved, schema))
 
     picked = small(hits.select("_id").distinct(), PICKED_ROWS)
-    sets = set_table(docs.join(picked, "_id", "left_semi"), "_text", width).dropDuplicates(["_id"])
-    whole = hits.join(sets, "_id").select("list", "_id", "place", "block", "sig", "hashes")
+    sets = set_table(docs.join(picked, "_id", "left_semi"), "_text", width).dropDuplicates(key)
+    whole = hits.join(sets, key).select("list", "_id", *key, "place", "block", "sig", "hashes")
     whole = whole.repartition(width_, "list").sortWithinPartitions("list")
     links = stored(whole.mapInArrow(confirmed, "a long, b long"))
 
@@ -319,12 +331,25 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` with one document of each group, the one with the
-    least id; of rows that repeat an id, one. Rows without an id stay."""
-    found = near_duplicates(docs, id_column, text, width)
-    drop = found.where("not kept").select(id_column).distinct()
-    docs = docs.join(small(drop, PICKED_ROWS), id_column, "left_anti").select(*docs.columns)
-    again = stored(docs.where(F.col(id_column).isNotNull()).groupBy(id_column).count().where("count > 1").select(id_column))
-    if again.isEmpty():
-        return docs
-    one = docs.join(small(again, PICKED_ROWS), id_column, "left_semi").dropDuplicates([id_column])
-    return docs.join(small(again, PICKED_ROWS), id_column, "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
+    least id; of equal rows one. Rows without an id, and ids with different texts,
+    are documents by id and text, after all others: they stay unless they are
+    copies. Empty texts without an id stay."""
+    body = F.xxhash64(F.col(text).cast("string"))
+    again = docs.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_again"))
+    again = stored(again.agg(F.count(F.lit(1)).alias("_n"), (F.min(body) != F.max(body)).alias("_differ")).where("_n > 1").select("_again", "_differ"))
+    own = F.col(id_column).cast("long")
+    by_text = F.lit(OTHER_IDS) + F.pmod(F.xxhash64(own, F.col(text).cast("string")), F.lit(OTHER_IDS // 2))
+    repeated, differ = F.lit(False), F.lit(False)
+    marked = docs
+    if not again.isEmpty():
+        marked = docs.join(small(again, PICKED_ROWS), F.col(id_column) == F.col("_again"), "left")
+        repeated, differ = F.col("_again").isNotNull(), F.coalesce("_differ", F.lit(False))
+    alone = F.col(id_column).isNotNull() & ~differ
+    worded = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    twice = repeated | (F.col(id_column).isNull() & worded)
+    marked = marked.select(*docs.columns, F.when(alone, own).otherwise(by_text).alias("_own"), twice.alias("_twice"))
+    found = near_duplicates(marked, "_own", text, width)
+    drop = found.where("not kept").select("_own").distinct()
+    rest = marked.join(small(drop, PICKED_ROWS), "_own", "left_anti")
+    one = rest.where("_twice").dropDuplicates(["_own"])
+    return rest.where("not _twice").select(*docs.columns).unionByName(one.select(*docs.columns))
