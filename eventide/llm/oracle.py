@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from .mixing import BLOCK_ROWS, OTHER_WEIGHT, WEIGHTS
-from .rules import MIN_GROUP, RATIOS, SPREAD
 
 SHARDS = 24
 #: Words are runs of anything but these.
@@ -125,23 +124,38 @@ SELECT doc_id, source, CAST(stream AS INTEGER) AS stream, block, CAST(slot AS BI
 FROM placed"""
 
 
+#: Constants of the quality rules, written out here so that a wrong value shows: counts of each ratio, slack.
+FENCED = {
+    "symbol_ratio": ("n_symbols", "n_words", 0.10), "mark_ratio": ("n_marks", "n_words", 0.15), "upper_ratio": ("n_upper", "word_chars", 0.10),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.50), "repeat_ratio": ("n_repeat_words", "n_words", 0.40), "word_length": ("word_chars", "n_words", 3.0),
+}
+
+
 def rules() -> str:
     base = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
     chars = {"n_symbols": r"[#*$%&|<>]", "n_marks": r"[!?;:=\\/{}\[\]()_^~+\"''@`]", "n_upper": "[A-Z]"}
     counted = ", ".join(f"length(regexp_replace(body, '{p}', 'xx', 'g')) - length(body) AS {c}" for c, p in chars.items())
-    ratios = ", ".join(f"CASE WHEN {b} > 0 THEN CAST({a} AS DOUBLE) / {b} ELSE 0.0 END AS {r}" for r, (a, b, _) in RATIOS.items())
+    ratios = ", ".join(f"CASE WHEN {b} > 0 THEN CAST({a} AS DOUBLE) / {b} ELSE 0.0 END AS {r}" for r, (a, b, _) in FENCED.items())
 
     def level(keys: str, suffix: str) -> str:
         def q(r: str, p: float) -> str:
-            return f"quantile_disc({r}, {p}) FILTER (WHERE NOT base_failed)"
+            return f"(quantile_disc({r}, {p}) FILTER (WHERE NOT base_failed))"
 
-        fences = ", ".join(f"({q(r, 0.5)}) + {slack} + {SPREAD} * (({q(r, 0.75)}) - ({q(r, 0.25)})) AS {r}{suffix}" for r, (_, _, slack) in RATIOS.items())
+        fences = ", ".join(
+            f"{q(r, 0.25)} + {slack} + 8.0 * ({q(r, 0.25)} - {q(r, 0.05)}) AS {r}{suffix}, "
+            f"{q(r, 0.5)} + 6.0 * {slack} + 4.0 * ({q(r, 0.75)} - {q(r, 0.25)}) AS {r}_loose{suffix}"
+            for r, (_, _, slack) in FENCED.items()
+        )
         return f"SELECT {keys + ', ' if keys else ''}count(*) FILTER (WHERE NOT base_failed) AS n{suffix}, {fences} FROM rated {'GROUP BY ' + keys if keys else ''}"
 
     def limit(r: str) -> str:
-        return f"coalesce(CASE WHEN n0 >= {MIN_GROUP} THEN {r}0 WHEN n1 >= {MIN_GROUP} THEN {r}1 ELSE {r}2 END, 'inf'::DOUBLE)"
+        def wide(x: str) -> str:
+            return f"CASE WHEN n1 >= 50 THEN {x}1 ELSE {x}2 END"
+
+        loose = f"CASE WHEN sources >= 3 THEN {r}_middle ELSE {wide(r + '_loose')} END"
+        return f"coalesce(least(CASE WHEN n0 >= 50 THEN {r}0 ELSE {wide(r)} END, {loose}), 'inf'::DOUBLE)"
 
-    reason = "CASE WHEN base_failed THEN 'base' " + " ".join(f"WHEN {r} > {limit(r)} THEN '{r}'" for r in RATIOS) + " END"
+    reason = "CASE WHEN base_failed THEN 'base' " + " ".join(f"WHEN {r} > {limit(r)} THEN '{r}'" for r in FENCED) + " END"
     return f"""WITH docs AS (SELECT doc_id, coalesce(lang, '\x01') AS lang, coalesce(source, '\x01') AS source, coalesce(text, '') AS body FROM documents),
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(body, '{BLANKS}'), lambda w: w <> '') AS w FROM docs),
 windows AS (
@@ -162,7 +176,8 @@ counts AS (
 ),
 rated AS (SELECT *, {base} AS base_failed, {ratios} FROM counts),
 own AS ({level('lang, source', '0')}), wide AS ({level('lang', '1')}), every AS ({level('', '2')}),
-judged AS (SELECT rated.*, {reason} AS reason FROM rated JOIN own USING (lang, source) JOIN wide USING (lang), every)
+middle AS (SELECT lang, count(*) AS sources, {", ".join(f"quantile_disc({r}_loose0, 0.5) AS {r}_middle" for r in FENCED)} FROM own WHERE n0 >= 50 GROUP BY lang),
+judged AS (SELECT rated.*, {reason} AS reason FROM rated JOIN own USING (lang, source) JOIN wide USING (lang) LEFT JOIN middle USING (lang), every)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason IS NULL AS kept, reason FROM judged"""
 
 

@@ -13,9 +13,12 @@ group whose texts all have no symbols has spread 0). Groups with fewer than
 ``min_group`` texts take the thresholds of their language, and those of a
 small language the thresholds of all texts: sketches merge, so the wider
 levels come from the sketches of the groups and not from the rows again.
-No fence is beyond the loose one of its language (of all texts for a small
-language), ``median + LOOSE * slack + SPREAD * (q75 - q25)``, which holds a
-source that is nothing but junk.
+No fence is beyond the loose one of its language, the median over the language's
+sources (groups of ``min_group`` texts at least) of each one's own
+``median + LOOSE * slack + SPREAD * (q75 - q25)``. A source that is nothing but
+junk is one source there, however many texts it has. A language with fewer
+than ``LEAST_SOURCES`` such sources takes that formula over its texts, a small
+one over all texts.
 
 Nulls: a null text counts as empty (0 words, fails the base rule); null lang
 or source form groups of their own. Repeated rows are measured one by one.
@@ -53,6 +56,7 @@ SPREAD = 4.0
 LOOSE = 6.0
 QUANTILES = (0.05, 0.25, 0.5, 0.75)
 MIN_GROUP = 50
+LEAST_SOURCES = 3
 #: Size parameter of the sketches: rank errors near 0.2 %, some 10 KB each at most.
 SKETCH_K = 1024
 
@@ -168,14 +172,17 @@ def thresholds(counts: DataFrame, spread: float = SPREAD, min_group: int = MIN_G
         return merged.select(*[F.col(k).alias(f"{k}{suffix}") for k in keys], f"n{suffix}", *fences)
 
     own, lang, every = level(["lang", "source"], ""), level(["lang"], "_1"), level([], "_2").first()
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_1")), "left")
+    middle = [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {r}_loose)").alias(f"{r}_middle") for r in RATIOS]
+    sources = own.where(F.col("n") >= min_group).groupBy(F.col("lang").alias("lang_3")).agg(F.count(F.lit(1)).alias("sources"), *middle)
+    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_1")), "left").join(sources, F.col("lang").eqNullSafe(F.col("lang_3")), "left")
 
     def chosen(r: str) -> Column:
         def wide(x: str) -> Column:
             return F.when(F.col("n_1") >= min_group, F.col(f"{x}_1")).otherwise(F.lit(every[f"{x}_2"]).cast("double"))
 
         fence = F.when(F.col("n") >= min_group, F.col(r)).otherwise(wide(r))
-        return F.coalesce(F.least(fence, wide(f"{r}_loose")), F.lit(float("inf"))).alias(f"max_{r}")
+        loose = F.when(F.col("sources") >= LEAST_SOURCES, F.col(f"{r}_middle")).otherwise(wide(f"{r}_loose"))
+        return F.coalesce(F.least(fence, loose), F.lit(float("inf"))).alias(f"max_{r}")
 
     return joined.select("lang", "source", *[chosen(r) for r in RATIOS])
 

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -77,3 +78,42 @@ def test_rows(odd, clashing, empty):
     assert left.columns == clashing.columns
     assert sorted(repr(r.doc_id) for r in left.collect()) == sorted(repr(r.doc_id) for r in found.where("kept").collect())
     assert rules.passing_rows(empty).collect() == []
+
+
+@pytest.mark.parametrize("share", [40, 60])
+def test_a_source_of_nothing_but_junk_goes(spark, share):
+    rng = random.Random(share)
+    clean = lambda: " ".join(rng.choice(["river", "stone", "light", "under", "walks"]) + str(i % 83) for i in range(90))
+    junk = lambda: " ".join("###" if i % 2 else f"x{rng.randrange(10**6)}" for i in range(90))
+    n = 10 * share
+    rows = [(i, junk(), "en", "junk", 1) for i in range(n)] + [(n + i, clean(), "en", f"src{i % 6}", 1) for i in range(1000 - n)]
+    found = rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()
+    assert not any(r.kept for r in found if r.doc_id < n) and all(r.kept for r in found if r.doc_id >= n)
+
+
+def test_sql_restates_the_fences(spark):
+    """Rows between other fences: many sources, few sources, a small group, texts of growing ratios."""
+    import duckdb
+    import pandas as pd
+
+    from eventide.llm.oracle import ORACLE_SQL
+
+    rng = random.Random(31)
+
+    def text(symbols, upper, length):
+        words = [("#" * (rng.random() < symbols)) + ("ABC" if rng.random() < upper else "abc") + "x" * rng.randrange(length) + str(i) for i in range(70)]
+        return " ".join(words)
+
+    plan = [("en", f"s{i}", 60) for i in range(4)] + [("de", "s0", 70), ("de", "s1", 55), ("fr", "s0", 20), (None, None, 9)]
+    rows = []
+    for k, (lang, source, n) in enumerate(plan):
+        for j in range(n):
+            bad = j % 7 == 0
+            rows.append((len(rows), text(0.05 + 0.02 * k + bad * rng.random(), 0.1 + bad * rng.random(), 3 + k + 12 * bad), lang, source, 1))
+    found = rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source", "n_chars"]))
+    right = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, kept, reason FROM ({ORACLE_SQL['op9_quality_rules']}) q").fetchall()}
+    ours = {r.doc_id: (r.kept, r.reason) for r in found.collect()}
+    assert ours == right
+    assert 20 < sum(not k for k, _ in ours.values()) < len(rows) / 2
