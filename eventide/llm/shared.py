@@ -42,11 +42,17 @@ def numbered(df: DataFrame, key: Sequence[str], place: str, limit: int, ties: Se
     spark = df.sparkSession
     cuts = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.withColumn("_cut", F.floor(F.col(place) / F.lit(float(limit)) * cuts).cast("int"))
-    cell = [*key, "_cut"]
-    before = Window.partitionBy(*key).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
+    return numbered_by(dealt, key, ["_cut"], [place, *ties], name).drop("_cut")
+
+
+def numbered_by(df: DataFrame, key: Sequence[str], cut: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with ``name``: 0, 1, 2, ... within each key by ``cut`` and, among equal
+    cuts, by ``order``. No task holds more than the rows of one key and cut."""
+    cell = [*key, *cut]
+    before = Window.partitionBy(*key).orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = counts.select(*cell, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    inside = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy(*cell).orderBy(place, *ties)) - 1)
+    inside = df.withColumn("_inside", F.row_number().over(Window.partitionBy(*cell).orderBy(*order)) - 1)
     number = (F.col("_before") + F.col("_inside")).cast("long").alias(name)
     return inside.join(offsets, cell).select(*df.columns, number)
 
@@ -81,4 +87,4 @@ def worker_cache() -> dict:
     return sys.modules[name].items
 
 
-__all__ = ["Scratch", "kept", "lean", "numbered", "shared_dir", "small", "worker_cache"]
+__all__ = ["Scratch", "kept", "lean", "numbered", "numbered_by", "remove_folder", "shared_dir", "small", "worker_cache"]

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+from eventide.session import listed, shared_dir
 from eventide.llm.mixing import BLOCK_ROWS, OTHER_WEIGHT, WEIGHTS
 
 from .test_decontaminate import brute_tiles
@@ -36,15 +37,23 @@ def passing(docs):
             for key in ((d.lang, d.source), (d.lang,), ()):
                 groups[key].append(rated[d.doc_id][1])
 
-    def fence(key, r):
-        values = sorted(x[r] for x in groups[key])
-        low, mid, high = (values[math.ceil(q * len(values)) - 1] for q in (0.25, 0.5, 0.75))
-        return mid + SLACK[r] + 4.0 * (high - low)
+    def quantile(values, q):
+        return sorted(values)[math.ceil(q * len(values)) - 1]
+
+    def fences(key, r):
+        least, low, mid, high = (quantile([x[r] for x in groups[key]], q) for q in (0.05, 0.25, 0.5, 0.75))
+        return low + SLACK[r] + 8.0 * (low - least), mid + 6.0 * SLACK[r] + 4.0 * (high - low)
 
     def ok(d):
         failed, values = rated[d.doc_id]
-        key = next((k for k in ((d.lang, d.source), (d.lang,)) if len(groups[k]) >= 50), ())
-        return not failed and all(v <= fence(key, r) for r, v in values.items())
+        own, wide = (next((k for k in keys if len(groups[k]) >= 50), ()) for keys in (((d.lang, d.source), (d.lang,)), ((d.lang,),)))
+        sources = [k for k in groups if len(k) == 2 and k[0] == d.lang and len(groups[k]) >= 50]
+
+        def limit(r):
+            loose = quantile([fences(k, r)[1] for k in sources], 0.5) if len(sources) >= 3 else fences(wide, r)[1]
+            return min(fences(own, r)[0], loose)
+
+        return not failed and all(v <= limit(r) for r, v in values.items())
 
     return [d for d in docs if ok(d)]
 
@@ -90,16 +99,16 @@ def mixed(docs):
     return out
 
 
-def sharded(docs):
+def sharded(docs, order):
     rows, places = [], defaultdict(list)
     for d in docs:
         score = [1 / -math.log((number(f"{d.doc_id}:{s}") + 0.5) / 2**52) for s in range(corpus_pipeline.SHARDS + 1)]
         shard = max(range(corpus_pipeline.SHARDS), key=lambda s: score[s])
         body = d.text.encode()
         rows.append([d.doc_id, len(body) + 8, zlib.crc32(body), "key", shard, None, corpus_pipeline.SHARDS if score[-1] > score[shard] else shard])
-        places[shard].append((number(str(d.doc_id)), d.doc_id))
+        places[shard].append(order.index(d.doc_id))
     for r in rows:
-        r[5] = sorted(places[r[4]]).index((number(str(r[0])), r[0]))
+        r[5] = sorted(places[r[4]]).index(order.index(r[0]))
     return sorted(map(tuple, rows))
 
 
@@ -121,7 +130,12 @@ def test_stages_equal_plain_python(spark, tmp_path):
             order = [r.doc_id for f in files for r in spark.read.parquet(str(f)).collect()]
             assert order == mixed(docs)
     last = corpus_pipeline.run(spark, SF)
-    assert sorted(tuple(r) for r in last.collect()) == sharded(docs)
+    assert sorted(tuple(r) for r in last.collect()) == sharded(docs, mixed(docs))
+    # Without the mixture the slots are others.
+    unmixed = spark.read.parquet(str(tmp_path / "decontamination"))
+    slots = {r.doc_id: r.slot for r in corpus_pipeline.sharding(spark, unmixed, SF).collect()}
+    assert slots.keys() == {r.doc_id for r in last.collect()} and slots != {r.doc_id: r.slot for r in last.collect()}
+    assert listed(spark, f"{shared_dir(spark)}/corpus_pipeline") == []
 
 
 def test_odd_and_empty_documents(spark, odd, clashing, empty):
