@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor
 kept, and returns the columns of documents; the last returns the shard
 assignment. ``run`` writes each stage as Parquet in the shared folder and reads
-it back, so a lost executor repeats tasks of one stage only. Null, empty and
+it back, so a lost executor repeats tasks of one stage only; the folder goes
+when the result is stored. Null, empty and
 very long texts, repeated rows and extra columns are handled as the operators
 say; empty tables pass through every stage.
 """
@@ -18,7 +19,7 @@ from eventide.llm.decontaminate import clean_rows
 from eventide.llm.mixing import OTHER_WEIGHT, WEIGHTS, mixed_rows
 from eventide.llm.neardup import without_copies
 from eventide.llm.rules import passing_rows
-from eventide.llm.shared import lean, shared_dir
+from eventide.llm.shared import kept, lean, remove_folder, shared_dir
 from eventide.llm.sharding import sharded
 
 SHARDS = 24
@@ -48,8 +49,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of each document."""
-    return sharded(docs, [1.0] * SHARDS)
+    """The shard and slot of each document; a shard's slots follow the order that
+    the documents are stored in, which is the mixture's."""
+    return sharded(docs, [1.0] * SHARDS, stored_order=True)
 
 
 STAGES = [
@@ -68,7 +70,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{folder}/{name}")
         docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    result = kept(STAGES[-1][1](spark, docs, sf_dir))  # a few numbers a document
+    remove_folder(spark, folder)
+    return result
 
 
 #: The thresholds come from quantile sketches, and tiling is iterative: no SQL.
