@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import kept as stored
+from .shared import one_thread
 from .words import U64, Hasher, Texts, blocks, mix, words_of
 
 CLASSES = 32
@@ -325,6 +326,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rounds
         sent = sc.broadcast((entry, params, turn))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            one_thread()
             entry, params, turn = sent.value
             hasher, trainer, seen = Hasher(lower=True), Trainer(params), 0
             for batch in batches:
@@ -347,6 +349,7 @@ def scored(docs: DataFrame, model: dict, id_column: str = "doc_id", text: str =
     sent = docs.sparkSession.sparkContext.broadcast((model["entry"], model["params"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         (entry, params), hasher = sent.value, Hasher(lower=True)
         for batch in batches:
             for rows, texts in blocks(batch, "_text"):

@@ -78,6 +78,30 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def one_thread() -> None:
+    """Let matrix products of this process run in one thread. Tasks run side by
+    side, one a core, so threads of their own only wait for one another; on
+    small matrices that takes as much time again as the work. numpy has no call
+    for it, so the OpenBLAS that it has loaded is asked; without one, nothing
+    changes. No result depends on it."""
+    import ctypes
+
+    cache = worker_cache()
+    if "one_thread" in cache:
+        return
+    cache["one_thread"] = True
+    try:
+        with open("/proc/self/maps", encoding="utf-8") as f:
+            paths = {line.split()[-1] for line in f if "openblas" in line}
+        for path in sorted(paths):
+            library = ctypes.CDLL(path)
+            for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                if hasattr(library, name):
+                    getattr(library, name)(1)
+    except OSError:
+        pass
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python process (worker or driver)."""
     name = "eventide_llm_worker_cache"
@@ -87,4 +111,4 @@ def worker_cache() -> dict:
     return sys.modules[name].items
 
 
-__all__ = ["Scratch", "kept", "lean", "numbered", "numbered_by", "remove_folder", "shared_dir", "small", "worker_cache"]
+__all__ = ["Scratch", "kept", "lean", "numbered", "numbered_by", "one_thread", "remove_folder", "shared_dir", "small", "worker_cache"]
