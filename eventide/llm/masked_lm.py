@@ -211,22 +211,32 @@ def laid_out(texts: Texts, entry: dict | np.ndarray, hasher: Hasher) -> tuple[np
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+    """Of each row."""
+    return column_softmax(x.T.copy()).T
+
+
+def column_softmax(x: np.ndarray, scale: np.float32 = np.float32(1)) -> np.ndarray:
+    """``scale`` times that of each column, in place: sums then run along whole rows."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x *= scale / x.sum(axis=0)
+    return x
 
 
 AROUND = [d for d in range(-WINDOW, WINDOW + 1) if d]
 
 
 def forward(p: dict[str, np.ndarray], ids: np.ndarray, at: np.ndarray) -> tuple:
-    """Context entries, their embeddings, the hidden layer; positions come sorted by class with each class's run."""
+    """Context entries, their embeddings, the hidden layer (a column a position); positions come sorted by class with each class's run."""
     target, (classes, inner) = ids[at], p["t"].shape
     kind = (target // inner).astype(np.uint16)
     order = np.argsort(kind, kind="stable")
     at, target, kind = at[order], target[order], kind[order]
     around = np.stack([ids[at + d] for d in AROUND], axis=1)
-    x = p["E"][around].reshape(len(at), -1)
-    h = np.tanh(x @ p["W"] + p["b"])
+    x = p["E"].take(around.ravel(), axis=0).reshape(len(at), -1)
+    h = p["W"].T @ x.T
+    h += p["b"][:, None]
+    np.tanh(h, out=h)
     runs = np.searchsorted(kind, np.arange(classes + 1))
     return order, target % inner, kind, around, x, h, runs
 
@@ -238,11 +248,13 @@ def log_probabilities(p: dict[str, np.ndarray], ids: np.ndarray, at: np.ndarray)
         part = at[lo : lo + 4 * MINIBATCH]
         order, inner, kind, _, _, h, runs = forward(p, ids, part)
         rows = np.arange(len(part))
-        chance = softmax(h @ p["C"] + p["c"])[rows, kind]
+        chance = column_softmax(p["C"].T @ h + p["c"][:, None])[kind, rows]
         for k in range(len(p["c"])):
             i, j = runs[k], runs[k + 1]
             if i < j:
-                chance[i:j] *= softmax(h[i:j] @ p["T"][k] + p["t"][k])[np.arange(j - i), inner[i:j]]
+                q = p["T"][k].T @ h[:, i:j]
+                q += p["t"][k][:, None]
+                chance[i:j] *= column_softmax(q)[inner[i:j], rows[: j - i]]
         log = np.log(np.maximum(chance, 1e-30))
         out[lo + order] = log
     return out
@@ -262,38 +274,38 @@ class Trainer:
         self.p[k] -= RATE * g / np.sqrt(seen)
 
     def learn(self, ids: np.ndarray, at: np.ndarray) -> None:
-        p, n = self.p, np.float32(len(at))
+        p, share, ones = self.p, np.float32(1 / len(at)), np.ones(len(at), np.float32)
         _, inner, kind, around, x, h, runs = forward(p, ids, at)
         rows = np.arange(len(at))
-        g = softmax(h @ p["C"] + p["c"])
-        g[rows, kind] -= 1
-        g /= n
-        d_h = g @ p["C"].T
-        d_c = (h.T @ g, g.sum(axis=0))
+        g = column_softmax(p["C"].T @ h + p["c"][:, None], share)
+        g[kind, rows] -= share
+        d_h = p["C"] @ g
+        d_c = (h @ g.T, g @ ones)
         d_t = (np.zeros_like(p["T"]), np.zeros_like(p["t"]))
         for k in range(len(p["c"])):
             i, j = runs[k], runs[k + 1]
             if i < j:
-                q = softmax(h[i:j] @ p["T"][k] + p["t"][k])
-                q[np.arange(j - i), inner[i:j]] -= 1
-                q /= n
-                d_h[i:j] += q @ p["T"][k].T
-                np.matmul(h[i:j].T, q, out=d_t[0][k])
-                q.sum(axis=0, out=d_t[1][k])
-        d = d_h * (1 - h * h)
-        d_x = (d @ p["W"].T).reshape(-1, EMBEDDING)
+                q = p["T"][k].T @ h[:, i:j]
+                q += p["t"][k][:, None]
+                column_softmax(q, share)[inner[i:j], rows[: j - i]] -= share
+                d_h[:, i:j] += p["T"][k] @ q
+                np.matmul(h[:, i:j], q.T, out=d_t[0][k])
+                np.matmul(q, ones[: j - i], out=d_t[1][k])
+        h *= h
+        d = d_h * (1 - h)
+        d_x = (d.T @ p["W"].T).reshape(-1, EMBEDDING)
         d_e = np.zeros_like(p["E"])
         met = around.ravel()
         # Numbers of 16 bits are sorted by radix.
         by = np.argsort(met.astype(np.uint16) if len(p["E"]) <= 1 << 16 else met, kind="stable")
         first = np.flatnonzero(np.diff(met[by], prepend=-1))
-        d_e[met[by][first]] = np.add.reduceat(d_x[by], first, axis=0)
+        d_e[met[by[first]]] = np.add.reduceat(d_x.take(by, axis=0), first, axis=0)
         self.move("T", d_t[0])
         self.move("t", d_t[1])
         self.move("C", d_c[0])
         self.move("c", d_c[1])
-        self.move("W", x.T @ d)
-        self.move("b", d.sum(axis=0))
+        self.move("W", (d @ x).T)
+        self.move("b", d @ ones)
         self.move("E", d_e)
 
 
