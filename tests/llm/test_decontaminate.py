@@ -1,8 +1,12 @@
 import random
+import resource
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from eventide.llm import decontaminate as D
+from eventide.llm.words import Hasher, texts_of
 
 from .conftest import DOCUMENTS, as_set, sentence
 
@@ -41,6 +45,81 @@ def test_tiles_equal_the_definition():
         assert got == brute_tiles(doc, item, 3)
 
 
+def places(rng, doc_tokens, item_tokens, letters):
+    doc = [rng.randrange(letters) for _ in range(doc_tokens)]
+    item = [rng.randrange(letters) for _ in range(item_tokens)]
+    pairs = [(d, t) for d in range(len(doc) - 2) for t in range(len(item) - 2) if doc[d : d + 3] == item[t : t + 3]]
+    return doc, item, np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+
+
+def test_sweeping_an_item_finds_the_same_tiles():
+    rng = random.Random(9)
+    for _ in range(200):
+        doc, item, d, t = places(rng, rng.randrange(60), rng.randrange(3, 16), rng.randrange(1, 4))
+        if not len(d):
+            continue
+        rising = np.unique(t)
+        runs = D.swept(rising, [np.sort(d[t == x]) for x in rising], 3)
+        every = {*zip(*(x.tolist() for x in D.runs_of(d, t, 3)), strict=True)}
+        assert {*zip(*(x.tolist() for x in runs), strict=True)} <= every
+        assert D.tiled(*runs, 3) == brute_tiles(doc, item, 3)
+
+
+def met(texts, items, coverage=D.COVERAGE):
+    block = D.Items(list(range(len(items))), items, D.MIN_TILE)
+    return list(D.meet(texts_of(pa.array(texts)), block, Hasher(), coverage))
+
+
+@pytest.mark.parametrize("hits", [1, 50, 1 << 19])
+def test_slices_change_nothing(monkeypatch, hits):
+    rng = random.Random(3)
+    words = ["a", "b", "c"]
+    items = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(60))) for _ in range(25)]
+    whole = met(texts, items)
+    monkeypatch.setattr(D, "HITS", hits)
+    monkeypatch.setattr(D, "PLACES", 0 if hits == 50 else D.PLACES)
+    assert whole and sorted(met(texts, items)) == sorted(whole)
+    expected = {}
+    for i, text in enumerate(texts):
+        for j, item in enumerate(items):
+            doc, words_ = text.split(), item.split()
+            found = brute_tiles(doc, words_, min(len(words_), D.MIN_TILE))
+            covered = sum(n for _, _, n in found)
+            if covered >= 0.5 * len(words_):
+                expected[i, j] = (covered, found)
+    assert {(i, j): (n, t) for i, j, n, t in whole} == expected
+
+
+def test_common_seeds_and_repetition_stay_in_memory():
+    def peak():
+        return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+
+    start = "of all the many things"
+    items = [f"{start} " + " ".join(f"i{i}w{j}" for j in range(40)) for i in range(10_000)]
+    block = D.Items(list(range(len(items))), items, D.MIN_TILE)
+    text = " ".join(f"{start} x{i}" for i in range(2000)) + " " + items[77]
+    before = peak()
+    found = list(D.meet(texts_of(pa.array([text])), block, Hasher(), D.COVERAGE))
+    assert [(i, n) for _, i, n, _ in found] == [(77, 45)]
+    # One word again and again: the places in the text are as many as its words times the item's.
+    found = met(["so " * 200_000], ["so " * 60, "so " * 30 + "well"])
+    assert [(i, n, t[0]) for _, i, n, t in found] == [(0, 60, (0, 0, 60)), (1, 30, (0, 0, 30))]
+    assert peak() - before < 300
+
+
+def test_rows_are_judged_by_their_texts(spark):
+    item = " ".join(f"w{j}" for j in range(30))
+    rows = [(1, "x " + item), (1, "clean words only here"), (None, item + " y"), (None, "more clean words"), (2, "z " + item), (2, "z " + item), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(0, item), (1, item), (2, item.upper())], ITEMS)
+    for tokens in (D.BLOCK_TOKENS, 20):
+        clean = [tuple(r) for r in D.clean_rows(frame, bench, block_tokens=tokens).collect()]
+        assert sorted(clean, key=repr) == sorted([rows[1], rows[3], rows[6]], key=repr)
+        found = D.contaminated(frame, bench, block_tokens=tokens)
+        assert sorted((str(r.doc_id), r.item_id) for r in found.collect()) == sorted((i, j) for i in ("1", "2", "2", "None") for j in range(3))
+
+
 def test_planted_passages(spark):
     rng = random.Random(6)
     items = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(12)]
@@ -74,5 +153,5 @@ def test_rows(spark, odd, clashing, empty, odd_rows):
     assert D.contaminated(odd, spark.createDataFrame([], ITEMS)).collect() == []
     kept = D.clean_rows(clashing, bench)
     assert kept.columns == clashing.columns
-    assert kept.count() == len(odd_rows) - 3  # rows without an id can't be named, and stay
+    assert kept.count() == len(odd_rows) - 4  # the row without an id is judged like any other
     assert spark.createDataFrame([], DOCUMENTS).columns == empty.columns
