@@ -15,7 +15,9 @@ that a pack can be read, or trained on, alone. A first turn that a third of all
 conversations share is emitted once in each pack and never gathers its
 conversations in one task: they are sorted by range of their whole paths.
 Equal conversations are one path with several owners; only their keys are
-joined back.
+joined back, a key with many owners in parts (``of_owners``). Which conversations
+are equal is found from a digest a turn; texts are shuffled to meet their
+conversation, of equal ones those of one, and to be sorted.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts each
 ``<|`` (with any backslashes in between) gets one more backslash, so no control
@@ -38,11 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import kept
+from .shared import kept, small
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 PACK_TOKENS = 1 << 16
 LEARNED_ROLE = "assistant"
+OWNERS = 100_000  # of one key that a task is given
 
 
 def escaped(text: str) -> str:
@@ -125,18 +128,31 @@ class Packer:
         return done
 
 
-def conversations(rows: DataFrame) -> DataFrame:
-    """conv (the id as text, "none" without one), conv_id, key, path (a hash per
-    turn), turns: one row per conversation."""
+def turns_of(rows: DataFrame) -> DataFrame:
+    """conv (the id as text, "none" without one), conv_id, turn, role, text, one (the turn's digest)."""
     turns = rows.select(
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("conv"),
-        "conv_id",
-        F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"),
-    )
-    whole = turns.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list("t")).alias("turns"))
-    one = lambda t: F.md5(F.concat(F.length(t["role"]).cast("string"), F.lit(":"), t["role"], t["text"]).cast("binary"))
-    whole = whole.withColumn("path", F.transform("turns", one))
-    return whole.select("conv", "conv_id", F.md5(F.concat_ws(",", "path").cast("binary")).alias("key"), "path", "turns")
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("conv"), "conv_id", "turn",
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
+    )
+    return turns.withColumn("one", F.md5(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text").cast("binary")))
+
+
+def keyed(turns: DataFrame) -> DataFrame:
+    """conv, conv_id, key: one row per conversation, from digests alone.
+
+    Rows that share a turn are put in order of their digests here, and in order
+    of role and text in the path, so a key says which turns are shared: equal
+    keys are equal conversations."""
+    whole = turns.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct("turn", "one"))).alias("t"))
+    tied = lambda t, i: (i > 0) & t["turn"].eqNullSafe(F.get("t", F.when(i > 0, i - 1))["turn"])
+    marked = F.transform("t", lambda t, i: F.concat(F.when(tied(t, i), "=").otherwise(""), t["one"]))
+    return whole.select("conv", "conv_id", F.md5(F.concat_ws(",", marked).cast("binary")).alias("key"))
+
+
+def paths_of(turns: DataFrame) -> DataFrame:
+    """key, path (a digest per turn), turns: one row per conversation."""
+    whole = turns.groupBy("conv", "key").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "one"))).alias("t"))
+    return whole.select("key", F.col("t.one").alias("path"), F.transform("t", lambda t: F.struct(t["role"], t["text"])).alias("turns"))
 
 
 def packed(paths: DataFrame, pack_tokens: int = PACK_TOKENS) -> DataFrame:
@@ -215,9 +231,19 @@ def formatted(rows: DataFrame, pack_tokens: int = PACK_TOKENS) -> tuple[DataFram
     """(owners, nodes): conv_id and key of every conversation, and the packs.
 
     Of equal conversations one goes into the trees. Only ids and keys are
-    stored to find it; the turns are grouped again beside it, where they lie."""
-    whole = conversations(rows)
-    owners = kept(whole.select("conv", "conv_id", "key"))
+    stored to find it."""
+    turns = turns_of(rows)
+    owners = kept(keyed(turns))
     one = owners.groupBy("key").agg(F.min("conv").alias("conv"))
-    paths = whole.join(one.select("conv"), "conv", "left_semi").select("key", "path", "turns")
-    return owners.select("conv_id", "key"), packed(paths, pack_tokens)
+    return owners.select("conv_id", "key"), packed(paths_of(turns.join(one, "conv")), pack_tokens)
+
+
+def of_owners(owners: DataFrame, found: DataFrame, most: int = OWNERS) -> DataFrame:
+    """``found``, a row a key, for every owner: conv_id and the columns of ``found``
+    but key. A key with more than ``most`` owners is joined in parts."""
+    parts = owners.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("_parts")).where("_parts > 1")
+    parts = small(kept(parts))
+    n = F.coalesce("_parts", F.lit(1))
+    left = owners.join(parts, "key", "left").select("conv_id", "key", F.pmod(F.xxhash64("conv_id"), n).cast("int").alias("_part"))
+    right = found.join(parts, "key", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n - 1)))
+    return left.join(right, ["key", "_part"]).select("conv_id", *[c for c in found.columns if c != "key"])

@@ -78,8 +78,7 @@ def op7_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"),
     )
     owners, nodes = chat.formatted(rows.union(planted))
-    found = chat.read_back(nodes)
-    return owners.join(found, "key").select("conv_id", *[c for c in found.columns if c != "key"])
+    return chat.of_owners(owners, chat.read_back(nodes))
 
 
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

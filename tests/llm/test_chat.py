@@ -69,6 +69,24 @@ def test_shared_turns_are_emitted_once(spark):
         assert all(x.end <= n.start for x in n.attends)
 
 
+def test_rows_that_share_a_turn(spark):
+    rows = []
+    for c in range(0, 400, 4):  # the same two texts: in one turn, in two turns, the other way round, in one turn stored the other way round
+        a, b = f"a{c}", f"b{c}"
+        rows += [(c, 0, "user", a), (c, 0, "user", b), (c + 1, 0, "user", a), (c + 1, 1, "user", b)]
+        rows += [(c + 2, 0, "user", b), (c + 2, 1, "user", a), (c + 3, None, "user", b), (c + 3, None, "user", a)]
+    assert read(spark.createDataFrame(rows, ROWS))[0] == expected(rows)
+
+
+def test_a_key_with_many_owners_is_joined_in_parts(spark):
+    rows = [(c, t, r, "same") for c in range(300) for t, r in enumerate(("user", "assistant"))] + [(c, 0, "user", f"own {c}") for c in range(300, 320)]
+    owners, nodes = chat.formatted(spark.createDataFrame(rows, ROWS))
+    found = chat.read_back(nodes)
+    for most in (7, 300, chat.OWNERS):
+        assert {r.conv_id: tuple(r)[1:] for r in chat.of_owners(owners, found, most).collect()} == expected(rows)
+    assert chat.of_owners(owners, found, 7).count() == 320
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
