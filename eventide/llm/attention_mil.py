@@ -9,15 +9,18 @@ trained here, in numpy.
 
 Training takes a bounded sample: at most ``PER_CLASS`` labelled documents of
 each class, chosen by hash among the rows offered, encoded by the executors
-from their whole texts. Classes are weighted by their share of all labels
+from their whole texts, and of these, in the same order, whole documents up to
+``PASSAGES`` passages a class. So what the driver fits on is bounded in documents
+and in passages, however long texts are; a document that does not fit is left
+to those that do. Classes are weighted by their share of all labels
 offered, so scores are meant for the labels' own mix. Scoring encodes every
 passage of every whole text.
 
 Definitions: null and empty texts are one empty passage and get its score. With
 no labels, or labels of one class, every score is the smoothed share of label
 1. A doc_id with several labels counts by its least one; labels with a null id
-or value are not used. Repeated rows are scored one by one; extra columns are
-not read.
+or value are not used; of several texts it trains on the least one. Repeated
+rows are scored one by one; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -26,13 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import kept
 from .words import SEPARATOR, Hasher, Texts, blocks, row_of, words_of
 
 PASSAGE_WORDS = 64
 PER_CLASS = 2500
+PASSAGES = 200_000
 WORD_BUCKETS = 64
 TRUST_WORDS = 64
 LENGTHS = 16
@@ -130,8 +135,10 @@ def fit(x: np.ndarray, at: np.ndarray, y: np.ndarray, weight: np.ndarray, seed:
     return p
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS) -> dict:
-    """The model, from at most ``per_class`` labelled documents of each class."""
+def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS,
+          most_passages: int = PASSAGES) -> dict:
+    """The model, from at most ``per_class`` labelled documents of each class with
+    at most ``most_passages`` passages."""
     given = labels.select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("_y")).dropna()
     given = given.groupBy("_id").agg(F.min("_y").alias("_y")).where("_y in (0, 1)")
     counts = {r["_y"]: r["count"] for r in given.groupBy("_y").count().collect()}
@@ -150,15 +157,20 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
             for rows, texts in blocks(batch, "_text"):
                 x, at = passages(texts, hasher)
                 cells = [x[at[i] : at[i + 1]].astype(np.float16).tobytes() for i in range(texts.n)]
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(cells, pa.binary())], names=["_id", "_y", "x"])
+                n = pa.array(np.diff(at).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), n, pa.array(cells, pa.binary())], names=["_id", "_y", "n", "x"])
 
     rows = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"))
-    picked = rows.join(F.broadcast(sample), "_id").select("_id", "_y", "_text")
-    held = sorted(picked.mapInArrow(run, "_id long, _y int, x binary").collect())
-    y = np.array([r["_y"] for r in held], np.float32)
+    picked = rows.join(F.broadcast(sample), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+    coded = kept(picked.mapInArrow(run, "_id long, _y int, n long, x binary"))
+    # Two classes of at most per_class narrow rows.
+    so_far = F.sum("n").over(Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id"))
+    used = coded.select("_id", "_y", "n").where(F.col("n") <= most_passages).withColumn("so_far", so_far).where(F.col("so_far") <= most_passages)
+    held = sorted((r["_id"], r["_y"], r["x"]) for r in coded.join(F.broadcast(used.select("_id")), "_id").collect())
+    y = np.array([r[1] for r in held], np.float32)
     if not (0 < y.sum() < len(y)):
         return none
-    bags = [np.frombuffer(r["x"], np.float16).reshape(-1, FEATURES + 1) for r in held]
+    bags = [np.frombuffer(r[2], np.float16).reshape(-1, FEATURES + 1) for r in held]
     at = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
     x = np.concatenate(bags).astype(np.float32)
     mean, std = x[:, :-1].mean(axis=0), x[:, :-1].std(axis=0) + 1e-3
