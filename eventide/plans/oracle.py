@@ -245,6 +245,11 @@ SELECT {ROUNDED} FROM ({tumble('arrived', 1)}) t, mark WHERE window_end <= mark"
         "open_windows": f"""{w}
 SELECT {ROUNDED} FROM ({tumble('wire', 1)}) t
 WHERE window_end > (SELECT MAX(event_time) FROM wire) - INTERVAL 10 SECOND""",
+        "streaming_progress": f"""{w}
+SELECT COUNT(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_by_watermark,
+       (SELECT COUNT(*) FROM ({tumble('wire', 1)}) t WHERE window_end > (SELECT MAX(event_time) FROM wire) - INTERVAL 10 SECOND) AS state_rows,
+       date_trunc('milliseconds', MAX(event_time) - INTERVAL 10 SECOND) AS watermark
+FROM wire""",
         "streaming_restart": f"{w},\n{_closed('wire')}\nSELECT {ROUNDED} FROM closed",
         "streaming_rejects": f"""{w},\n{DIRTY}
 SELECT "partition", "offset",

@@ -34,11 +34,12 @@ from ..operators import (
     tumbling_summary,
     with_total,
 )
-from ..session import in_utc, kept, listed, move_into, remove_folder, shared_dir
+from ..session import in_utc, kept, listed, move_into, remove_folder, setting, shared_dir
 from ..sources.files import events_record_stream, events_stream, parquet_stream
 from ..sources.kafka import sample_records
 from ..sources.testdata import TOPIC_PARTITIONS, events_as_records, events_to_typed, events_to_wire, read_table
 from ..streaming.job import open_windows, read_summary, split_summary_stream, start, start_rejects, summary_stream
+from ..streaming.progress import progress_frame, run_progress
 from ..streaming.sinks import KeyedSummaryTable, RejectLog, RevenueRollup
 from .fixtures import dirty_records, null_amounts
 
@@ -50,6 +51,7 @@ TITLE_24H = "  CLICKSTREAM ANALYTICS REPORT — Last 24 Hours"
 LATE_FILES = 4
 LAG_MINUTES = 30
 OLD_DATE = "2024-01-05"
+PROGRESS_UPDATES = 100_000
 MICROS = "unix_micros(CAST(ts AS TIMESTAMP))"
 
 
@@ -219,6 +221,17 @@ def streaming_tumble_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _taken(spark, ntz(rounded(read_summary(spark, f"{run}/summary").drop("window_date"))), run)
 
 
+def streaming_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far a run has come, from its own updates: rows read, rows dropped as late,
+    windows still open, watermark. The run remembers the updates of all its
+    batches (up to ``PROGRESS_UPDATES``), small records that don't grow with a batch."""
+    run = _run_dir(spark, "streaming_progress")
+    with setting(spark, "spark.sql.streaming.numRecentProgressUpdates", str(PROGRESS_UPDATES)):
+        query = start(summary_stream(events_record_stream(spark, sf_dir)), f"{run}/checkpoint", path=f"{run}/summary", trigger={"availableNow": True})
+    query.awaitTermination()
+    return _taken(spark, ntz(run_progress(progress_frame(spark, query))), run)
+
+
 def streaming_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several micro-batches, the last one late: nine tenths of the events in
     three slices of time, then the withheld tenth of all times at once. Each
@@ -428,6 +441,7 @@ _MADE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_formatted_empty": report_formatted_empty,
     "summary_freshness": summary_freshness_query,
     "streaming_tumble_1m": streaming_tumble_1m,
+    "streaming_progress": streaming_progress,
     "streaming_late_rows": streaming_late_rows,
     "upsert_replay": upsert_replay,
     "upsert_resubmit": upsert_resubmit,

@@ -1,7 +1,7 @@
 """Structured Streaming: the windowed job, sinks and progress."""
 
 from .job import open_windows, read_summary, split_summary_stream, start, start_from_config, start_rejects, summary_stream
-from .progress import ProgressLog, progress_frame, progress_rows
+from .progress import ProgressLog, progress_frame, progress_rows, run_progress
 from .sinks import (
     JdbcUpsertSink,
     KeyedSummaryTable,
@@ -22,6 +22,7 @@ __all__ = [
     "summary_stream",
     "progress_frame",
     "progress_rows",
+    "run_progress",
     "JdbcUpsertSink",
     "KeyedSummaryTable",
     "RejectLog",

@@ -3,13 +3,15 @@ watermark, state rows, rows dropped as late).
 
 ``progress_frame`` shows what a query still remembers: its last
 ``spark.sql.streaming.numRecentProgressUpdates`` updates. ``ProgressLog`` is a
-listener and misses none: it appends every update to a Parquet folder."""
+listener and misses none: it appends every update to a Parquet folder.
+``run_progress`` sums either up, a row a run."""
 
 from __future__ import annotations
 
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -57,6 +59,22 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(progress_rows(query), PROGRESS_SCHEMA)
 
 
+def run_progress(progress: DataFrame) -> DataFrame:
+    """input_rows, dropped_by_watermark (sums), state_rows and watermark (of the last
+    batch): one row, zeros and no watermark before the first update. A batch that
+    reports again counts by its greater figures."""
+    batches = progress.groupBy("batch_id").agg(
+        *[F.max(c).alias(c) for c in ("num_input_rows", "dropped_by_watermark")], F.max_by(F.struct("state_rows", "watermark"), "timestamp").alias("last")
+    )
+    newest = F.max_by("last", "batch_id")
+    return batches.agg(
+        F.coalesce(F.sum("num_input_rows"), F.lit(0)).alias("input_rows"),
+        F.coalesce(F.sum("dropped_by_watermark"), F.lit(0)).alias("dropped_by_watermark"),
+        F.coalesce(newest["state_rows"], F.lit(0)).alias("state_rows"),
+        F.to_timestamp(newest["watermark"]).alias("watermark"),
+    )
+
+
 class ProgressLog(StreamingQueryListener):
     """Register with ``spark.streams.addListener``. Every ``every`` updates, and
     when a query ends, the rows held are appended to Parquet at ``path``."""

@@ -8,8 +8,11 @@ import json
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from eventide.sources.files import json_lines_stream
-from eventide.streaming import KeyedSummaryTable, progress_frame, read_summary, start, summary_stream
+from eventide.streaming import KeyedSummaryTable, progress_frame, read_summary, run_progress, start, summary_stream
+from eventide.streaming.progress import PROGRESS_SCHEMA
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -159,6 +162,18 @@ def test_compaction_rewrites_only_the_dates_given(spark, workdir):
     assert _table(table, spark) == {(0, "a"): 2, (days, "a"): 12, (2 * days, "a"): 22}
 
 
+def test_run_progress_sums_batches_once(spark):
+    rows = [
+        (0, "2024-01-01T00:00:01.000Z", 10, 1.0, 1.0, "1970-01-01T00:00:00.000Z", 4, 0),
+        (1, "2024-01-01T00:00:02.000Z", 5, 1.0, 1.0, "2024-01-01T00:00:00.500Z", 3, 2),
+        (1, "2024-01-01T00:00:03.000Z", 0, 0.0, 0.0, "2024-01-01T00:00:00.500Z", 3, 0),  # an idle trigger reports again
+    ]
+    got = run_progress(spark.createDataFrame(rows, PROGRESS_SCHEMA)).select("*", F.unix_millis("watermark").alias("ms")).collect()
+    assert [(r.input_rows, r.dropped_by_watermark, r.state_rows, r.ms) for r in got] == [(15, 2, 3, 1704067200500)]
+    none = run_progress(spark.createDataFrame([], PROGRESS_SCHEMA)).collect()
+    assert [tuple(r) for r in none] == [(0, 0, 0, None)]
+
+
 def test_progress_log_misses_nothing(spark, workdir):
     from eventide.streaming import ProgressLog
 
